@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import format_chats, loss_text, parsed_turns
 from .common import read
 from .decontaminate import contamination, is_contaminated
+from .mixing import mix
 from .substring_dedup import dedup_substrings
+from .topk import self_search
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +24,25 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op4_substring_dedup": op4_substring_dedup}
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(read(spark, sf_dir, "documents"))
+    return mixed.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.sql("SELECT stack(2, -1L, 0L, 'user', '</s>[INST] ok [/INST]', -1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS (conv_id, turn, role, text)")
+    chats = format_chats(turns.unionByName(probe)).withColumn("turns", parsed_turns(F.col("formatted"))).withColumn("loss", loss_text(F.col("formatted"), F.col("loss_spans")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+                        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return self_search(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op4_substring_dedup": op4_substring_dedup, "op7_mixing": op7_mixing, "op9_chat_format": op9_chat_format, "op10_topk_search": op10_topk_search}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM_WORDS = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -52,4 +73,36 @@ kept AS (SELECT words.doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS
          FROM words LEFT JOIN gone USING (doc_id) WHERE gone.ps IS NULL OR NOT list_contains(gone.ps, p) GROUP BY words.doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op7_mixing": r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST(([3, 1, 2])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS BIGINT) AS weight,
+      2 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM s),
+f AS (SELECT *, 3 * total - 2 * CAST(coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rest,
+      2 * CAST(sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS open FROM w),
+l AS (SELECT min(rest / open) AS level FROM f WHERE cap * open >= weight * rest),
+t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), level * weight) AS target FROM f, l),
+r AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+      CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0 AS u
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r""",
+    "op9_chat_format": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+o AS (SELECT *, row_number() OVER w AS n, lag(role) OVER w AS before FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+e AS (SELECT *, length(text) + length(regexp_replace(text, '[^<\[\\]', '', 'g')) AS text_chars,
+      length(role) + length(regexp_replace(role, '[^<\[\\]', '', 'g')) AS role_chars FROM o)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(text_chars + CASE WHEN role = before THEN 8 ELSE 28 + role_chars END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op10_topk_search": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }
