@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language_id, toxicity
 from .chat import format_chats, loss_text, parsed_turns
 from .common import read
 from .decontaminate import contamination, is_contaminated
@@ -13,6 +14,19 @@ from .substring_dedup import dedup_substrings
 from .topk import self_search
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = read(spark, sf_dir, "documents"), toxicity.held_out()
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), learn_from=~out)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = read(spark, sf_dir, "documents"), language_id.held_out()
+    labelled = language_id.identify(docs, language_id.fit(docs, learn_from=~out))
+    return labelled.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -42,7 +56,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return self_search(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op4_substring_dedup": op4_substring_dedup, "op7_mixing": op7_mixing, "op9_chat_format": op9_chat_format, "op10_topk_search": op10_topk_search}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op2_decontaminate": op2_decontaminate, "op4_substring_dedup": op4_substring_dedup, "op7_mixing": op7_mixing, "op9_chat_format": op9_chat_format, "op10_topk_search": op10_topk_search}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM_WORDS = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -115,12 +115,12 @@ def _cell(k: int):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, *, block: int = BLOCK, slice_blocks: int = SLICE_BLOCKS, batch: int = BATCH) -> DataFrame:
     """vectors(vec_id, v), queries(vec_id, v) -> query_id, rank, vec_id, score."""
     n, nq = vectors.count(), queries.count()
-    parts, slices, batches = max(1, -(-n // (block * slice_blocks))), max(1, -(-n // (block * slice_blocks))), max(1, -(-nq // batch))
+    slices, batches = max(1, -(-n // (block * slice_blocks))), max(1, -(-nq // batch))
     schema = "first_id long, ids binary, width int, matrix binary"
-    ranged = vectors.repartitionByRange(parts, "vec_id").sortWithinPartitions("vec_id")
+    ranged = vectors.repartitionByRange(slices, "vec_id").sortWithinPartitions("vec_id")
     packed = ranged.mapInArrow(_pack(block, "ids"), schema).withColumn("slice", F.pmod(F.xxhash64("first_id"), F.lit(slices).cast("long")))
     packed = packed.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-    asked = queries.repartition(batches, F.pmod(F.xxhash64("vec_id"), F.lit(batches))).withColumn("batch", F.pmod(F.xxhash64("vec_id"), F.lit(batches)).cast("int"))
+    asked = queries.withColumn("batch", F.pmod(F.xxhash64("vec_id"), F.lit(batches)).cast("int"))
     asked = asked.select("vec_id", "v", "batch").groupBy("batch").applyInArrow(_pack_batch, f"batch int, {schema}")
     asked = asked.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
     hits = asked.groupBy("batch", "slice").cogroup(packed.groupBy("batch", "slice")).applyInArrow(_cell(k), "query_id long, vec_id long, score long")
