@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are hashed character n-grams (3 to 5 bytes of the text with A-Z lower-cased), present or
+Features are hashed character n-grams (3 to 6 bytes of the text with A-Z lower-cased), present or
 absent in a whole text.  Training takes a bounded sample of labelled rows (``sample_rows``, chosen by a
 hash of the id, equal texts once): the presence counts of both classes give each feature its log-count
 ratio, the ``n_features`` most telling ones are kept, and an L2-regularised logistic regression is
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import crc32_of_id
 from .wordhash import PLAIN_LOWER, U64, mix64, tokenised
 
-ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5), 20, 8000, 4096
+ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5, 6), 20, 20_000, 8192
 _FOLD = 5
 
 
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
     return Model(slot, weights, intercept)
 
 
-def _logistic(y: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, prior: float, l2: float = 2.0, steps: int = 300) -> tuple[np.ndarray, float]:
+def _logistic(y: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, prior: float, l2: float = 0.3, steps: int = 300) -> tuple[np.ndarray, float]:
     """Full-batch accelerated gradient descent on presences scaled by their ratios."""
     order = np.argsort([f.tobytes() for f in features], kind="stable") if len(features) < 2 else np.lexsort((y, [mix64(f.astype(U64) + U64(1)).sum() for f in features]))
     y, features = y[order], [features[i] for i in order]
