@@ -10,6 +10,7 @@ from .chat import format_chats, loss_text, parsed_turns
 from .common import read
 from .decontaminate import contamination, is_contaminated
 from .mixing import mix
+from .ngram_jaccard import near_duplicate_components
 from .substring_dedup import dedup_substrings
 from .topk import self_search
 
@@ -38,6 +39,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_components(read(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read(spark, sf_dir, "documents"))
     return mixed.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
@@ -56,7 +61,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return self_search(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op2_decontaminate": op2_decontaminate, "op4_substring_dedup": op4_substring_dedup, "op7_mixing": op7_mixing, "op9_chat_format": op9_chat_format, "op10_topk_search": op10_topk_search}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op2_decontaminate": op2_decontaminate, "op4_substring_dedup": op4_substring_dedup, "op6_ngram_jaccard": op6_ngram_jaccard, "op7_mixing": op7_mixing, "op9_chat_format": op9_chat_format, "op10_topk_search": op10_topk_search}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM_WORDS = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -87,6 +92,18 @@ kept AS (SELECT words.doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS
          FROM words LEFT JOIN gone USING (doc_id) WHERE gone.ps IS NULL OR NOT list_contains(gone.ps, p) GROUP BY words.doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op6_ngram_jaccard": f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, s, s + least(3, len(w)) - 1), ' ')) AS h
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 190 * c >= 90 * (x.n + y.n)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a AS node, a AS other FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.other),
+c AS (SELECT node, min(other) AS component FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = d.doc_id""",
     "op7_mixing": r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
