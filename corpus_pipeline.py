@@ -1,4 +1,61 @@
-STAGES = []
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanloom.llm import toxicity as tox
+from spanloom.llm.common import read
+from spanloom.llm.decontaminate import drop_contaminated
+from spanloom.llm.mixing import emit
+from spanloom.llm.ngram_jaccard import keep_one_each
+from spanloom.llm.substring_dedup import dedup_substrings
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go."""
+    model = tox.fit(docs, read(spark, sf_dir, "labels"), learn_from=~tox.held_out())
+    return tox.drop_toxic(docs, model)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return keep_one_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Windows of 20 words that started earlier leave the texts; texts may become empty."""
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    kept = dedup_substrings(docs, carry=others)
+    columns = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return kept.select(*(columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with at least a twentieth of their words in benchmark windows go."""
+    return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return emit(docs)
+
+
+STAGES = [("toxicity", toxicity), ("ngram_jaccard", ngram_jaccard), ("substring_dedup", substring_dedup), ("decontamination", decontamination), ("mixing", mixing)]
+#: A trained classifier decides in the first stage, which SQL cannot express; tests compare with brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over sf_dir's documents; their tables lie in the shared checkpoint folder."""
+    from spanloom.llm.common import shared_folder
+
+    folder = f"{shared_folder(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
+    docs = read(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{i}-{name}")
+        docs = spark.read.parquet(path)
+    return docs

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,16 +40,20 @@ def crc32_of_id(column: Column | str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"), F.lit("")).cast("binary"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a new one only where none is named (tests)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        import tempfile
+
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, read back from the shared checkpoint folder, so that lost executors cost nothing."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        import tempfile
-
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
-
-
-def u64(blob) -> np.ndarray:
-    return np.frombuffer(blob, np.uint64)

@@ -30,7 +30,8 @@ def source_targets(sizes: DataFrame, *, weights: Sequence[int] = WEIGHTS, share:
 
     Sources in order (null last) have the given weights, repeating; the targets sum to share[0]/share[1]
     of all sizes, or to max_repeat times the sizes if that is less.  Integer arithmetic decides which
-    sources are full; one division gives the level of the others.
+    sources are full; one division gives the level of the others: the
+    first source in order of filling that the remaining level does not fill (later ones give lower levels).
     """
     up, down = share
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -41,7 +42,7 @@ def source_targets(sizes: DataFrame, *, weights: Sequence[int] = WEIGHTS, share:
     before = F.coalesce(F.sum("cap").over(by_fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     w = w.withColumn("rest", F.col("total") * up - before * down).withColumn("open", F.sum("weight").over(by_fill.rowsBetween(0, Window.unboundedFollowing)) * down)
     level = F.when(F.col("cap") * F.col("open") >= F.col("weight") * F.col("rest"), F.col("rest") / F.col("open"))
-    w = w.withColumn("level", F.min(level).over(Window.partitionBy()))
+    w = w.withColumn("level", F.max(level).over(Window.partitionBy()))
     target = F.least(F.col("cap").cast("double"), F.coalesce(F.col("level"), F.lit(float("inf"))) * F.col("weight"))
     return w.select("source", "source_size", target.alias("target"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, toxicity
+from . import html_extract, language_id, lm_scoring, toxicity
 from .chat import format_chats, loss_text, parsed_turns
 from .common import read
 from .decontaminate import contamination, is_contaminated
@@ -39,6 +39,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_components(read(spark, sf_dir, "documents"))
 
@@ -48,6 +52,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    models = lm_scoring.fit(docs, read(spark, sf_dir, "labels"), wanted=F.col("quality") == 1)
+    return lm_scoring.score(docs, models)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql("SELECT stack(2, -1L, 0L, 'user', '</s>[INST] ok [/INST]', -1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS (conv_id, turn, role, text)")
@@ -61,7 +71,18 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return self_search(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op2_decontaminate": op2_decontaminate, "op4_substring_dedup": op4_substring_dedup, "op6_ngram_jaccard": op6_ngram_jaccard, "op7_mixing": op7_mixing, "op9_chat_format": op9_chat_format, "op10_topk_search": op10_topk_search}
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_language_id": op3_language_id,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_html_extract": op5_html_extract,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_mixing": op7_mixing,
+    "op8_lm_scoring": op8_lm_scoring,
+    "op9_chat_format": op9_chat_format,
+    "op10_topk_search": op10_topk_search,
+}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM_WORDS = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -111,7 +132,7 @@ w AS (SELECT *, CAST(([3, 1, 2])[(row_number() OVER (ORDER BY source NULLS LAST)
       2 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM s),
 f AS (SELECT *, 3 * total - 2 * CAST(coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rest,
       2 * CAST(sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS open FROM w),
-l AS (SELECT min(rest / open) AS level FROM f WHERE cap * open >= weight * rest),
+l AS (SELECT max(rest / open) AS level FROM f WHERE cap * open >= weight * rest),
 t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), level * weight) AS target FROM f, l),
 r AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
       CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0 AS u
