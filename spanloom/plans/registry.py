@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
+from . import annotate_queries
+
+_MODULES = (annotate_queries,)
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+for _m in _MODULES:
+    QUERIES |= _m.QUERIES
+    ORACLE_SQL |= _m.ORACLE_SQL
