@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import crc32_of_id
 from .wordhash import PLAIN_LOWER, U64, mix64, tokenised
 
-ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5, 6), 20, 20_000, 8192
+ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5, 6), 20, 20_000, 2048
 _FOLD = 5
 
 
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
         spread = np.sqrt(1 / (counts[1] + alpha) + 1 / (counts[0] + alpha))
         telling = np.where(counts.sum(axis=0) >= 3, np.abs(ratio) / spread, 0)
         kept = np.argsort(-telling, kind="stable")[:n_features]
-        kept = kept[telling[kept] > 2]
+        kept = kept[telling[kept] > 3]
         if not len(kept):
             return nothing
         slot = np.zeros(1 << BITS, np.int32)
@@ -131,8 +131,8 @@ def _logistic(y: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, prio
     """Full-batch accelerated gradient descent on presences scaled by their ratios."""
     order = np.argsort([f.tobytes() for f in features], kind="stable") if len(features) < 2 else np.lexsort((y, [mix64(f.astype(U64) + U64(1)).sum() for f in features]))
     y, features = y[order], [features[i] for i in order]
-    row, col = np.repeat(np.arange(len(y)), [len(f) for f in features]), np.concatenate(features).astype(np.int64)
-    value = ratio[col]
+    row, col = np.repeat(np.arange(len(y), dtype=np.int32), [len(f) for f in features]), np.concatenate(features).astype(np.int32)
+    value = ratio[col].astype(np.float32)
     w, b, dw, db = np.zeros(len(ratio)), prior, np.zeros(len(ratio)), 0.0
     norm = np.bincount(row, value**2, minlength=len(y)).max(initial=1.0) + 1
     rate = 4.0 / norm / len(y) * 8
