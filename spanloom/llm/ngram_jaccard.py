@@ -336,4 +336,4 @@ def keep_one_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> Data
     """The rows of docs, all columns, whose id is the smallest of its component."""
     labelled = near_duplicate_components(docs, id_col=id_col, **options)
     gone = labelled.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("shuffle_hash"), id_col, "left_anti").select(*docs.columns)
