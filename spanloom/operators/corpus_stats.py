@@ -56,15 +56,20 @@ def relations_table(rows: DataFrame) -> DataFrame:
     """One row per relation with its chemical and its disease.  Entities and relations stand in the same
     row, so arguments are looked up in a map: no join.  Of repeated entity ids the last one counts."""
     usable = rows.where("entities IS NOT NULL AND relations IS NOT NULL")
-    by_id = F.transform("entities", lambda e: F.struct(e["id"].alias("id"), F.struct(e["type"].alias("type"), F.array_join(F.filter(e["text"], lambda t: t.isNotNull()), " ").alias("text"), F.coalesce(F.get(e["normalized"], F.lit(0))["db_id"], F.lit("")).alias("db_id")).alias("v")))
-    # ids once each, and for each the last of the entities that have it
-    ids, latest = F.array_distinct(F.transform("entities", lambda e: e["id"])), F.reverse(by_id)
-    last = F.map_from_arrays(ids, F.transform(ids, lambda i: F.get(F.filter(latest, lambda x: x["id"] == i), F.lit(0))["v"]))
-    r = usable.select("document_id", last.alias("m"), F.posexplode("relations").alias("ordinal", "r")).withColumns({"a": F.element_at("m", F.col("r.arg1_id")), "b": F.element_at("m", F.col("r.arg2_id"))})
+    name = lambda e: F.array_join(F.filter(e["text"], lambda t: t.isNotNull()), " ")
+    value = lambda e: F.named_struct(F.lit("type"), e["type"], F.lit("text"), name(e), F.lit("db_id"), F.coalesce(F.get(e["normalized"], F.lit(0))["db_id"], F.lit("")))
+    usable = rows.where("entities IS NOT NULL AND relations IS NOT NULL")
+    ids = F.transform("entities", lambda e: e["id"])
+    usable = usable.select("document_id", "relations", ids.alias("ids"), F.array_distinct(ids).alias("once"), F.transform("entities", value).alias("values"))
+    # ids once each; only where some repeat is the last of their entities looked for
+    last = F.transform("once", lambda i: F.get("values", F.size("ids") - F.array_position(F.reverse("ids"), i).cast("int")))
+    usable = usable.select("document_id", "relations", F.when(F.size("once") == F.size("ids"), F.map_from_arrays("ids", "values")).otherwise(F.map_from_arrays("once", last)).alias("m"))
+    found = F.transform("relations", lambda r: F.named_struct(F.lit("type"), r["type"], F.lit("a"), F.element_at("m", r["arg1_id"]), F.lit("b"), F.element_at("m", r["arg2_id"])))
+    r = usable.select("document_id", F.posexplode(found).alias("ordinal", "r")).select("document_id", "ordinal", F.col("r.type").alias("type"), F.col("r.a").alias("a"), F.col("r.b").alias("b"))
     pick = lambda kind: F.when(F.col("a.type") == kind, F.col("a")).when(F.col("b.type") == kind, F.col("b"))
     chemical, disease = pick("Chemical"), pick("Disease")
-    empty = lambda c: F.coalesce(c, F.lit(""))
-    return r.select("document_id", "ordinal", F.col("r.type").alias("type"), empty(chemical["text"]).alias("chemical"), empty(chemical["db_id"]).alias("chemical_id"), empty(disease["text"]).alias("disease"), empty(disease["db_id"]).alias("disease_id"))
+    empty = lambda x: F.coalesce(x, F.lit(""))
+    return r.select("document_id", "ordinal", "type", empty(chemical["text"]).alias("chemical"), empty(chemical["db_id"]).alias("chemical_id"), empty(disease["text"]).alias("disease"), empty(disease["db_id"]).alias("disease_id"))
 
 
 def relation_stats(rows: DataFrame) -> DataFrame:
@@ -105,17 +110,19 @@ def tag_counts(rows: DataFrame) -> DataFrame:
 
 
 def iob_mentions(rows: DataFrame) -> DataFrame:
-    """One row per mention: B opens, I goes on (or opens if nothing is open), else it ends.
-
-    A mention starts at B, or at I after neither; it ends before the next token that does not go on.  Both
-    follow from the tags next to a token, so a sentence is worked on in its own row, without a shuffle."""
-    ok = rows.where(F.size("tokens") == F.size("ner_tags")).select("id", "tokens", F.transform("ner_tags", lambda t: F.substring(tag_name(t), 1, 1)).alias("t"))
-    n = F.size("t")
-    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (F.get("t", i) == "B") | ((F.get("t", i) == "I") & ~F.coalesce(F.get("t", F.when(i > 0, i - 1).otherwise(-1)), F.lit("O")).isin("B", "I")))
-    df = ok.where(n > 0).withColumn("starts", starts).withColumn("goes_on", F.array_join(F.transform("t", lambda x: F.when(x == "I", "I").otherwise("-")), ""))
-    df = df.select("id", "tokens", "goes_on", F.posexplode("starts").alias("ordinal", "first"))
-    length = 1 + F.length(F.regexp_extract(F.substr("goes_on", F.col("first") + 2), "^I*", 0))
-    return df.select("id", "ordinal", F.array_join(F.slice("tokens", F.col("first") + 1, length), " ").alias("mention"), length.alias("n_tokens"))
+    """One row per mention: B opens, I goes on (or opens if nothing is open), else it ends; rows whose
+    arrays differ in length are skipped.
+
+    A sentence is written as one string, each token behind the letter of its tag and before an end mark
+    (U+0002, which tokens must not hold); mentions are then matches of B or I and the I that follow.  This
+    works inside the row, without a shuffle, and only mentions are exploded."""
+    mark = "\x02"
+    ok = rows.where(F.size("tokens") == F.size("ner_tags"))
+    tagged = F.transform(F.arrays_zip("tokens", "ner_tags"), lambda x: F.concat(F.substring(tag_name(x["ner_tags"]), 1, 1), x["tokens"], F.lit(mark)))
+    found = F.regexp_extract_all(F.array_join(tagged, ""), F.lit("(?:(?<=\x02)|^)[BI][^\x02]*\x02(?:I[^\x02]*\x02)*"), F.lit(0))
+    m = ok.select("id", F.posexplode(found).alias("ordinal", "m"))
+    parts = F.filter(F.split("m", mark), lambda p: p != "")
+    return m.select("id", "ordinal", F.array_join(F.transform(parts, lambda p: F.substr(p, F.lit(2))), " ").alias("mention"), F.size(parts).alias("n_tokens"))
 
 
 def mentions_per_sentence(rows: DataFrame, mentions: DataFrame) -> DataFrame:

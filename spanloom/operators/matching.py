@@ -116,8 +116,8 @@ def nearest_span(probes: DataFrame, candidates: DataFrame, keys: list[str], ordi
     before = Window.partitionBy(*keys).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     after = Window.partitionBy(*keys).orderBy(F.col("at").desc(), F.col("kind")).rowsBetween(Window.unboundedPreceding, 0)
     marked = events.withColumns({"reach": F.max("e").over(before), "next": F.min("s").over(after)}).where("kind = 1")
-    gap = F.least(F.greatest(F.col("start") - F.col("reach"), F.lit(0)), F.greatest(F.col("next") - F.col("end"), F.lit(0)))
-    known = marked.select(*keys, "start", "end", F.coalesce(gap, F.greatest(F.col("start") - F.col("reach"), F.lit(0)), F.greatest(F.col("next") - F.col("end"), F.lit(0))).alias("nearest_distance"))
+    back, ahead = (F.when(x.isNotNull(), F.greatest(x, F.lit(0))) for x in (F.col("start") - F.col("reach"), F.col("next") - F.col("end")))
+    known = marked.select(*keys, "start", "end", F.least(back, ahead).alias("nearest_distance"))  # least skips nulls
     # spans within that distance of the probe, end to end, are the nearest ones: an overlap join finds them
     wide = known.withColumns({"ps": F.col("start"), "pe": F.col("end")}).withColumns({"start": F.greatest(F.col("ps") - F.col("nearest_distance") - 1, F.lit(0)), "end": F.col("pe") + F.col("nearest_distance") + 1}).where("nearest_distance IS NOT NULL")
     hits = overlap_join(wide, c.withColumnsRenamed({"s": "start", "e": "end"}), keys)
