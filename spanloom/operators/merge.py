@@ -27,11 +27,11 @@ def merge_documents(documents: DataFrame, prefer: list[str]) -> DataFrame:
     said = lambda c: F.coalesce(strip(c), F.lit("")) != ""
     out = df.groupBy("document_id").agg(
         first("pmid", some("pmid")), first("title", said("title")), first("abstract", said("abstract")), first("full_text", some("full_text")), F.min_by("source", "_rank").alias("source"), first("year", some("year")),
-        F.transform(F.array_sort(F.collect_list(F.struct("_rank", "origin"))), lambda x: x["origin"]).alias("origin_sources"), F.array_sort(F.collect_list(F.struct("_rank", "metadata"))).alias("_meta"),
+        F.transform(F.array_sort(F.collect_list(F.struct("_rank", "origin"))), lambda x: x["origin"]).alias("origin_sources"), F.array_sort(F.collect_list(F.struct("_rank", F.map_entries("metadata").alias("entries")))).alias("_meta"),
     )
     # the first source's values win: entries of later ones are taken only for keys that are not there yet
     empty = F.create_map().cast("map<string,string>")
-    fresh = lambda acc, m: F.map_filter(F.coalesce(m["metadata"], empty), lambda k, _: ~F.map_contains_key(acc, k) & (k != "origin_sources"))
+    fresh = lambda acc, m: F.map_filter(F.coalesce(F.map_from_entries(m["entries"]), empty), lambda k, _: ~F.map_contains_key(acc, k) & (k != "origin_sources"))
     metadata = F.aggregate("_meta", empty, lambda acc, m: F.map_concat(acc, fresh(acc, m)))
     return out.withColumn("metadata", metadata).withColumns({c: F.coalesce(c, F.lit("")) for c in ("title", "abstract")}).drop("_meta")
 
