@@ -37,6 +37,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: Opening one of these ends an open paragraph.
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 _AGAINST = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|menu\w*|nav\w*|navbar|breadcrumb\w*|sidebar|side-bar|footer|foot|masthead|cookie\w*|consent|gdpr|notice|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social\w*|related|recommend\w*|comment\w*|disqus|replies|reply|respond|pagination|pager|widget\w*|copyright|legal|disclaimer|skip|toolbar|outbrain|taboola)(?:$|[\s_-])", re.I)
+_HEADER = re.compile(r"(?:^|[\s_-])(?:header|heading|head|topbar|top|branding|logo|brand)(?:$|[\s_-])", re.I)
 _FOR = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|content|main|body|text|articlebody|prose)(?:$|[\s_-])", re.I)
 _ROLES_AGAINST = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Evidence of elements, in units of cost: above zero for content, below for boilerplate.
@@ -146,6 +147,8 @@ def blocks_of(page: str) -> list[Block]:
                 weight -= 12.0
             elif names and _FOR.search(names):
                 weight += 3.0
+            elif names and name not in ("body", "html") and for_ < 3 and _HEADER.search(names):
+                weight -= 8.0  # the head of the site; inside the article it is the article's own
             if attributes.get("role", "").lower() in _ROLES_AGAINST:
                 weight -= 12.0
             if attributes.get("itemprop", "").lower() == "articlebody":

@@ -12,7 +12,7 @@ query are kept.  Nothing is estimated: bounds, scores and ties (smaller vec_id)
 Defined results: vectors null, empty or with null or non-finite components, and rows without vec_id,
 take no part; shorter vectors count as padded by zeros; rows that share a query's vec_id count as its
 own; of rows that share a vec_id divisible by ``every`` the smallest vector asks; a query with fewer
-candidates gets them all.
+candidates gets them all.  Scores must fit a 64-bit integer.
 """
 
 from __future__ import annotations

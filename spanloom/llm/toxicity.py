@@ -14,6 +14,7 @@ class, every score is the smoothed share of toxic labels.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 from .common import crc32_of_id
 from .wordhash import PLAIN_LOWER, U64, mix64, tokenised
 
-ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5, 6), 20, 20_000, 2048
+ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5, 6), 20, 12_000, 2048
 _FOLD = 5
+#: Bytes of text handled at once, and rows of one gradient step's slice: both bound memory only.
+CHUNK, SLICE_ROWS = 1 << 18, 1500
 
 
 @dataclass
@@ -54,7 +57,7 @@ def _ngrams(w):
 def kept_features(texts, slot: np.ndarray):
     """Distinct (row, feature) pairs of each chunk of texts: rows, features, first row, rows."""
     size = int(slot.max(initial=0)) + 1
-    for w in tokenised(texts, PLAIN_LOWER):
+    for w in tokenised(texts, PLAIN_LOWER, CHUNK):
         found = []
         for n, grams in _ngrams(w):
             feature = slot[grams]
@@ -76,7 +79,7 @@ def _count_presences(batches):
             for y in (0, 1):
                 counts[y] += np.bincount(feature[label[first + row] == y], minlength=1 << BITS).astype(np.uint32)
     if rows.sum():
-        yield pa.RecordBatch.from_pydict({"n0": [int(rows[0])], "n1": [int(rows[1])], "counts": [counts.tobytes()]})
+        yield pa.RecordBatch.from_pydict({"n0": [int(rows[0])], "n1": [int(rows[1])], "counts": [zlib.compress(np.minimum(counts, 65535).astype(np.uint16).tobytes(), 1)]})
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, learn_from: Column, sample_rows: int) -> DataFrame:
@@ -98,7 +101,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
         nothing = Model(np.zeros(1 << BITS, np.int32), np.zeros(1), prior)
         if not n.all():
             return nothing
-        counts = sum(np.frombuffer(p.counts, np.uint32).reshape(2, -1).astype(np.float64) for p in parts)
+        counts = np.zeros((2, 1 << BITS), np.float32)
+        for part in parts:
+            counts += np.frombuffer(zlib.decompress(part.counts), np.uint16).reshape(2, -1)
+        del parts
         ratio = np.log((counts[1] + alpha) / (n[1] + 2 * alpha)) - np.log((counts[0] + alpha) / (n[0] + 2 * alpha))
         spread = np.sqrt(1 / (counts[1] + alpha) + 1 / (counts[0] + alpha))
         telling = np.where(counts.sum(axis=0) >= 3, np.abs(ratio) / spread, 0)
@@ -131,17 +137,23 @@ def _logistic(y: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, prio
     """Full-batch accelerated gradient descent on presences scaled by their ratios."""
     order = np.argsort([f.tobytes() for f in features], kind="stable") if len(features) < 2 else np.lexsort((y, [mix64(f.astype(U64) + U64(1)).sum() for f in features]))
     y, features = y[order], [features[i] for i in order]
-    row, col = np.repeat(np.arange(len(y), dtype=np.int32), [len(f) for f in features]), np.concatenate(features).astype(np.int32)
-    value = ratio[col].astype(np.float32)
+    slices = []
+    for at in range(0, len(y), SLICE_ROWS):
+        part = features[at : at + SLICE_ROWS]
+        row, col = np.repeat(np.arange(len(part), dtype=np.int32), [len(f) for f in part]), np.concatenate(part).astype(np.int32)
+        slices.append((y[at : at + SLICE_ROWS], row, col, ratio[col].astype(np.float32)))
     w, b, dw, db = np.zeros(len(ratio)), prior, np.zeros(len(ratio)), 0.0
-    norm = np.bincount(row, value**2, minlength=len(y)).max(initial=1.0) + 1
+    norm = max(np.bincount(row, value.astype(float) ** 2, minlength=1).max(initial=1.0) for _, row, _, value in slices) + 1
     rate = 4.0 / norm / len(y) * 8
     for step in range(steps):
         k = step / (step + 3)
         ww, bb = w + k * dw, b + k * db
-        p = 1 / (1 + np.exp(-np.clip(bb + np.bincount(row, ww[col] * value, minlength=len(y)), -30, 30)))
-        g = np.bincount(col, (p - y)[row] * value, minlength=len(w)) + l2 * ww
-        new_w, new_b = ww - rate * g, bb - rate * (p - y).sum()
+        g, gb = l2 * ww, 0.0
+        for part, row, col, value in slices:
+            p = 1 / (1 + np.exp(-np.clip(bb + np.bincount(row, ww[col] * value, minlength=len(part)), -30, 30))) - part
+            g += np.bincount(col, p[row] * value, minlength=len(w))
+            gb += p.sum()
+        new_w, new_b = ww - rate * g, bb - rate * gb
         dw, db, w, b = new_w - w, new_b - b, new_w, new_b
     return w * ratio, float(b)
 
