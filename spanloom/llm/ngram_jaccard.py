@@ -102,7 +102,7 @@ class Order:
         share = np.cumsum(weights) / max(1, weights.sum())
         cuts = []
         for i in range(1, fragments):
-            r = int(np.searchsorted(share, i / fragments))
+            r = min(int(np.searchsorted(share, i / fragments)), len(share) - 1)
             before = share[r - 1] if r else 0.0
             within = (i / fragments - before) / max(share[r] - before, 1e-12)
             cuts.append((r << 56) | int(within * ((1 << 56) - 1)))
