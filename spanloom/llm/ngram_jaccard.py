@@ -104,7 +104,7 @@ class Order:
         for i in range(1, fragments):
             r = min(int(np.searchsorted(share, i / fragments)), len(share) - 1)
             before = share[r - 1] if r else 0.0
-            within = (i / fragments - before) / max(share[r] - before, 1e-12)
+            within = min(1.0, max(0.0, (i / fragments - before) / max(share[r] - before, 1e-12)))
             cuts.append((r << 56) | int(within * ((1 << 56) - 1)))
         self.cuts = np.array(cuts, U64)
 
