@@ -77,7 +77,7 @@ def raw_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(F.when((h % 25 == 0) & (h % 7 != 0), row("a5", c, end, F.lit("DISEASE_DISORDER"), mesh if c == 0 else none, null)) for c in (0, 1)),
     ]
     df = spans(spark, sf_dir).join(documents(spark, sf_dir).select("doc_id", F.length("text").alias("n")), "doc_id")
-    df = df.withColumn("p", F.explode(F.array_compact(F.array(*candidates)))).select("doc_id", "document_id", "pos", "start", "p.*")
+    df = df.withColumn("p", F.explode(F.array(*candidates))).where("p IS NOT NULL").select("doc_id", "document_id", "pos", "start", "p.*")
     return df.withColumn("ordinal", F.row_number().over(Window.partitionBy("doc_id", "source").orderBy("pos", "sub")))
 
 
