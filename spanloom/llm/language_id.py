@@ -70,8 +70,8 @@ class Model:
     logp: np.ndarray  # hashed n-gram x language
     allowed: np.ndarray  # script x language
 
-    def word_scores(self, w) -> np.ndarray:
-        """Words x languages."""
+    def word_scores(self, w) -> tuple[np.ndarray, np.ndarray]:
+        """Words x languages, and which words have a letter."""
         per_byte = np.zeros((len(w.data), len(self.languages)), np.float32)
         for n, grams in _grams(w):
             # an n-gram counts at its first byte; those that begin at the blank before a word count for the word
@@ -96,7 +96,6 @@ class Model:
             if not len(w) or not self.languages:
                 continue
             sums, has = self.word_scores(w)
-            n = np.diff(w.row_word)
             path = viterbi(sums, w.row_word, penalty)
             weight = np.where(has, w.ends - w.starts, 0)
             votes = np.bincount(w.row * len(self.languages) + path, weight, minlength=w.n_rows * len(self.languages)).reshape(w.n_rows, -1)
@@ -108,7 +107,6 @@ class Model:
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(path)], strict=True):
                 r = w.row[a]
                 spans[w.first_row + r].append({"start": int(a - w.row_word[r]), "end": int(b - w.row_word[r]), "lang": self.languages[path[a]]})
-            del n
         return best, share, spans
 
 
@@ -147,7 +145,7 @@ def viterbi(scores: np.ndarray, cut: np.ndarray, penalty: float) -> np.ndarray:
 
 
 def _count(table: pa.Table) -> pa.Table:
-    counts, scripts = np.zeros((1 << BITS) * 1, np.int64), np.zeros(N_SCRIPTS, np.int64)
+    counts, scripts = np.zeros(1 << BITS, np.int64), np.zeros(N_SCRIPTS, np.int64)
     for w in tokenised(table["text"], ALNUM_LOWER):
         for _, grams in _grams(w):
             counts += np.bincount(grams, minlength=1 << BITS)

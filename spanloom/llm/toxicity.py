@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
 
 def _logistic(y: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, prior: float, l2: float = 0.3, steps: int = 300) -> tuple[np.ndarray, float]:
     """Full-batch accelerated gradient descent on presences scaled by their ratios."""
-    order = np.argsort([f.tobytes() for f in features], kind="stable") if len(features) < 2 else np.lexsort((y, [mix64(f.astype(U64) + U64(1)).sum() for f in features]))
+    order = np.lexsort((y, [mix64(f.astype(U64) + U64(1)).sum() for f in features]))  # whatever the order of arrival
     y, features = y[order], [features[i] for i in order]
     slices = []
     for at in range(0, len(y), SLICE_ROWS):
