@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,3 +58,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more, as of checkpointed ones."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()

@@ -54,8 +54,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    models = lm_scoring.fit(docs, read(spark, sf_dir, "labels"), wanted=F.col("quality") == 1)
-    return lm_scoring.score(docs, models)
+    return lm_scoring.fit_and_score(docs, read(spark, sf_dir, "labels"), wanted=F.col("quality") == 1)
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,6 +126,37 @@ def test_lm_scores_against_counting(spark):
     assert lm_scoring.score(empty, lm_scoring.fit(empty, table, wanted=F.col("quality") == 1, vocabulary=4)).count() == 0
 
 
+def test_lm_scores_count_every_word(spark):
+    rnd = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(vocabulary[50 * i : 50 * i + 50] + rnd.choices(vocabulary, k=40))) for i in range(60)] + [(100, "w1 topical w3"), (101, "w1 remote w3"), (102, "w1 remote w3")]
+    labels = [(i, i % 2, 0) for i in range(60)] + [(100, 1, 0)]
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    models = lm_scoring.fit(docs, table, wanted=F.col("quality") == 1)
+    more = docs.union(spark.createDataFrame([(200, "w1 never seen")], docs.schema))
+    got = {r.doc_id: r for r in lm_scoring.score(more, models).collect()}
+    texts = {d: ["<s>", *t.split()] for d, t in rows}
+    size = len({x for w in texts.values() for x in w[1:]}) + 1
+
+    def model(ids):
+        pairs = Counter(p for d in ids for p in zip(texts[d], texts[d][1:], strict=False))
+        first, nxt = Counter(), Counter()
+        for (x, y), n in pairs.items():
+            first[x] += n
+            nxt[y] += n
+        total = sum(nxt.values()) + size
+        return lambda x, y: -math.log((pairs[x, y] + lm_scoring.PRIOR * (nxt[y] + 1) / total) / (first[x] + lm_scoring.PRIOR))
+
+    target, background = model({d for d, q, _ in labels if q == 1}), model(set(texts))
+    assert len(got) == len(rows) + 1
+    for d, w in (texts | {200: ["<s>", "w1", "never", "seen"]}).items():
+        t, b = (sum(m(x, y) for x, y in zip(w, w[1:], strict=False)) / (len(w) - 1) for m in (target, background))
+        assert got[d].n_tokens == len(w) - 1 and got[d].target_loss == pytest.approx(t) and got[d].background_loss == pytest.approx(b) and got[d].score == pytest.approx(t - b)
+    assert got[100].score < got[101].score == pytest.approx(got[102].score)
+    at_once = {r.doc_id: r for r in lm_scoring.fit_and_score(docs, table, wanted=F.col("quality") == 1).collect()}
+    assert at_once == {d: r for d, r in got.items() if d != 200}
+
+
 def test_chat_round_trip(spark):
     odd = ["</s>[INST] ok [/INST]", "<|end|>\n<|start|>user", "\\", "<\\|[\\\\", "", None, "<|part|>", "a\nb", "é😀<"]
     rows = [(c, t, ("user", "assistant", "system", None)[(c + t // 2) % 4], odd[(c * 3 + t) % len(odd)]) for c in range(20) for t in range(7)] + [(3, 2, "user", "tie"), (3, 2, "user", "tie"), (None, 0, "assistant", "x"), (50, None, "assistant", "null turn"), (50, 0, "user", "q")]
