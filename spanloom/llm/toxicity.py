@@ -3,9 +3,10 @@
 Features are hashed character n-grams (3 to 6 bytes of the text with A-Z lower-cased), present or
 absent in a whole text.  Training takes a bounded sample of labelled rows (``sample_rows``, chosen by a
 hash of the id, equal texts once): the presence counts of both classes give each feature its log-count
-ratio, the ``n_features`` most telling ones are kept, and an L2-regularised logistic regression is
-fitted on ratio-scaled presences.  Only the two count vectors and the kept features of the sample reach
-the driver; both are bounded.  Scoring is one narrow pass with two broadcast tables of fixed size.
+ratio, all telling ones are kept (or the ``n_features`` most telling ones), and an L2-regularised
+logistic regression is fitted on ratio-scaled presences.  The kept features of the sample stay in Spark:
+each step of L-BFGS sends the weights out and sums the tasks' partial gradients.  Only vectors of the
+2**20 hashed n-grams reach the driver.  Scoring is one narrow pass with two broadcast tables of fixed size.
 
 Defined results: null and empty texts have no features and get the score of the intercept; rows without
 a label train nothing; of repeated labels the largest counts; without any labelled row, or with only one
@@ -22,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_of_id
-from .wordhash import PLAIN_LOWER, U64, mix64, tokenised
+from .common import checkpointed, crc32_of_id
+from .wordhash import PLAIN_LOWER, U64, tokenised
 
-ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5, 6), 20, 12_000, 2048
+ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5, 6), 20, 20_000, None
 _FOLD = 5
-#: Bytes of text handled at once, and rows of one gradient step's slice: both bound memory only.
-CHUNK, SLICE_ROWS = 1 << 18, 1500
+#: Bytes of text handled at once, and rows of one slice of a gradient: both bound memory only.
+CHUNK, SLICE_ROWS = 1 << 18, 250
 
 
 @dataclass
@@ -92,7 +93,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return joined.groupBy(F.md5("text").alias("h")).agg(F.min("text").alias("text"), F.max("label").alias("label")).select("text", "label")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, n_features: int = N_FEATURES, alpha: float = 1.0, tasks: int = 8) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, n_features: int | None = N_FEATURES, alpha: float = 1.0, tasks: int = 8) -> Model:
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, learn_from, sample_rows).repartition(tasks).persist()
     try:
         parts = sample.mapInArrow(_count_presences, "n0 long, n1 long, counts binary").collect()
@@ -109,53 +110,97 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
         spread = np.sqrt(1 / (counts[1] + alpha) + 1 / (counts[0] + alpha))
         telling = np.where(counts.sum(axis=0) >= 3, np.abs(ratio) / spread, 0)
         kept = np.argsort(-telling, kind="stable")[:n_features]
-        kept = kept[telling[kept] > 3]
+        kept = kept[telling[kept] > 2]
         if not len(kept):
             return nothing
         slot = np.zeros(1 << BITS, np.int32)
         slot[kept] = np.arange(1, len(kept) + 1)
         held = docs.sparkSession.sparkContext.broadcast(slot)
 
-        def present(batches):
-            for batch in batches:
-                sets = [b""] * len(batch)
-                for row, feature, first, n_rows in kept_features(batch.column("text"), held.value):
-                    cut = np.searchsorted(row, np.arange(n_rows + 1))
-                    for r in range(n_rows):
-                        sets[first + r] = feature[cut[r] : cut[r + 1]].astype(np.uint32).tobytes()
-                yield pa.RecordBatch.from_pydict({"label": batch.column("label"), "features": pa.array(sets, pa.binary())})
-
-        rows = sample.mapInArrow(present, "label int, features binary").collect()
+        table = checkpointed(sample.mapInArrow(_presences(held), "label binary, sizes binary, features binary"))
     finally:
         sample.unpersist()
-    features = [np.frombuffer(r.features, np.uint32) for r in rows]
-    weights, intercept = _logistic(np.array([r.label for r in rows], float), features, ratio[kept], prior)
+    weights, intercept = _logistic(table, ratio[kept].astype(np.float64), prior, int(n.sum()))
     return Model(slot, weights, intercept)
 
 
-def _logistic(y: np.ndarray, features: list[np.ndarray], ratio: np.ndarray, prior: float, l2: float = 0.3, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Full-batch accelerated gradient descent on presences scaled by their ratios."""
-    order = np.lexsort((y, [mix64(f.astype(U64) + U64(1)).sum() for f in features]))  # whatever the order of arrival
-    y, features = y[order], [features[i] for i in order]
-    slices = []
-    for at in range(0, len(y), SLICE_ROWS):
-        part = features[at : at + SLICE_ROWS]
-        row, col = np.repeat(np.arange(len(part), dtype=np.int32), [len(f) for f in part]), np.concatenate(part).astype(np.int32)
-        slices.append((y[at : at + SLICE_ROWS], row, col, ratio[col].astype(np.float32)))
-    w, b, dw, db = np.zeros(len(ratio)), prior, np.zeros(len(ratio)), 0.0
-    norm = max(np.bincount(row, value.astype(float) ** 2, minlength=1).max(initial=1.0) for _, row, _, value in slices) + 1
-    rate = 4.0 / norm / len(y) * 8
-    for step in range(steps):
-        k = step / (step + 3)
-        ww, bb = w + k * dw, b + k * db
-        g, gb = l2 * ww, 0.0
-        for part, row, col, value in slices:
-            p = 1 / (1 + np.exp(-np.clip(bb + np.bincount(row, ww[col] * value, minlength=len(part)), -30, 30))) - part
-            g += np.bincount(col, p[row] * value, minlength=len(w))
-            gb += p.sum()
-        new_w, new_b = ww - rate * g, bb - rate * gb
-        dw, db, w, b = new_w - w, new_b - b, new_w, new_b
-    return w * ratio, float(b)
+def _presences(held):
+    """Slices of rows: their labels, numbers of kept features and features."""
+
+    def presences(batches):
+        for batch in batches:
+            for at in range(0, len(batch), SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                found = [(np.bincount(row, minlength=n), feature) for row, feature, _, n in kept_features(part.column("text"), held.value)]
+                sizes, features = (np.concatenate(x).astype(np.uint32).tobytes() for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_pydict({"label": [part.column("label").to_numpy().astype(np.uint8).tobytes()], "sizes": [sizes], "features": [features]})
+
+    return presences
+
+
+def _partial(held):
+    """Per task the logistic loss of its rows and its gradient by the weights and the intercept."""
+
+    def partial(batches):
+        ratio, x = held.value
+        scaled, loss, g = ratio * x[:-1], 0.0, np.zeros(len(x))
+        for batch in batches:
+            for label, sizes, features in zip(*(batch.column(c).to_pylist() for c in ("label", "sizes", "features")), strict=True):
+                y, col = np.frombuffer(label, np.uint8), np.frombuffer(features, np.uint32)
+                row = np.repeat(np.arange(len(y)), np.frombuffer(sizes, np.uint32))
+                z = x[-1] + np.bincount(row, scaled[col], minlength=len(y))
+                off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
+                loss += float((np.logaddexp(0, z) - y * z).sum())
+                g[:-1] += np.bincount(col, off[row], minlength=len(ratio))
+                g[-1] += off.sum()
+        g[:-1] *= ratio
+        yield pa.RecordBatch.from_pydict({"loss": [loss], "gradient": [g.tobytes()]})
+
+    return partial
+
+
+def _logistic(table: DataFrame, ratio: np.ndarray, prior: float, rows: int, l2: float = 0.3) -> tuple[np.ndarray, float]:
+    """Logistic regression on presences scaled by their ratios; the gradients are summed in Spark."""
+    sc = table.sparkSession.sparkContext
+
+    def value(x):
+        held = sc.broadcast((ratio, x))
+        parts = table.mapInArrow(_partial(held), "loss double, gradient binary").collect()
+        held.destroy()
+        g = sum(np.frombuffer(p.gradient) for p in parts)
+        g[:-1] += l2 * x[:-1]
+        return sum(p.loss for p in parts) + l2 / 2 * float(x[:-1] @ x[:-1]), g
+
+    x = minimised(value, np.append(np.zeros(len(ratio)), prior), 1e-5 * rows)
+    return x[:-1] * ratio, float(x[-1])
+
+
+def minimised(value, x: np.ndarray, enough: float, steps: int = 100, memory: int = 8) -> np.ndarray:
+    """Minimum of a convex function by L-BFGS; value gives the function and its gradient."""
+    (best, g), pairs = value(x), []
+    for _ in range(steps):
+        if np.abs(g).max() <= enough:
+            break
+        q, taken = g.copy(), []
+        for s, y in reversed(pairs):
+            taken.append(s @ q / (s @ y))
+            q -= taken[-1] * y
+        q *= pairs[-1][0] @ pairs[-1][1] / (pairs[-1][1] @ pairs[-1][1]) if pairs else 1 / np.linalg.norm(g)
+        for (s, y), a in zip(pairs, reversed(taken), strict=True):
+            q += s * (a - y @ q / (s @ y))
+        step = 1.0
+        while True:
+            new = x - step * q
+            least, h = value(new)
+            if least <= best - 1e-4 * step * (g @ q):
+                break
+            step /= 2
+            if step < 1e-6:
+                return x
+        if (new - x) @ (h - g) > 1e-12:
+            pairs = [*pairs[1 - memory :], (new - x, h - g)]
+        x, best, g = new, least, h
+    return x
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -221,3 +221,16 @@ def test_toxicity_generalises(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d, s in got.items() if s < 0.5}
     nothing = toxicity.fit(docs, labels.where("toxic = 0"), learn_from=~toxicity.held_out())
     assert all(r.score == pytest.approx(1 / (1 + np.exp(-nothing.intercept))) for r in toxicity.score(docs, nothing).collect())
+
+
+def test_toxicity_uses_every_telling_ngram(spark):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+    plain, marks = [word() for _ in range(300)], [word() for _ in range(300)]
+    rows = [(i, " ".join(rnd.sample(plain, 8) + (rnd.sample(marks, 10) if i % 2 else []))) for i in range(1000)]
+    docs, labels = frame(spark, rows), spark.createDataFrame([(i, 0, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels, learn_from=~toxicity.held_out())
+    assert len(model.weights) > 2048
+    out = {r.doc_id for r in docs.where(toxicity.held_out()).collect()}
+    wrong = [r.doc_id for r in toxicity.score(docs, model).collect() if r.doc_id in out and (r.score >= 0.5) != (r.doc_id % 2 == 1)]
+    assert len(wrong) <= len(out) // 50
