@@ -31,7 +31,7 @@ from .common import bucket_count, checkpointed, text_bytes
 from .components import components
 from .wordhash import PLAIN_LOWER, U64, mix64, ngram_hashes, same_row, tokenised
 
-N, THRESHOLD, FRAGMENTS, SLICES, HOME_PARTNERS = 3, (90, 100), 4, 16, 1000
+N, THRESHOLD, FRAGMENTS, SLICES, HOME_PARTNERS, REQUESTS = 3, (90, 100), 4, 16, 1000, 64
 MIN_BITS, MAX_BITS = 20, 26
 
 
@@ -191,9 +191,7 @@ def _pair(up: int, down: int):
         other = np.flatnonzero((leader != np.arange(len(token))))
         head = leader[other]
         ok = _possible(size[head], place[head], size[other], place[other], up, down)
-        head, other = head[ok], other[ok]
-        swap = id_[other] < id_[head]
-        a, b = np.where(swap, other, head), np.where(swap, head, other)
+        a, b = head[ok], other[ok]  # the leader is the home, whatever its id: its partners are dealt by salt
         _, once = np.unique(np.stack((id_[a], set_[a], id_[b], set_[b])), axis=1, return_index=True) if len(a) else (None, np.zeros(0, np.int64))
         a, b = a[once], b[once]
         m = np.flatnonzero(many)
@@ -232,9 +230,13 @@ _SEGMENTS = pa.schema([("shard", pa.int32()), ("fragment", pa.int32()), ("home",
 def _cut(n: int, held, shards: int):
     """Each requested set, cut into its fragments, one row per home that asked and fragment."""
 
+    def packed(rows):
+        columns = list(zip(*rows, strict=True)) or [()] * len(_SEGMENTS)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SEGMENTS.types, strict=True)], schema=_SEGMENTS)
+
     def cut(batches):
         for batch in batches:
-            ids, asked, rows = batch.column("id").to_pylist(), batch.column("asked"), []
+            ids, asked, rows, size = batch.column("id").to_pylist(), batch.column("asked"), [], 0
             for r, grams in shingle_sets(batch.column("text"), n):
                 lo = set_hash(grams)[1]
                 wanted = [x for x in asked[r].as_py() if x["doc_set"] == lo]
@@ -246,8 +248,11 @@ def _cut(n: int, held, shards: int):
                 for x in wanted:
                     shard = (x["home"] * 31 + x["salt"]) % shards
                     rows += [(shard, f, x["home"], x["home_set"], x["salt"], ids[r], lo, blob) for f, blob in enumerate(blobs)]
-            columns = list(zip(*rows, strict=True)) or [()] * len(_SEGMENTS)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SEGMENTS.types, strict=True)], schema=_SEGMENTS)
+                    size += keys.nbytes
+                    if size > 8 << 20:
+                        yield packed(rows)
+                        rows, size = [], 0
+            yield packed(rows)
 
     return cut
 
@@ -277,7 +282,9 @@ def _links(texts: DataFrame, pairs: DataFrame, n: int, held, shards: int, up: in
     homes = asks.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     request = F.struct(F.col("doc_set"), F.col("a").alias("home"), F.col("a_set").alias("home_set"), F.col("salt"))
     wanted = salted.select(F.col("b").alias("id"), F.col("b_set").alias("doc_set"), "a", "a_set", "salt").union(homes.select(F.col("a").alias("id"), F.col("a_set").alias("doc_set"), "a", "a_set", "salt"))
-    wanted = wanted.groupBy("id").agg(F.collect_set(request).alias("asked"))
+    parts = wanted.groupBy("id").agg(F.ceil(F.count("*") / REQUESTS).cast("long").alias("parts"))
+    wanted = wanted.join(parts, "id").withColumn("part", F.pmod(F.xxhash64("doc_set", "a", "a_set", "salt"), F.col("parts")))
+    wanted = wanted.groupBy("id", "part").agg(F.collect_set(request).alias("asked"))  # about REQUESTS a row
     asked = texts.join(wanted.hint("shuffle_hash"), "id").select("id", "text", "asked")
     segments = asked.mapInArrow(_cut(n, held, shards), "shard int, fragment int, home long, home_set long, salt long, doc long, doc_set long, segment binary")
     partial = segments.groupBy("shard", "fragment").applyInArrow(_overlap, "home long, home_set long, doc long, doc_set long, overlap long")
@@ -320,7 +327,7 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     split = members.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     members = members.join(split, "token", "left_semi").select("token", "a", "a_set", "a_n", "b", "component", F.pmod(F.xxhash64("token"), F.lit(shards)).alias("shard"))
     rest = members.groupBy("shard").applyInArrow(_cross(up, down), ", ".join(f"{c} long" for c in pair_columns)).distinct()
-    rest = checkpointed(rest.join(pairs.select("a", "a_set", "b", "b_set"), ["a", "a_set", "b", "b_set"], "left_anti").select(*pair_columns))
+    rest = checkpointed(rest.join(pairs.select("a", "a_set", "b", "b_set").union(pairs.select("b", "b_set", "a", "a_set")), ["a", "a_set", "b", "b_set"], "left_anti").select(*pair_columns))
     if not rest.isEmpty():
         more = checkpointed(_links(texts, rest, n, held, shards, up, down))
         if not more.isEmpty():

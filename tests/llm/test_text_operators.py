@@ -234,3 +234,13 @@ def test_toxicity_uses_every_telling_ngram(spark):
     out = {r.doc_id for r in docs.where(toxicity.held_out()).collect()}
     wrong = [r.doc_id for r in toxicity.score(docs, model).collect() if r.doc_id in out and (r.score >= 0.5) != (r.doc_id % 2 == 1)]
     assert len(wrong) <= len(out) // 50
+
+
+def test_leader_of_a_group_is_the_home(spark):
+    from spanloom.llm.ngram_jaccard import _pair
+
+    one = lambda x, t: np.array(x, t).tobytes()
+    columns = [one([7] * 3, np.uint64), one([9, 1, 2], np.int64), one([90, 10, 20], np.int64), one([50] * 3, np.uint32), one([0] * 3, np.uint32), one([5, 1, 1], np.uint32)]
+    table = pa.table({"shard": pa.array([0], pa.int32())} | {c: [x] for c, x in zip(("tokens", "ids", "sets", "sizes", "places", "copies"), columns, strict=True)})
+    pairs = {(r["a"], r["b"]) for r in _pair(90, 100)(table).to_pylist() if r["kind"] == 0}
+    assert pairs == {(9, 1), (9, 2)}
