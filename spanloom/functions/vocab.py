@@ -12,11 +12,13 @@ from .text import col, strip
 
 #: The clinical label family shared by two taggers.  Two labels have canonical types.
 CLINICAL_LABELS = (
-    "DISEASE_DISORDER MEDICATION ACTIVITY ADMINISTRATION AGE AREA BIOLOGICAL_ATTRIBUTE BIOLOGICAL_STRUCTURE CLINICAL_EVENT COLOR COREFERENCE DATE "
-    "DETAILED_DESCRIPTION DIAGNOSTIC_PROCEDURE DISTANCE DOSAGE DURATION FAMILY_HISTORY FREQUENCY HEIGHT HISTORY LAB_VALUE MASS NONBIOLOGICAL_LOCATION "
-    "OCCUPATION OTHER_ENTITY OTHER_EVENT OUTCOME PERSONAL_BACKGROUND QUALITATIVE_CONCEPT QUANTITATIVE_CONCEPT SEVERITY SEX SHAPE SIGN_SYMPTOM SUBJECT "
-    "TEXTURE THERAPEUTIC_PROCEDURE TIME VOLUME WEIGHT"
-).split()
+    "DISEASE_DISORDER", "MEDICATION", "ACTIVITY", "ADMINISTRATION", "AGE", "AREA", "BIOLOGICAL_ATTRIBUTE",
+    "BIOLOGICAL_STRUCTURE", "CLINICAL_EVENT", "COLOR", "COREFERENCE", "DATE", "DETAILED_DESCRIPTION", "DIAGNOSTIC_PROCEDURE",
+    "DISTANCE", "DOSAGE", "DURATION", "FAMILY_HISTORY", "FREQUENCY", "HEIGHT", "HISTORY", "LAB_VALUE", "MASS",
+    "NONBIOLOGICAL_LOCATION", "OCCUPATION", "OTHER_ENTITY", "OTHER_EVENT", "OUTCOME", "PERSONAL_BACKGROUND",
+    "QUALITATIVE_CONCEPT", "QUANTITATIVE_CONCEPT", "SEVERITY", "SEX", "SHAPE", "SIGN_SYMPTOM", "SUBJECT", "TEXTURE",
+    "THERAPEUTIC_PROCEDURE", "TIME", "VOLUME", "WEIGHT",
+)
 CLINICAL_TYPES = {"DISEASE_DISORDER": "disease", "MEDICATION": "drug"}
 
 #: Annotator, its display name, and its (source type, canonical type, databases).
@@ -109,6 +111,16 @@ def type_choices(annotators: list[str]) -> list[str]:
     return [t for t in CHOICES if t in have] + sorted(have - set(CHOICES))
 
 
+def type_choices_of(requests: DataFrame, key: str) -> DataFrame:
+    """requests(key, annotator) -> key, choices: the types that the annotators of a key can produce, in the
+    order of ``type_choices``; unknown annotators add none."""
+    specs = entity_type_specs(requests.sparkSession).select("annotator", F.col("canonical_entity_type").alias("_type")).distinct()
+    place = F.array_position(F.array(*map(F.lit, CHOICES)), F.col("_type"))
+    found = requests.select(key, "annotator").distinct().join(specs, "annotator", "left")
+    types = found.groupBy(key).agg(F.array_sort(F.collect_set(F.when(F.col("_type").isNotNull(), F.struct((place == 0).alias("extra"), place.alias("place"), "_type")))).alias("x"))
+    return types.select(key, F.transform("x", lambda x: x["_type"]).alias("choices"))
+
+
 def unsupported_types(requests: DataFrame) -> DataFrame:
     """requests(annotator, entity_type) that the annotator cannot produce."""
     specs = entity_type_specs(requests.sparkSession).select("annotator", F.col("canonical_entity_type").alias("_type")).distinct()

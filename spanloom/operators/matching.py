@@ -5,9 +5,6 @@ predictions: document_id, source, ordinal, start, end, ...; gold: document_id, o
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,50 +42,34 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int
     return both.where(F.floor(F.greatest("start", "start_r") / width) == F.col("_bucket")).drop("_bucket")
 
 
-def greedy_pairs(predictions: list[tuple[int, int, int]], gold: list[tuple[int, int, int]], best: bool, taken: set[int]) -> list[tuple[int, int]]:
-    """Predictions (i, start, end) in order take one free gold span (j, start, end) that they overlap: the
-    lowest j, or with best the longest overlap (then the lowest j)."""
-    by_start = sorted(gold, key=lambda g: g[1])
-    starts, longest = [g[1] for g in by_start], max((g[2] - g[1] for g in gold), default=0)
-    pairs = []
-    for i, start, end in predictions:
-        pick = None
-        for k in range(bisect_left(starts, start - longest), bisect_left(starts, end)):
-            j, s, e = by_start[k]
-            if j not in taken and max(start, s) < min(end, e):
-                rank = (-(min(end, e) - max(start, s)), j) if best else (j,)
-                if pick is None or rank < pick:
-                    pick = rank
-        if pick is not None:
-            taken.add(pick[-1])
-            pairs.append((i, pick[-1]))
-    return pairs
-
-
 def _greedy(predictions: DataFrame, gold: DataFrame, best: bool, done: DataFrame | None = None) -> DataFrame:
-    """Order-dependent one-to-one matching: per document one row with its spans as arrays of numbers goes
-    through an Arrow helper; pairs in done are taken already."""
-    span = lambda n: F.array_sort(F.collect_list(F.struct(n, "start", "end")))
-    p = predictions.groupBy("document_id", "source").agg(span("i").alias("p"))
-    g = gold.groupBy("document_id").agg(span("j").alias("g"))
-    rows = p.join(g, "document_id")
+    """Order-dependent one-to-one matching: predictions in order take one free gold span that they overlap, the
+    lowest j, or with best the longest overlap (then the lowest j); pairs in done are taken already.
+
+    Overlaps come from the bucketed join.  A document falls into islands where no later prediction can reach a
+    gold span that an earlier one could; only within an island does the order matter, and there one fold over
+    its predictions picks the pairs."""
+    doc = ["document_id", "source"]
+    hits = overlap_join(predictions.select(*doc, "i", "start", "end"), gold.select("document_id", "j", "start", "end"), ["document_id"])
     if done is not None:
-        rows = rows.join(done.groupBy("document_id", "source").agg(F.collect_list("i").alias("di"), F.collect_list("j").alias("dj")), ["document_id", "source"], "left")
-    else:
-        rows = rows.withColumns({"di": F.array().cast("array<int>"), "dj": F.array().cast("array<int>")})
-
-    def match(batches):
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                used = set(row["di"] or ())
-                predictions_ = [(x["i"], x["start"], x["end"]) for x in row["p"] if x["i"] not in used]
-                pairs = greedy_pairs(predictions_, [(x["j"], x["start"], x["end"]) for x in row["g"]], best, set(row["dj"] or ()))
-                out += [(row["document_id"], row["source"], i, j) for i, j in pairs]
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int32()), strict=True)], names=["document_id", "source", "i", "j"])
-
-    return rows.select("document_id", "source", "p", "g", "di", "dj").mapInArrow(match, "document_id string, source string, i int, j int")
+        hits = hits.join(done.select(*doc, "i"), [*doc, "i"], "left_anti").join(done.select(*doc, "j"), [*doc, "j"], "left_anti")
+    overlap = F.least("end", "end_r") - F.greatest("start", "start_r")
+    wish = F.struct((-overlap if best else F.lit(0)).alias("rank"), "j")
+    asks = hits.groupBy(*doc, "i").agg(F.min("j").alias("low"), F.max("j").alias("high"), F.transform(F.array_sort(F.collect_list(wish)), lambda x: x["j"]).alias("wishes"))
+    earlier = Window.partitionBy(*doc).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*doc).orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    asks = asks.withColumn("_later", F.min("low").over(later)).withColumn("_before", F.max("high").over(earlier))
+    fresh = (F.col("_before").isNull() | (F.col("_later") > F.col("_before"))).cast("int")
+    asks = asks.withColumn("_island", F.sum(fresh).over(Window.partitionBy(*doc).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
+    islands = asks.groupBy(*doc, "_island").agg(F.array_sort(F.collect_list(F.struct("i", "wishes"))).alias("asks"))
+
+    def take(state, ask):
+        pick = F.get(F.filter(ask["wishes"], lambda j: ~F.array_contains(state["used"], j)), F.lit(0))
+        taken = F.struct(F.array_append(state["used"], pick).alias("used"), F.array_append(state["pairs"], F.struct(ask["i"].alias("i"), pick.alias("j"))).alias("pairs"))
+        return F.when(pick.isNull(), state).otherwise(taken)
+
+    nothing = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<struct<i:int,j:int>>").alias("pairs"))
+    return islands.select(*doc, F.inline(F.aggregate("asks", nothing, take, lambda state: state["pairs"])))
 
 
 def lenient_match(predictions: DataFrame, gold: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -84,19 +84,23 @@ def first_occurrences(ids: DataFrame, id_col: str, position_col: str) -> DataFra
     return ids.where(f"{id_col} IS NOT NULL").groupBy(id_col).agg(F.min(position_col).alias(position_col))
 
 
-def numbered(df: DataFrame, order_col: str, name: str) -> DataFrame:
-    """df + a dense number from 0 in the order of order_col, without sending all rows to one task: ranges
-    are sorted apart, and each range starts after the rows of those before it."""
-    from pyspark.sql import Window
+#: Positions of one range of ``numbered``: a range holds at most so many rows where positions differ.
+RANGE = 1 << 20
 
-    ranged = df.repartitionByRange(order_col).withColumn("_part", F.spark_partition_id()).withColumn("_i", F.row_number().over(Window.partitionBy("_part").orderBy(order_col)) - 1)
-    sizes = ranged.groupBy("_part").count().collect()
-    base, start = {}, 0
-    for r in sorted(sizes, key=lambda r: r["_part"]):
-        base[r["_part"]] = start
-        start += r["count"]
-    offset = F.element_at(F.create_map(*(F.lit(x) for kv in base.items() for x in kv)), F.col("_part")) if base else F.lit(0)
-    return ranged.withColumn(name, (offset + F.col("_i")).cast("long")).drop("_part", "_i")
+
+def numbered(df: DataFrame, order: list[str], name: str, ranges: list[Column] | None = None) -> DataFrame:
+    """df + a dense number from 0 in the order of the columns ``order``, without sending all rows to one task.
+
+    ranges are columns that depend on a row alone and rise with the order (by default the first order column, a
+    whole number, divided by RANGE): rows are numbered within their range, and each range starts after the rows
+    of those before it.  Nothing depends on how Spark partitions the rows, which may change between two plans."""
+    keys = {f"_r{i}": c for i, c in enumerate(ranges or [F.floor(F.col(order[0]) / RANGE)])}
+    ranged = df.withColumns(keys)
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = ranged.groupBy(*keys).agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    joined = ranged.withColumn("_i", within).join(starts.drop("_n"), list(keys))
+    return joined.withColumn(name, (F.col("_start") + F.col("_i")).cast("long")).drop(*keys, "_i", "_start")
 
 
 def request_batches(ids: DataFrame, id_col: str, position_col: str, single: int = 100, size: int = 1000) -> DataFrame:
@@ -104,10 +108,16 @@ def request_batches(ids: DataFrame, id_col: str, position_col: str, single: int
     once = first_occurrences(ids, id_col, position_col)
     n = once.count()
     batch = F.lit(0).cast("long") if n <= single else F.floor(F.col("_n") / size)
-    got = numbered(once, position_col, "_n").withColumn("batch", batch)
+    got = numbered(once, [position_col, id_col], "_n").withColumn("batch", batch)
     return got.groupBy("batch").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", id_col))), lambda x: x[id_col]).alias("ids"))
 
 
+def distinct_ordered(values: Column | str) -> Column:
+    """The values of an array, each once at its first place; nulls and blank strings are dropped."""
+    kept = F.filter(values, lambda x: x.isNotNull() & (strip(x) != ""))
+    return F.array_distinct(kept)
+
+
 def partial_date(text: Column | str, upper: bool = False) -> Column:
     """YYYY, YYYY/MM or YYYY/MM/DD (or with dashes) as a date: missing parts are the first ones, or the
     last ones for an upper bound; anything else is null."""
@@ -140,7 +150,7 @@ def plan_date_windows(rows: DataFrame, date_col: str, cap: int) -> list[tuple[dt
 
 
 def label_windows(rows: DataFrame, date_col: str, windows: list[tuple[dt.date, dt.date, int]]) -> DataFrame:
-    """rows + window_start, window_end."""
-    day = F.col(date_col).cast("date")
-    table = F.broadcast(rows.sparkSession.createDataFrame([(a, b) for a, b, _ in windows], "window_start date, window_end date"))
-    return rows.join(table, (day >= F.col("window_start")) & (day <= F.col("window_end")))
+    """rows + window_start, window_end: an equi-join on the calendar day, of which a window lists each once."""
+    table = rows.sparkSession.createDataFrame([(a, b) for a, b, _ in windows], "window_start date, window_end date")
+    days = table.withColumn("_day", F.explode(F.sequence("window_start", "window_end")))
+    return rows.withColumn("_day", F.col(date_col).cast("date")).join(days, "_day").drop("_day")

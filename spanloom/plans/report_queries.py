@@ -183,6 +183,21 @@ def p28_normalization_databases(spark, d):
     return V.normalization_databases(_requests(spark, d)).withColumn("databases", F.array_join("databases", "|"))
 
 
+def p28_annotator_capabilities(spark, d):
+    known = V.annotator_capabilities(spark).select("annotator", F.array_join("tasks", "|").alias("tasks"), "normalization_status", F.array_join("normalization_fields", "|").alias("fields"))
+    return _requests(spark, d).select("event_id", "annotator").join(known, "annotator", "left")
+
+
+def p28_type_choices(spark, d):
+    asked = X.table(spark, d, "events").select("user_id", F.element_at(F.array(*map(F.lit, V.ANNOTATORS)), (F.col("event_id") % len(V.ANNOTATORS) + 1).cast("int")).alias("annotator"))
+    return V.type_choices_of(asked, "user_id").withColumn("choices", F.array_join("choices", "|"))
+
+
+def u02_distinct_ordered(spark, d):
+    tokens = F.transform(F.split("text", "[ \\n]"), F.lower)
+    return X.documents(spark, d).select("document_id", F.md5(F.array_join(D.distinct_ordered(tokens), " ")).alias("tokens_md5"), F.size(D.distinct_ordered(tokens)).alias("n"))
+
+
 def j10_unsupported_types(spark, d):
     return V.unsupported_types(_requests(spark, d)).groupBy("annotator", "entity_type").agg(F.count("*").alias("n"))
 
@@ -207,7 +222,7 @@ def x03_crosswalk_identifiers(spark, d):
 
 
 def x04_relation_candidates(spark, d):
-    a = X.annotations(spark, d).where("source = 'a3'")
+    a = X.annotations(spark, d)
     types = spark.createDataFrame([("drug", "disease")], "type_a string, type_b string")
     return G.relation_candidates(a, X.documents(spark, d), types).groupBy("document_id", "sentence").agg(F.count("*").alias("pairs"))
 
@@ -245,7 +260,35 @@ _NAMES = "[" + ", ".join(f"'{a}'" for a in [*V.ANNOTATORS, "unknown"]) + "]"
 _REQUESTS = f"WITH r AS (SELECT event_id, ({_NAMES})[event_id % {len(V.ANNOTATORS) + 1} + 1] AS annotator, (['Gene', 'disease', 'problem', 'Cell type', 'organ'])[(event_id // {len(V.ANNOTATORS) + 1}) % 5 + 1] AS entity_type FROM events), c AS (SELECT *, (['gene', 'disease', 'problem', 'cell_type', 'organ'])[(event_id // {len(V.ANNOTATORS) + 1}) % 5 + 1] AS t FROM r), specs(annotator, t, dbs) AS (VALUES " + ", ".join(f"('{a}', '{t[1]}', '{'|'.join(t[2:])}')" for a, (_, types) in V.ANNOTATORS.items() for t in {x[1]: x for x in reversed(types)}.values()) + ")"
 _BASE = "CASE split_part(lower(id), ':', 1) WHEN 'mesh' THEN 'https://meshb.nlm.nih.gov/record/ui?ui=' || rest WHEN 'ncbi_gene' THEN 'https://www.ncbi.nlm.nih.gov/gene/' || rest WHEN 'cvcl' THEN 'https://www.cellosaurus.org/CVCL_' || rest WHEN 'cl' THEN 'https://purl.obolibrary.org/obo/CL_' || rest WHEN 'mim' THEN 'https://www.omim.org/entry/' || rest END"
 
+_FITS = "(" + ", ".join(f"'{a}'" for a in V.NORMALIZING) + ")"
+_CHOICE = "[" + ", ".join(f"'{t}'" for t in V.CHOICES) + "]"
+
 ORACLE_SQL = {
+    "p28_annotator_capabilities": _REQUESTS + f", f(annotator, fields) AS (VALUES {', '.join(f"('{a}', '{'|'.join(x)}')" for a, x in V.NORMALIZING.items())})" + f""" SELECT event_id, c.annotator, CASE WHEN c.annotator = 'unknown' THEN NULL WHEN c.annotator IN {_FITS} THEN 'NER|NEN' ELSE 'NER' END AS tasks,
+  CASE WHEN c.annotator = 'unknown' THEN NULL WHEN c.annotator IN {_FITS} THEN 'normalized' ELSE 'not_returned' END AS normalization_status, CASE WHEN c.annotator <> 'unknown' THEN coalesce(fields, '') END AS fields FROM c LEFT JOIN f ON f.annotator = c.annotator""",
+    "p28_type_choices": _REQUESTS + f""", u AS (SELECT DISTINCT user_id, ({_NAMES})[event_id % {len(V.ANNOTATORS)} + 1] AS annotator FROM events),
+t AS (SELECT DISTINCT user_id, t FROM u JOIN specs USING (annotator)), k AS (SELECT user_id, t, coalesce(nullif(list_position({_CHOICE}, t), 0), 999) AS place FROM t)
+SELECT DISTINCT u.user_id, coalesce(c.choices, '') AS choices FROM u LEFT JOIN (SELECT user_id, string_agg(t, '|' ORDER BY place, t) AS choices FROM k GROUP BY ALL) c USING (user_id)""",
+    "u02_distinct_ordered": _D + r""", t AS (SELECT document_id, unnest(string_split_regex(text, '[ \n]')) AS token, generate_subscripts(string_split_regex(text, '[ \n]'), 1) AS pos FROM docs),
+o AS (SELECT document_id, lower(token) AS token, min(pos) AS pos FROM t WHERE trim(token, ' ' || chr(9) || chr(10) || chr(13)) <> '' GROUP BY ALL), g AS (SELECT document_id, md5(string_agg(token, ' ' ORDER BY pos)) AS tokens_md5, count(*) AS n FROM o GROUP BY ALL)
+SELECT docs.document_id, coalesce(tokens_md5, md5('')) AS tokens_md5, CAST(coalesce(n, 0) AS INTEGER) AS n FROM docs LEFT JOIN g USING (document_id)""",
+    "w02_non_overlapping_spans": _A + """, k AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY start_, CASE source WHEN 'a3' THEN 0 WHEN 'a1' THEN 1 WHEN 'a2' THEN 2 ELSE 99 END, start_ - end_, source_rank, ordinal, annotation_id) AS o FROM ann WHERE end_ > start_),
+c AS (SELECT *, max(end_) OVER (PARTITION BY document_id ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM k),
+n AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY o) AS chain FROM c),
+f AS (SELECT document_id, list_reduce(list_prepend([CAST(-1 AS BIGINT)], list([CAST(start_ AS BIGINT), end_, o] ORDER BY o)), lambda a, x: CASE WHEN x[1] >= a[1] THEN list_append(list_prepend(x[2], a[2:]), x[3]) ELSE a END) AS kept FROM n GROUP BY document_id, chain),
+u AS (SELECT document_id, unnest(kept[2:]) AS o FROM f)
+SELECT document_id, annotation_id, source, start_ AS start, end_ AS "end" FROM k JOIN u USING (document_id, o)""",
+    "p26_date_windows": """WITH RECURSIVE days AS (SELECT CAST(ts AS DATE) AS d, count(*) AS c FROM events WHERE ts IS NOT NULL GROUP BY ALL), most AS (SELECT greatest(1, (SELECT count(*) FROM events) // 10) AS cap),
+w AS (SELECT min(d) AS lo, max(d) AS hi, CAST(sum(c) AS BIGINT) AS n FROM days
+  UNION ALL SELECT s.lo, s.hi, CAST((SELECT coalesce(sum(c), 0) FROM days WHERE d BETWEEN s.lo AND s.hi) AS BIGINT) AS n
+  FROM (SELECT CASE half WHEN 0 THEN lo ELSE lo + CAST((hi - lo) // 2 + 1 AS INTEGER) END AS lo, CASE half WHEN 0 THEN lo + CAST((hi - lo) // 2 AS INTEGER) ELSE hi END AS hi FROM w, most, (VALUES (0), (1)) AS h(half) WHERE n > cap) s)
+SELECT strftime(lo, '%Y-%m-%d') AS window_start, strftime(hi, '%Y-%m-%d') AS window_end, n FROM w, most WHERE n <= cap AND n > 0""",
+    "x04_relation_candidates": _A + r""", pc AS (SELECT document_id, unnest(string_split_regex(text, '[.!?][ \t\n\x0B\f\r]')) AS piece, generate_subscripts(string_split_regex(text, '[.!?][ \t\n\x0B\f\r]'), 1) - 1 AS sentence FROM docs),
+st AS (SELECT document_id, sentence, CAST(coalesce(sum(length(piece) + 2) OVER (PARTITION BY document_id ORDER BY sentence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at FROM pc),
+pl AS (SELECT DISTINCT document_id, start_, end_, entity_type FROM ann WHERE entity_type IN ('drug', 'disease')),
+q AS (SELECT pl.*, st.sentence FROM pl ASOF JOIN st ON pl.document_id = st.document_id AND pl.start_ >= st.at),
+c AS (SELECT document_id, sentence, count(*) FILTER (WHERE entity_type = 'drug') AS a, count(*) FILTER (WHERE entity_type = 'disease') AS b FROM q GROUP BY ALL)
+SELECT document_id, CAST(sentence AS INTEGER) AS sentence, a * b AS pairs FROM c WHERE a * b > 0""",
     "a13_bioconcept_stats": _STATS.replace("{fold}", FOLD).replace("{place}", "start_, end_"),
     "a13_bioconcept_stats_by_document": _STATS.replace("{fold}", FOLD).replace("{place}", "start_, end_, document_id"),
     "a14_type_histogram": _A + " SELECT entity_type AS type, count(*) AS annotation_count FROM ann GROUP BY ALL",

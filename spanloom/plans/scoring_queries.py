@@ -75,7 +75,8 @@ def a08_normalization_metrics(spark, d):
 
 def a08_normalization_metrics_lenient(spark, d):
     p, g = _inputs(spark, d)
-    return S.normalization_metrics(S.normalization_outcomes(p, g, M.lenient_match(p, g)))
+    df = S.normalization_metrics(S.normalization_outcomes(p, g, M.lenient_match(p, g)))
+    return _rounded(df, "accuracy", "precision", "recall", "gold_id_coverage", "prediction_id_coverage", "all_ids_rate")
 
 
 def a09_gold_coverage(spark, d):
@@ -113,8 +114,7 @@ def a12_false_positives(spark, d):
 
 def a12_false_negatives(spark, d):
     p, g, strict, boundary = _matched(spark, d)
-    names = spark.createDataFrame([(a,) for a in X.ANNOTATORS], "source string")
-    df = S.false_negatives(p, g, strict.unionByName(boundary), names)
+    df = S.false_negatives(p, g, strict.unionByName(boundary), X.ANNOTATORS)
     return df.select("document_id", "source", "j", "span_text", "start", "end", "nearest_ordinal", "nearest_distance", "nearest_text", "nearest_start", "nearest_end")
 
 
@@ -125,6 +125,7 @@ def k05_metrics_table(spark, d):
     for mode, pairs in (("strict", M.strict_match(p, g)), ("lenient", M.lenient_match(p, g))):
         counts, ids = S.match_metrics(p, g, pairs), S.normalization_metrics(S.normalization_outcomes(p, g, pairs))
         df = counts.join(ids.withColumnsRenamed({"precision": "id_precision", "recall": "id_recall"}), "source", "left")
+        df = _rounded(df, *(c for c, t in df.dtypes if t == "double"))
         parts.append(df.select("source", *(F.col(c).alias(f"{mode}_{c}") for c in df.columns if c not in ("source", "prediction_count", "gold_count")), *(("prediction_count", "gold_count") if mode == "strict" else ())))
     return parts[0].join(parts[1], "source")
 
@@ -142,6 +143,15 @@ gk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, start_, end_ ORDER BY j
 strict AS (SELECT pk.document_id, pk.doc_id, pk.source, pk.i, gk.j, pk.pa, gk.ga, gk.ids FROM pk JOIN gk ON pk.doc_id = gk.doc_id AND pk.start_ = gk.start_ AND pk.end_ = gk.end_ AND pk.k = gk.k),
 outcome AS (SELECT document_id, source, i, j, CASE WHEN len(ga) = 0 THEN 'missing_gold_id' WHEN len(pa) = 0 THEN 'missing_prediction_id' WHEN list_has_any(pa, ga) THEN 'correct' ELSE 'incorrect' END AS outcome,
   len(list_filter(ids, lambda x: NOT list_has_any(pa, [x, string_split(x, ':')[2]]))) = 0 AS all_recovered FROM strict)"""
+_FOLD = """, {0}ask AS (SELECT doc_id, source, i, list(j ORDER BY {1}) AS c FROM {0}hit GROUP BY ALL),
+{0}fold AS (SELECT doc_id, source, list(i ORDER BY i) AS ps, list_reduce(list_prepend(CAST([] AS BIGINT[]), list(c ORDER BY i)), lambda a, c: list_append(a, coalesce(list_filter(c, lambda j: NOT list_contains(a, j))[1], 0))) AS js FROM {0}ask GROUP BY ALL),
+{0} AS (SELECT doc_id, 'DOC:' || doc_id AS document_id, source, i, j FROM (SELECT doc_id, source, unnest(ps) AS i, unnest(js) AS j FROM {0}fold) WHERE j > 0)"""
+_OVERLAPS = "SELECT p.doc_id, p.source, p.i, g.j, least(p.end_, g.end_) - greatest(p.start_, g.start_) AS len FROM p JOIN g ON p.doc_id = g.doc_id AND greatest(p.start_, g.start_) < least(p.end_, g.end_)"
+_LENIENT = _P + f", lenienthit AS ({_OVERLAPS})" + _FOLD.format("lenient", "j")
+_BOUNDARY = _P + f", boundaryhit AS (SELECT o.* FROM ({_OVERLAPS}) o ANTI JOIN strict s ON o.doc_id = s.doc_id AND o.source = s.source AND o.i = s.i ANTI JOIN strict t ON o.doc_id = t.doc_id AND o.source = t.source AND o.j = t.j)" + _FOLD.format("boundary", "-len, j")
+_TAKEN = _BOUNDARY + ", taken AS (SELECT doc_id, source, i, j FROM strict UNION ALL SELECT doc_id, source, i, j FROM boundary)"
+_LENIENT_OUTCOME = _LENIENT + """, lout AS (SELECT l.source, CASE WHEN len(ga) = 0 THEN 'missing_gold_id' WHEN len(pa) = 0 THEN 'missing_prediction_id' WHEN list_has_any(pa, ga) THEN 'correct' ELSE 'incorrect' END AS outcome,
+  len(list_filter(ids, lambda x: NOT list_has_any(pa, [x, string_split(x, ':')[2]]))) = 0 AS all_recovered FROM lenient l JOIN p ON p.doc_id = l.doc_id AND p.source = l.source AND p.i = l.i JOIN g ON g.doc_id = l.doc_id AND g.j = l.j)"""
 _RATE = "round(CASE WHEN ({1}) <> 0 THEN ({0}) / CAST({1} AS DOUBLE) ELSE 0 END, 6)"
 _COVER = _P + f""",
 lastg AS (SELECT doc_id, document_id, start_, end_, arg_max(ids, ordinal) AS ids, count(*) AS copies FROM g GROUP BY ALL),
@@ -152,25 +162,62 @@ hit AS (SELECT lg.doc_id, lg.start_, lg.end_, pp.source, max(CASE WHEN lg.start_
 cov AS (SELECT lg.doc_id, lg.document_id, lg.start_, lg.end_, s.source, lg.copies, coalesce(state, 0) AS state FROM lg CROSS JOIN (SELECT unnest(['a1', 'a2', 'a3', 'a4', 'a5']) AS source) s LEFT JOIN hit ON hit.doc_id = lg.doc_id AND hit.start_ = lg.start_ AND hit.end_ = lg.end_ AND hit.source = s.source),
 vec AS (SELECT doc_id, start_, end_, any_value(copies) AS copies, list(state ORDER BY source) AS st FROM cov GROUP BY ALL)"""
 
+def _metrics_sql(pairs: str) -> str:
+    """Counts and ratios of an annotator's pairs."""
+    return f""", c AS (SELECT source, count(*) AS prediction_count FROM p GROUP BY ALL), t AS (SELECT source, count(*) AS n FROM {pairs} GROUP BY ALL),
+x AS (SELECT c.source, prediction_count, coalesce(n, 0) AS tp, (SELECT count(*) FROM g) AS gold_count FROM c LEFT JOIN t USING (source)),
+m AS (SELECT source, prediction_count, gold_count, tp, prediction_count - tp AS fp, gold_count - tp AS fn, {_RATE.format("tp", "prediction_count")} AS precision, {_RATE.format("tp", "gold_count")} AS recall,
+  round(CASE WHEN tp > 0 THEN 2.0 * tp / (prediction_count + gold_count) ELSE 0 END, 6) AS f1 FROM x)"""
+
+
+def _outcomes_sql(outcome: str) -> str:
+    """Outcome counts and ratios of an annotator's identifiers."""
+    return f""", oc AS (SELECT source, count(*) AS span_matches, count(*) FILTER (WHERE outcome = 'correct') AS correct, count(*) FILTER (WHERE outcome = 'incorrect') AS incorrect,
+  count(*) FILTER (WHERE outcome = 'missing_prediction_id') AS missing_prediction_id, count(*) FILTER (WHERE outcome = 'missing_gold_id') AS missing_gold_id,
+  count(*) FILTER (WHERE outcome = 'correct' AND all_recovered) AS all_gold_ids_recovered, count(*) FILTER (WHERE outcome = 'correct' AND NOT all_recovered) AS partially_correct FROM {outcome} GROUP BY ALL),
+ot AS (SELECT *, correct + incorrect + missing_prediction_id AS comparable_gold_spans, correct + incorrect + missing_gold_id AS prediction_id_spans FROM oc),
+om AS (SELECT *, {_RATE.format("correct", "(correct + incorrect)")} AS accuracy, {_RATE.format("correct", "prediction_id_spans")} AS precision, {_RATE.format("correct", "comparable_gold_spans")} AS recall,
+  {_RATE.format("comparable_gold_spans", "span_matches")} AS gold_id_coverage, {_RATE.format("prediction_id_spans", "span_matches")} AS prediction_id_coverage, {_RATE.format("all_gold_ids_recovered", "comparable_gold_spans")} AS all_ids_rate FROM ot)"""
+
+
+_COUNTS = ("tp", "fp", "fn", "precision", "recall", "f1")
+_OUTCOMES = ("span_matches", "correct", "incorrect", "missing_prediction_id", "missing_gold_id", "all_gold_ids_recovered", "partially_correct", "comparable_gold_spans", "prediction_id_spans", "accuracy", "id_precision", "id_recall", "gold_id_coverage", "prediction_id_coverage", "all_ids_rate")
+
+
+def _flat_sql(mode: str) -> str:
+    columns = ", ".join([f"m.{c} AS {mode}_{c}" for c in _COUNTS] + [f"om.{c.removeprefix('id_') if c in ('id_precision', 'id_recall') else c} AS {mode}_{c}" for c in _OUTCOMES])
+    return f"SELECT m.source, prediction_count, gold_count, {columns} FROM m LEFT JOIN om ON om.source = m.source"
+
+
+def _nearest_sql(free: str, near: str, row: str, o: str, join: str) -> str:
+    """The rows of free with the nearest span of near, its text and place."""
+    return f""", d AS (SELECT f.doc_id, f.source, f.{row}, n.{o} AS o, CASE WHEN n.{o} IS NOT NULL THEN greatest(f.start_ - n.end_, n.start_ - f.end_, 0) END AS dist FROM {free} f LEFT JOIN {near} n ON f.doc_id = n.doc_id{join}),
+b AS (SELECT doc_id, source, {row}, CAST(arg_min(o, struct_pack(a := dist, b := o)) AS INTEGER) AS o, CAST(min(dist) AS INTEGER) AS dist FROM d GROUP BY ALL)
+SELECT f.document_id, f.source, f.{row}, f.span_text, f.start_ AS start, f.end_ AS "end", b.o AS nearest_ordinal, b.dist AS nearest_distance, n.span_text AS nearest_text, n.start_ AS nearest_start, n.end_ AS nearest_end
+FROM {free} f JOIN b ON f.doc_id = b.doc_id AND f.source = b.source AND f.{row} = b.{row} LEFT JOIN {near} n ON n.doc_id = f.doc_id AND n.{o} = b.o{join}"""
+
+
 ORACLE_SQL = {
+    "j02_lenient_match": _LENIENT + " SELECT document_id, source, i, CAST(j AS INTEGER) AS j FROM lenient",
+    "j03_boundary_match": _BOUNDARY + " SELECT document_id, source, i, CAST(j AS INTEGER) AS j FROM boundary",
+    "a07_match_metrics_lenient": _LENIENT + _metrics_sql("lenient") + " SELECT * FROM m",
+    "a08_normalization_metrics_lenient": _LENIENT_OUTCOME + _outcomes_sql("lout") + " SELECT * FROM om",
+    "k05_metrics_table": "SELECT s.*, l.* EXCLUDE (source, prediction_count, gold_count) FROM (" + _P + _metrics_sql("strict") + _outcomes_sql("outcome") + " " + _flat_sql("strict") + ") s JOIN (" + _LENIENT_OUTCOME + _metrics_sql("lenient") + _outcomes_sql("lout") + " " + _flat_sql("lenient") + ") l ON l.source = s.source",
+    "a12_boundary_errors": _BOUNDARY + """ SELECT b.document_id, b.source, b.i, CAST(b.j AS INTEGER) AS j, p.span_text AS prediction_text, p.start_ AS prediction_start, p.end_ AS prediction_end, p.canonical_id AS prediction_canonical_id,
+  g.span_text AS gold_text, g.start_ AS gold_start, g.end_ AS gold_end, array_to_string(g.ids, ';') AS gold_normalized_ids, least(p.end_, g.end_) - greatest(p.start_, g.start_) AS overlap_length
+FROM boundary b JOIN p ON p.doc_id = b.doc_id AND p.source = b.source AND p.i = b.i JOIN g ON g.doc_id = b.doc_id AND g.j = b.j""",
+    "a12_false_positives": _TAKEN + ", free AS (SELECT p.* FROM p ANTI JOIN taken USING (doc_id, source, i))" + _nearest_sql("free", "g", "i", "j", ""),
+    "a12_false_negatives": _TAKEN + ", each AS (SELECT g.*, s.source FROM g CROSS JOIN (SELECT unnest(['a1', 'a2', 'a3', 'a4', 'a5']) AS source) s), free AS (SELECT each.* FROM each ANTI JOIN taken USING (doc_id, source, j))" + _nearest_sql("free", "p", "j", "i", " AND n.source = f.source"),
     "p15_identifier_aliases": _P + f" SELECT document_id, annotation_id, ordinal, array_to_string(list_sort({_ALIAS.format(_VALUES)}), '|') AS aliases FROM ann",
     "p15_gold_aliases": "WITH " + X.SQL_GOLD + f" SELECT document_id, ordinal, array_to_string(list_sort({_ALIAS.format('ids')}), '|') AS aliases FROM gold",
     "j01_strict_match": _P + " SELECT document_id, source, i, j FROM strict",
     "j04_nearest_span": _P + """, free AS (SELECT p.* FROM p ANTI JOIN strict USING (doc_id, source, i)),
-d AS (SELECT f.document_id, f.source, f.i, g.j, greatest(f.start_ - g.end_, g.start_ - f.end_, 0) AS dist FROM free f LEFT JOIN g ON f.doc_id = g.doc_id)
+d AS (SELECT f.document_id, f.source, f.i, g.j, CASE WHEN g.j IS NOT NULL THEN greatest(f.start_ - g.end_, g.start_ - f.end_, 0) END AS dist FROM free f LEFT JOIN g ON f.doc_id = g.doc_id)
 SELECT document_id, source, i, CAST(arg_min(j, struct_pack(a := dist, b := j)) AS INTEGER) AS nearest_ordinal, CAST(min(dist) AS INTEGER) AS nearest_distance FROM d GROUP BY ALL""",
     "j05_overlap_join": _P + " SELECT p.document_id, source, i, j FROM p JOIN g ON p.doc_id = g.doc_id AND greatest(p.start_, g.start_) < least(p.end_, g.end_)",
     "j11_normalization_outcome": _P + " SELECT * FROM outcome",
-    "a07_match_metrics_strict": _P + f""", c AS (SELECT source, count(*) AS prediction_count FROM p GROUP BY ALL), t AS (SELECT source, count(*) AS n FROM strict GROUP BY ALL),
-x AS (SELECT c.source, prediction_count, coalesce(n, 0) AS tp, (SELECT count(*) FROM g) AS gold_count FROM c LEFT JOIN t USING (source))
-SELECT source, prediction_count, gold_count, tp, prediction_count - tp AS fp, gold_count - tp AS fn, {_RATE.format("tp", "prediction_count")} AS precision, {_RATE.format("tp", "gold_count")} AS recall,
-  round(CASE WHEN tp > 0 THEN 2.0 * tp / (prediction_count + gold_count) ELSE 0 END, 6) AS f1 FROM x""",
-    "a08_normalization_metrics": _P + f""", c AS (SELECT source, count(*) AS span_matches, count(*) FILTER (WHERE outcome = 'correct') AS correct, count(*) FILTER (WHERE outcome = 'incorrect') AS incorrect,
-  count(*) FILTER (WHERE outcome = 'missing_prediction_id') AS missing_prediction_id, count(*) FILTER (WHERE outcome = 'missing_gold_id') AS missing_gold_id,
-  count(*) FILTER (WHERE outcome = 'correct' AND all_recovered) AS all_gold_ids_recovered, count(*) FILTER (WHERE outcome = 'correct' AND NOT all_recovered) AS partially_correct FROM outcome GROUP BY ALL),
-t AS (SELECT *, correct + incorrect + missing_prediction_id AS comparable_gold_spans, correct + incorrect + missing_gold_id AS prediction_id_spans FROM c)
-SELECT *, {_RATE.format("correct", "(correct + incorrect)")} AS accuracy, {_RATE.format("correct", "prediction_id_spans")} AS precision, {_RATE.format("correct", "comparable_gold_spans")} AS recall,
-  {_RATE.format("comparable_gold_spans", "span_matches")} AS gold_id_coverage, {_RATE.format("prediction_id_spans", "span_matches")} AS prediction_id_coverage, {_RATE.format("all_gold_ids_recovered", "comparable_gold_spans")} AS all_ids_rate FROM t""",
+    "a07_match_metrics_strict": _P + _metrics_sql("strict") + " SELECT * FROM m",
+    "a08_normalization_metrics": _P + _outcomes_sql("outcome") + " SELECT * FROM om",
     "a09_gold_coverage": _COVER + ' SELECT document_id, start_ AS start, end_ AS "end", source, copies, state FROM cov',
     "a10_coverage_groups": _COVER + """, f AS (SELECT *, len(list_filter(st, lambda s: s >= 1)) AS n, list_min(st) AS low FROM vec)
 SELECT CASE WHEN n = 0 THEN 'missed_by_all' WHEN n = 1 THEN 'found_by_1' WHEN n = 2 THEN 'found_by_2' WHEN low < 2 THEN 'found_not_all_strict' WHEN low < 3 THEN 'strict_not_all_ids' ELSE 'strict_all_ids' END AS coverage_group, CAST(sum(copies) AS BIGINT) AS gold_count FROM f GROUP BY ALL""",

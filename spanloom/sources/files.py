@@ -60,9 +60,11 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Each non-empty line is a document text-<n>, n counted from 1 in the order of the file(s)."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b")).withColumn("i", F.monotonically_increasing_id())
-    lines = numbered(lines.where(strip("value") != "").withColumn("at", F.struct("f", "b", "i")), "at", "n")
+    """Each non-empty line is a document text-<n>, n counted from 1 in the order of the file(s).
+
+    Lines are numbered within their block of a file, which one task reads whole and in order."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    lines = numbered(lines.where(strip("value") != ""), ["i"], "n", [F.col("f"), F.col("b")])
     return lines.select(F.concat(F.lit("text-"), F.col("n") + 1).alias("document_id"), strip("value").alias("abstract"))
 
 

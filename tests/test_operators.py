@@ -97,6 +97,7 @@ def test_batches_dates_and_windows(spark):
     got = {r.batch: r.ids for r in merge.request_batches(ids, "pmid", "p", size=100).collect()}
     assert [got[k] for k in sorted(got)] == [[str(i) for i in range(a, min(a + 100, 250))] for a in (0, 100, 200)]
     assert merge.request_batches(ids.where("p < 5"), "pmid", "p").count() == 1
+    assert tuple(spark.sql("SELECT array('b', 'a', null, ' ', 'b') AS x").select(merge.distinct_ordered("x")).first())[0] == ["b", "a"]
     dates = spark.createDataFrame([("2020",), ("2020/02",), ("2020-2-29",), ("2019-02-31",), ("x",), (None,)], "t string")
     out = [(r.a and str(r.a), r.b and str(r.b)) for r in dates.select(merge.partial_date("t").alias("a"), merge.partial_date("t", upper=True).alias("b")).collect()]
     assert out == [("2020-01-01", "2020-12-31"), ("2020-02-01", "2020-02-29"), ("2020-02-29", "2020-02-29"), (None, None), (None, None), (None, None)]
@@ -168,3 +169,47 @@ def test_same_result_under_any_partitioning(spark):
         assert sorted(map(str, keywords.keyword_groups(df.repartition(9)).collect())) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_numbers_do_not_depend_on_partitions(spark):
+    """Shuffles that are coalesced differently for each plan must not change the numbers."""
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        df = spark.range(n).select((F.col("id") * 7919 % n * 100).alias("position"), F.repeat(F.md5(F.col("id").cast("string")), 5).alias("wide"))
+        for columns in (["position", "number"], ["position", "number", "wide"]):
+            got = merge.numbered(df, ["position"], "number").select(*columns)
+            assert got.where("number IS NULL OR number * 100 <> position").isEmpty() and got.count() == n
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_all_subsets_of_annotators(spark):
+    names = list("abcdefg")
+    vectors = spark.createDataFrame([([0, 1, 2, 3, 0, 0, 0], 2), ([0] * 7, 3), ([3] + [0] * 6, 1)], "states array<int>, gold_count long")
+    got = {r.label: r for r in metrics.annotator_combinations(vectors, names).collect()}
+    assert len(got) == 127 and got["a+b+c+d+e+f+g"].lenient_count == 3 and got["a+b"].norm_count == 1 and got["b+e"].strict_count == 0 and got["c+g"]["size"] == 2
+    assert got["b"].lenient_rate == pytest.approx(2 / 6)
+    with pytest.raises(ValueError, match="subsets"):
+        metrics.annotator_combinations(vectors, [str(i) for i in range(17)])
+
+
+def test_highlighted_spans_against_a_loop(spark):
+    rng = random.Random(5)
+    rows = [("d%d" % rng.randrange(3), "xyz"[rng.randrange(3)], f"w{i}", (a := rng.randrange(80)), a + rng.randrange(1, 6), "gene", None, None) for i in range(120)]
+    df = annotations(spark, rows)
+    order = {"y": 0, "x": 1}
+    want = set()
+    spans = [r.asDict() for r in df.collect()]
+    for d in {s["document_id"] for s in spans}:
+        last = -1
+        for s in sorted((s for s in spans if s["document_id"] == d), key=lambda s: (s["start"], order.get(s["source"], 99), s["start"] - s["end"], s["source_rank"], s["ordinal"], s["annotation_id"])):
+            if s["start"] >= last:
+                last = s["end"]
+                want.add((d, s["annotation_id"], s["start"], s["end"]))
+    got = [(r.document_id, r.annotation_id, r.start, r.end) for r in report_stats.non_overlapping_spans(df, order).collect()]
+    assert len(got) == len(want) and set(got) == want

@@ -58,6 +58,8 @@ def test_concept_payloads(spark, docs):
     r = {"source_value": "gbm", "start": 14, "end": 17, "cui": "C1", "pretty_name": "N", "acc": 0.7, "types": ["", "T1"]}
     for payload in ({"result": {"annotations": {"entities": {"0": r}}}}, {"result": {"annotations": [{"0": r}]}}, {"entities": {"0": r}}, [r], r, {"annotations": [r]}):
         assert spans(payloads.medcat_to_annotations(of(spark, payload), docs)) == [("gbm", 14, 17, "t1", "C1", "N", 0.7)]
+    many = {"entities": {str(i): {"cui": f"C{i}", "source_value": "gbm"} for i in (0, 10, 2)}}
+    assert [x.canonical_id for x in payloads.medcat_to_annotations(of(spark, many), docs).orderBy("ordinal").collect()] == ["C0", "C2", "C10"]
     assert spans(payloads.medcat_to_annotations(of(spark, [r]), docs, min_accuracy=0.8)) == [] and spans(payloads.medcat_to_annotations(of(spark, "{bad"), docs)) == []
 
 
