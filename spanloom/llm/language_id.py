@@ -1,20 +1,27 @@
 """Language ID: script ranges narrow the candidates, Viterbi labels spans of mixed-language text.
 
-Training takes a bounded sample of labelled texts per language (``sample_rows`` each, chosen by a hash
-of the text) and keeps hashed byte n-gram log-probabilities and the share of letters in each script.
-A word's score in a language is the sum over its n-grams (word borders included).  Languages that
-hardly use the script of a word are no candidates for it, unless none does.  Viterbi over the words of
-a text, with one penalty for every switch, labels each word; it runs over many texts at once, column by
-column.  The text's language is the one with most bytes of labelled words; the score is its share.
-
-Defined results: null texts and texts without a letter are ``und`` with score 0; a text with letters but
-without a known word, or an empty training set, is ``und`` too; ties go to the first language by code
-point; languages are whatever the training labels hold.
+Training takes a bounded sample of distinct labelled texts per language (``sample_rows`` each, chosen by a
+hash of the text; a language of no more distinct texts is learned whole) and keeps hashed byte n-gram
+log-probabilities and the share of letters in each script.  A word's score in a language is the sum over its
+n-grams (word borders included).  Languages that hardly use the script of a word are no candidates for it,
+unless none does.  Viterbi over the words of a text, with one penalty for every switch, labels each word; it
+runs over many texts at once, column by column.  The text's language is the one with most bytes of words
+that hold a letter; the score is its share.
+
+Letters are the code points of Unicode category L; those of no listed script are one more script.
+
+Defined results: null texts and texts without a letter are ``und`` with score 0, and so is every text if the
+training set is empty; words that the training texts lack get the language whose smoothed n-grams fit best,
+ties go to the first language by code point; languages are whatever the training labels hold, at most
+``MAX_LANGUAGES`` (more are an error: the model holds a column for each); rows that share an id stay apart;
+other columns are ignored.  Predictions don't depend on how texts fall into batches.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +33,7 @@ from .wordhash import ALNUM_LOWER, U64, tokenised
 
 BITS, ORDERS, SAMPLE_ROWS, PENALTY, MIN_SHARE = 16, (1, 2, 3, 4), 1000, 12.0, 0.01
 CELLS = 1 << 22  # words times texts that Viterbi holds at once
+MAX_LANGUAGES = 500
 
 #: Script ranges of Unicode, in code points.
 SCRIPTS = {
@@ -34,34 +42,49 @@ SCRIPTS = {
     "Telugu": [(0xC00, 0xC7F)], "Thai": [(0xE00, 0xE7F)], "Georgian": [(0x10A0, 0x10FF)], "Ethiopic": [(0x1200, 0x137F)], "Kana": [(0x3040, 0x30FF)],
     "Han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF)], "Hangul": [(0xAC00, 0xD7AF)],
 }
-_BLOCK_SCRIPT = np.zeros(1024, np.int8)  # by code point >> 6; 0: other
-for _i, _ranges in enumerate(SCRIPTS.values(), 1):
-    for _lo, _hi in _ranges:
-        _BLOCK_SCRIPT[_lo >> 6 : (_hi >> 6) + 1] = _i
-N_SCRIPTS = len(SCRIPTS) + 1
+#: 0: no letter; then the listed scripts; last the letters of all others.
+N_SCRIPTS = len(SCRIPTS) + 2
+_LAST_LETTER = 0x3FFFF
+
+
+@cache
+def _script_table() -> np.ndarray:
+    """Script of every code point up to the last plane that has letters."""
+    table = np.array([N_SCRIPTS - 1 if unicodedata.category(chr(c))[0] == "L" else 0 for c in range(_LAST_LETTER + 1)], np.int8)
+    for i, ranges in enumerate(SCRIPTS.values(), 1):
+        for lo, hi in ranges:
+            part = table[lo : hi + 1]
+            part[part > 0] = i
+    return table
 
 
 def _scripts(data: np.ndarray) -> np.ndarray:
-    """Script of the character that starts at each byte; 0 for others, digits and inner bytes."""
-    after = np.append(data[1:], 0)
-    out = np.zeros(len(data), np.int8)
-    out[((data | 32) >= 97) & ((data | 32) <= 122)] = 1
-    two, three = (data >= 0xC2) & (data < 0xE0), (data >= 0xE0) & (data < 0xF0)
-    out[two] = _BLOCK_SCRIPT[data[two] & 0x1F]
-    out[three] = _BLOCK_SCRIPT[((data[three] & 0xF).astype(np.int16) << 6) | (after[three] & 0x3F)]
+    """Script of the character that starts at each byte; 0 for inner bytes and what is no letter."""
+    table = _script_table()
+    out = table[np.where(data < 0x80, data, 0)]
+    at = np.flatnonzero(data >= 0xC2)
+    if len(at):
+        padded = np.concatenate((data, np.zeros(3, np.uint8)))
+        b0, b1, b2, b3 = (padded[at + i].astype(np.int64) for i in range(4))
+        tail = lambda b: b & 0x3F
+        code = np.where(b0 < 0xE0, (b0 & 0x1F) << 6 | tail(b1), np.where(b0 < 0xF0, (b0 & 0xF) << 12 | tail(b1) << 6 | tail(b2), (b0 & 7) << 18 | tail(b1) << 12 | tail(b2) << 6 | tail(b3)))
+        out[at] = np.where(code <= _LAST_LETTER, table[np.minimum(code, _LAST_LETTER)], 0)
     return out
 
 
 def _grams(w):
-    """Hashed n-grams at each byte, one array per order; words are framed by the bytes around them."""
+    """Hashed n-grams at the blank before the first byte and at each byte, one array per order, with the places
+    of those that reach beyond the blank after their row; words are framed by the bytes around them."""
     inside = w.kind.is_word[w.data]
-    data = np.where(inside, w.kind.fold[w.data], 0x20).astype(U64)
+    data = np.concatenate((np.full(1, 0x20, U64), np.where(inside, w.kind.fold[w.data], 0x20).astype(U64)))
     code = data
+    ends = w.row_byte[1:]  # the blank after each row, which is the blank before the next one
     for n in range(1, max(ORDERS) + 1):
         if n > 1:
             code = code[:-1] | (data[n - 1 :] << U64(8 * (n - 1)))
         if n in ORDERS:
-            yield n, (((code + U64(n << 40)) * U64(0x9E3779B97F4A7C15)) >> U64(64 - BITS)).astype(np.int32)
+            beyond = np.append((ends[:, None] - np.arange(1, n - 1)).ravel(), ends[-1:])[: None if n == 1 else -1]
+            yield n, (((code + U64(n << 40)) * U64(0x9E3779B97F4A7C15)) >> U64(64 - BITS)).astype(np.int32), beyond[(beyond >= 0) & (beyond < len(code))]
 
 
 @dataclass
@@ -72,12 +95,13 @@ class Model:
 
     def word_scores(self, w) -> tuple[np.ndarray, np.ndarray]:
         """Words x languages, and which words have a letter."""
-        per_byte = np.zeros((len(w.data), len(self.languages)), np.float32)
-        for n, grams in _grams(w):
+        per_byte = np.zeros((len(w.data) + 1, len(self.languages)), np.float32)
+        for _, grams, beyond in _grams(w):
             # an n-gram counts at its first byte; those that begin at the blank before a word count for the word
-            per_byte[: len(grams)] += self.logp[grams]
-        starts, ends = np.maximum(w.starts - 1, 0), w.ends
-        cuts = np.stack((starts, ends), axis=1).ravel()
+            values = self.logp[grams]
+            values[beyond] = 0
+            per_byte[: len(grams)] += values
+        cuts = np.stack((w.starts, w.ends + 1), axis=1).ravel()
         sums = np.add.reduceat(per_byte, np.minimum(cuts, len(per_byte) - 1), axis=0)[0::2] if len(cuts) else np.zeros((0, len(self.languages)), np.float32)
         script = _scripts(w.data)
         letter = np.concatenate(([0], np.cumsum(script > 0)))
@@ -147,19 +171,21 @@ def viterbi(scores: np.ndarray, cut: np.ndarray, penalty: float) -> np.ndarray:
 def _count(table: pa.Table) -> pa.Table:
     counts, scripts = np.zeros(1 << BITS, np.int64), np.zeros(N_SCRIPTS, np.int64)
     for w in tokenised(table["text"], ALNUM_LOWER):
-        for _, grams in _grams(w):
-            counts += np.bincount(grams, minlength=1 << BITS)
+        for _, grams, beyond in _grams(w):
+            counts += np.bincount(np.delete(grams, beyond), minlength=1 << BITS)
         scripts += np.bincount(_scripts(w.data), minlength=N_SCRIPTS)
     return pa.table({"lang": table["lang"][:1], "counts": [counts.tobytes()], "scripts": [scripts.tobytes()]})
 
 
 def fit(docs: DataFrame, *, learn_from: Column, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    rows = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = rows.groupBy(F.col(lang_col).alias("lang")).count()
-    # a share of each language that gives about sample_rows texts, by a hash of the text: equal texts fall together
-    share = F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("count"))
-    picked = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(sizes), "lang")
-    picked = picked.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text").groupBy("lang", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
+    rows = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    # a share of the distinct texts of each language that gives about sample_rows of them; a tenth more, for the estimate
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("texts")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in the training labels")
+    shares = rows.sparkSession.createDataFrame([(r.lang, min(1.0, 1.1 * sample_rows / max(1, r.texts))) for r in sizes], "lang string, share double")
+    picked = rows.join(F.broadcast(shares), "lang")  # at most MAX_LANGUAGES rows
+    picked = picked.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.col("share") * 1_000_000).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
     counted = picked.groupBy("lang").applyInArrow(_count, "lang string, counts binary, scripts binary").collect()
     counted.sort(key=lambda r: r.lang)
     if not counted:
@@ -185,14 +211,7 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
         for batch in batches:
             texts = batch.column(1)
             best, share, spans = held.value.label(texts, penalty)
-            for i in np.flatnonzero(best >= 0):
-                # words of digits and signs alone have no letter; other scripts are asked of Unicode
-                if share[i] <= 0:
-                    best[i] = -1
             names = [held.value.languages[b] if b >= 0 else "und" for b in best.tolist()]
-            for i, name in enumerate(names):
-                if name == "und" and held.value.languages and any(c.isalpha() for c in texts[i].as_py() or ""):
-                    names[i], share[i] = held.value.languages[0], 0.0
             yield pa.RecordBatch.from_pydict({"id": batch.column(0), "lang_pred": pa.array(names, pa.string()), "score": share, "lang_spans": pa.array(spans, _SPANS)})
 
     df = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -33,6 +33,71 @@ def test_language_spans_and_predictions(spark):
     assert language_id.identify(docs, language_id.fit(docs.where("lang = 'xx'"), learn_from=F.lit(True))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_of_texts_without_letters_and_of_few_texts(spark):
+    rnd = random.Random(2)
+    rows = [(i, " ".join(rnd.choices(ENGLISH, k=12)), "en") for i in range(300)] + [(1000 + i, FRENCH[i % 3] + " les des", "fr") for i in range(3000)]
+    odd = ["£ 100", "«»", "°", "· ·", "٣٤٥", "123", "", None, "—", "€5", "½", "\u0301", "😀"]
+    rows += [(9000 + i, t, None) for i, t in enumerate(odd)] + [(9100, "ª", None), (9101, "ა", None), (9102, "𐍈", None), (9103, "1 x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, learn_from=F.lit(True), sample_rows=20)
+    assert model.languages == ["en", "fr"]  # three texts, each very often, are three texts
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, model).collect()}
+    assert all(got[9000 + i] == ("und", 0.0) for i in range(len(odd))), got
+    assert all(got[d][0] in ("en", "fr") and got[d][1] == 1 for d in (9100, 9101, 9102, 9103))
+    assert language_id.identify(docs.where("doc_id < 0"), model).count() == 0
+    long = spark.createDataFrame([(1, " ".join(ENGLISH * 20_000))], "doc_id long, text string")
+    assert language_id.identify(long, model).first().lang_pred == "en"
+
+
+def test_language_predictions_against_plain_python(spark):
+    """Word scores, Viterbi and votes, text by text, whatever the batches."""
+    rnd = random.Random(6)
+    words = ENGLISH + FRENCH + GREEK + ["12", "q", "é"]
+    train = [(i, " ".join(rnd.choices((ENGLISH, FRENCH, GREEK)[i % 3], k=6)), ("en", "fr", "el")[i % 3]) for i in range(30)]
+    asks = [(100 + i, rnd.choice(["", " ", "-"]).join(rnd.choice([" ", ", "]) + x for x in rnd.choices(words, k=rnd.randrange(1, 9)))) for i in range(60)]
+    model = language_id.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"), learn_from=F.lit(True))
+    bits = language_id.BITS
+
+    def grams(text):
+        data = b" " + bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in brute.lower(text).encode()) + b" "
+        for p in range(len(data) - 1):
+            for n in language_id.ORDERS:
+                if p + n <= len(data):
+                    yield p, (int.from_bytes(data[p : p + n], "little") + (n << 40)) * 0x9E3779B97F4A7C15 % 2**64 >> 64 - bits
+
+    langs = ["el", "en", "fr"]
+    counts = {x: Counter(g for _, t, lang in {(0, t, lang) for _, t, lang in train} if lang == x for _, g in grams(t)) for x in langs}
+    raw = {g: [math.log(counts[x][g] + 0.5) - math.log(counts[x].total() + 0.5 * 2**bits) for x in langs] for c in counts.values() for g in c}
+    raw_none = [math.log(0.5) - math.log(counts[x].total() + 0.5 * 2**bits) for x in langs]
+    centred = lambda v: [y - sum(v) / 3 for y in v]
+    greek = lambda w: any("\u0370" <= c <= "\u03ff" for c in w)
+    got = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(asks, "doc_id long, text string").repartition(7), model).collect()}
+    for d, text in asks:
+        data, scores, weights = brute.lower(text).encode(), [], []
+        values = {}
+        for p, g in grams(text):
+            values[p] = [a + b for a, b in zip(values.get(p, [0] * 3), centred(raw.get(g, raw_none)), strict=True)]
+        for m in brute.ALNUM.finditer(brute.lower(text)):
+            a, b = len(brute.lower(text)[: m.start()].encode()), len(brute.lower(text)[: m.end()].encode())
+            s = [sum(values[p][k] for p in range(a, b + 1)) for k in range(3)]
+            has = any(c.isalpha() for c in m[0])
+            allowed = [True, False, False] if greek(m[0]) else [False, True, True]
+            scores.append([x - (0 if ok else 1e4) for x, ok in zip(s, allowed, strict=True)] if has else [0, 0, 0])
+            weights.append(b - a if has else 0)
+        assert len(data) >= sum(weights)
+        best = [(v, [k]) for k, v in enumerate(scores[0])] if scores else []
+        for s in scores[1:]:
+            best = [max(((v - (0 if p[-1] == k else language_id.PENALTY) + s[k], [*p, k]) for v, p in best), key=lambda x: x[0]) for k in range(3)]
+        votes = Counter()
+        for k, n in zip(max(best, key=lambda x: x[0])[1] if best else [], weights, strict=True):
+            votes[k] += n
+        if not votes.total():
+            assert got[d].lang_pred == "und"
+            continue
+        top = max(range(3), key=lambda k: (votes[k], -k))
+        assert (got[d].lang_pred, round(got[d].score, 6)) == (langs[top], round(votes[top] / votes.total(), 6)), text
+
+
 def test_viterbi_against_all_paths():
     from itertools import product
 
