@@ -10,7 +10,8 @@ each step of L-BFGS sends the weights out and sums the tasks' partial gradients.
 
 Defined results: null and empty texts have no features and get the score of the intercept; rows without
 a label train nothing; of repeated labels the largest counts; without any labelled row, or with only one
-class, every score is the smoothed share of toxic labels.
+class, every score is the smoothed share of toxic labels; repeated rows are scored one by one; an empty
+table gives an empty result; other columns are ignored, or carried through by ``drop_toxic``.
 """
 
 from __future__ import annotations
@@ -80,7 +81,7 @@ def _count_presences(batches):
             for y in (0, 1):
                 counts[y] += np.bincount(feature[label[first + row] == y], minlength=1 << BITS).astype(np.uint32)
     if rows.sum():
-        yield pa.RecordBatch.from_pydict({"n0": [int(rows[0])], "n1": [int(rows[1])], "counts": [zlib.compress(np.minimum(counts, 65535).astype(np.uint16).tobytes(), 1)]})
+        yield pa.RecordBatch.from_pydict({"n0": [int(rows[0])], "n1": [int(rows[1])], "counts": [zlib.compress(counts.tobytes(), 1)]})
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, learn_from: Column, sample_rows: int) -> DataFrame:
@@ -104,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
             return nothing
         counts = np.zeros((2, 1 << BITS), np.float32)
         for part in parts:
-            counts += np.frombuffer(zlib.decompress(part.counts), np.uint16).reshape(2, -1)
+            counts += np.frombuffer(zlib.decompress(part.counts), np.uint32).reshape(2, -1)
         del parts
         ratio = np.log((counts[1] + alpha) / (n[1] + 2 * alpha)) - np.log((counts[0] + alpha) / (n[0] + 2 * alpha))
         spread = np.sqrt(1 / (counts[1] + alpha) + 1 / (counts[0] + alpha))

@@ -236,6 +236,45 @@ def test_toxicity_uses_every_telling_ngram(spark):
     assert len(wrong) <= len(out) // 50
 
 
+def test_toxicity_against_plain_python(spark):
+    """Ratios from presence counts, weights at the minimum of the penalised loss, scores from both."""
+    import math
+
+    rnd = random.Random(9)
+    words = ["alpha", "Beta", "gamma", "delta", "omega", "ZETA"]
+    rows = [(i, " ".join(rnd.choices(words, k=4) + (["vexing brute"] if i % 3 == 0 else []))) for i in range(120)]
+    docs, labels = frame(spark, rows), spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels, learn_from=F.lit(True))
+
+    def features(text):
+        data = brute.lower(text).encode()
+        return {(int.from_bytes(data[p : p + n], "little") + n) * 0x9E3779B97F4A7C15 % 2**64 >> 64 - toxicity.BITS for n in toxicity.ORDERS for p in range(len(data) - n + 1)}
+
+    texts = {t: int(i % 3 == 0) for i, t in rows}
+    found = {t: features(t) for t in texts}
+    n = Counter(texts.values())
+    counts = [Counter(f for t, y in texts.items() if y == c for f in found[t]) for c in (0, 1)]
+    ratio = {f: math.log((counts[1][f] + 1) / (n[1] + 2)) - math.log((counts[0][f] + 1) / (n[0] + 2)) for f in counts[0] | counts[1]}
+    kept = {f for f in ratio if counts[0][f] + counts[1][f] >= 3 and abs(ratio[f]) / math.sqrt(1 / (counts[1][f] + 1) + 1 / (counts[0][f] + 1)) > 2}
+    assert set(np.flatnonzero(model.slot).tolist()) == kept
+    weight = {f: model.weights[model.slot[f] - 1] for f in kept}
+    p = {t: 1 / (1 + math.exp(-(model.intercept + sum(weight[f] for f in found[t] & kept)))) for t in texts}
+    for f in kept:
+        slope = ratio[f] * sum(p[t] - y for t, y in texts.items() if f in found[t]) + 0.3 * weight[f] / ratio[f]
+        assert abs(slope) <= 2e-5 * len(texts)
+    assert abs(sum(p[t] - y for t, y in texts.items())) <= 2e-5 * len(texts)
+    assert all(r.score == pytest.approx(p[dict(rows)[r.doc_id]], abs=1e-6) for r in toxicity.score(docs, model).collect())
+
+
+def test_toxicity_of_odd_tables(spark):
+    docs, labels = frame(spark, [(1, "a very bad text"), (1, "a very bad text"), (2, None)]), spark.createDataFrame([(1, 0, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    nothing = toxicity.fit(docs.where("doc_id > 5"), labels, learn_from=F.lit(True))
+    assert toxicity.score(docs.where("doc_id > 5"), nothing).count() == 0 and toxicity.score(docs, nothing).where("score = 0.5").count() == 3
+    none = toxicity.fit(docs, labels.where("doc_id > 5"), learn_from=F.lit(True))
+    long = frame(spark, [(1, "word " * 400_000)])
+    assert toxicity.score(long, none).first().score == 0.5 and toxicity.drop_toxic(docs, none, threshold=0.6).count() == 3
+
+
 def test_leader_of_a_group_is_the_home(spark):
     from spanloom.llm.ngram_jaccard import _pair
 
