@@ -7,6 +7,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 #: The separators of ``[^\x20\x09-\x0D]+`` words, for the SQL side.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -41,10 +42,19 @@ def crc32_of_id(column: Column | str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"), F.lit("")).cast("binary"))
 
 
+def whole_number_id(df: DataFrame, column: str) -> Column:
+    """The id column as a long; ids of other types have no order or number that the operators could use."""
+    if not isinstance(df.schema[column].dataType, IntegralType):
+        raise TypeError(f"{column} must be a whole number, not {df.schema[column].dataType.simpleString()}")
+    return F.col(column).cast("long")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a new one only where none is named (tests)."""
+    """The cluster's checkpoint folder; a new one only where none is named and all tasks run here (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
@@ -64,3 +74,9 @@ def forget_shuffles(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of plans that nothing refers to any more, as of checkpointed ones."""
     gc.collect()
     spark.sparkContext._jvm.java.lang.System.gc()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system that Spark reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
