@@ -6,9 +6,12 @@ fingerprints finds every shared run of at least ``span`` words; each hit is then
 in both directions and kept only if the whole run reaches ``span`` words.  Items of fewer words than
 ``span`` are one window each and are looked up as a whole.
 
-The benchmark is the bounded side: it is cut into blocks of at most ``block_words`` words, each block's
-fingerprint index is broadcast, and the documents pass every block inside one narrow stage (no shuffle).
-A larger benchmark means more passes, never a larger broadcast.
+The benchmark is the smaller side: it is cut into blocks of at most ``block_words`` words (a longer item into
+pieces that overlap by ``span - 1`` words), and each block's fingerprint index is broadcast to a pass of its
+own, in which the documents are not shuffled.  Between passes the documents and their hits are written to the
+shared folder and the index is released, so a larger benchmark means more passes, never a larger broadcast.
+Fingerprints of more than ``HOT`` places in a block are not extended place by place: there the windows that
+have this fingerprint are looked up as a whole.
 
 Defined results: null or wordless texts have n_words = n_hit = 0 and no items; wordless or null items
 match nothing; items sharing an item_id count once; a null item_id is reported as ''; repeated rows are
@@ -17,6 +20,7 @@ judged one by one; other columns are ignored, or carried through by ``drop_conta
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -25,22 +29,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import LOWER, UPPER, ascii_lower, checkpointed
 from .wordhash import ALNUM_LOWER, U64, ngram_hashes, same_row, tokenised, winnow
 
-SPAN, K, BLOCK_WORDS = 13, 5, 1_000_000
+SPAN, K, BLOCK_WORDS, HOT = 13, 5, 1_000_000, 64
+_FOLD = str.maketrans(UPPER, LOWER)
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 class BenchmarkIndex:
     """Fingerprints of one block of items."""
 
-    def __init__(self, ids: list[str], texts: list[str | None], span: int, k: int):
+    def __init__(self, ids: list[str], texts: list[str | None], span: int, k: int, hot: int = HOT):
         self.ids, self.span, self.k = ids, span, k
-        hashes, items, anchors, grams = [], [], [], []
+        hashes, items, anchors, grams, windows = [], [], [], [], []
         self.short: dict[int, dict[int, list[int]]] = {}
         short, base = defaultdict(lambda: defaultdict(list)), 0
         for w in tokenised(pa.array(texts, pa.large_string()), ALNUM_LOWER):
             h = w.hashes()
-            kept, fps, _ = winnow(h, w.row, k, span)
+            kept, fps, least = winnow(h, w.row, k, span)
+            at = np.flatnonzero(least)
+            windows.append((least[at], ngram_hashes(h, span)[at], (w.row + w.first_row)[at]))
             hashes.append(h)
             items.append(w.row + w.first_row)
             anchors.append(kept + base)
@@ -53,15 +62,30 @@ class BenchmarkIndex:
         self.words = np.concatenate([*hashes, np.zeros(0, U64)])
         self.item = np.concatenate([*items, np.zeros(0, np.int64)])
         anchors, grams = np.concatenate([*anchors, np.zeros(0, np.int64)]), np.concatenate([*grams, np.zeros(0, U64)])
+        found, n = np.unique(grams, return_counts=True)
+        self.hot = found[n > hot]
+        cold = ~np.isin(grams, self.hot)
+        anchors, grams = anchors[cold], grams[cold]
         order = np.argsort(grams, kind="stable")
         self.fps, self.at = grams[order], anchors[order]
+        least, keys, owners = (np.concatenate([x[i] for x in windows] + [np.zeros(0, t)]) for i, t in enumerate((U64, U64, np.int64)))
+        some = np.isin(least, self.hot)
+        pairs = np.unique(np.stack((keys[some], owners[some].astype(U64))), axis=1)
+        self.window_keys, self.window_items = pairs[0], pairs[1].astype(np.int64)
         bounds = np.searchsorted(self.item, np.arange(len(ids) + 1))
         self.first, self.last = bounds[:-1], bounds[1:]
         self.short = {m: dict(v) for m, v in short.items()}
 
     def hits(self, w, h: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(first word, end word, item) of each run that covers a window of an item."""
-        kept, fps, _ = winnow(h, w.row, self.k, self.span)
+        kept, fps, least = winnow(h, w.row, self.k, self.span)
+        if len(self.hot):
+            at = np.flatnonzero(np.isin(least, self.hot))
+            keys = ngram_hashes(h, self.span)[at]
+            first, last = np.searchsorted(self.window_keys, keys, "left"), np.searchsorted(self.window_keys, keys, "right")
+            for a, x, y in zip(at[last > first].tolist(), first[last > first].tolist(), last[last > first].tolist(), strict=True):
+                for item in self.window_items[x:y].tolist():
+                    yield a, a + self.span, item
         lo, hi = np.searchsorted(self.fps, fps, "left"), np.searchsorted(self.fps, fps, "right")
         done: dict[tuple[int, int], int] = {}  # by item and diagonal: where the last run ended
         for j in np.flatnonzero(hi > lo):
@@ -92,18 +116,29 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.argmax(differ)) if differ.any() else len(x)
 
 
+def _pieces(text: str, words: int, block_words: int, span: int) -> Iterator[tuple[str, int]]:
+    """A text of more than block_words words in pieces that share span - 1 words, so that no window is cut."""
+    if words <= block_words:
+        yield text, words
+        return
+    found, size = re.findall(_WORD, text.translate(_FOLD)), max(block_words, span)
+    for a in range(0, len(found) - span + 1, size - span + 1):
+        yield " ".join(found[a : a + size]), len(found[a : a + size])
+
+
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, span: int, k: int, block_words: int) -> Iterator[BenchmarkIndex]:
     """Items are fetched one partition at a time and indexed block by block."""
     ids, texts, words = [], [], 0
-    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")), F.col(text_col)).where(F.col(text_col).isNotNull())
-    for item, text in rows.toLocalIterator():
-        n = text.count(" ") + 1
-        if ids and words + n > block_words:
-            yield BenchmarkIndex(ids, texts, span, k)
-            ids, texts, words = [], [], 0
-        ids.append(item)
-        texts.append(text)
-        words += n
+    count = F.regexp_count(ascii_lower(text_col), F.lit(_WORD))
+    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")), F.col(text_col), count).where(F.col(text_col).isNotNull() & (count > 0))
+    for item, text, total in rows.toLocalIterator():
+        for piece, n in _pieces(text, total, block_words, span):
+            if ids and words + n > block_words:
+                yield BenchmarkIndex(ids, texts, span, k)
+                ids, texts, words = [], [], 0
+            ids.append(item)
+            texts.append(piece)
+            words += n
     if ids:
         yield BenchmarkIndex(ids, texts, span, k)
 
@@ -140,10 +175,12 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_c
     sc = docs.sparkSession.sparkContext
     doc_type = docs.schema["doc"].dataType.simpleString()
     df = docs.select("doc", "text", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("item_ids"), F.array().cast("array<struct<start:int,end:int>>").alias("hit_spans"))
-    found = False
+    held = None
     for index in _blocks(benchmark, item_col, item_text_col, span, k, block_words):
+        if held is not None:  # the pass before is written and its index released before the next one begins
+            df = checkpointed(df)
+            held.destroy()
         held = sc.broadcast(index)
-        found = True
 
         def judge(batches, held=held):
             for batch in batches:
@@ -158,9 +195,8 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_c
                 yield pa.RecordBatch.from_pydict(out)
 
         df = df.mapInArrow(judge, f"doc {doc_type}, text string, {_ADDED}")
-    if not found:  # no item has text: only the words are counted
-        pattern = F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-        df = df.withColumn("n_words", F.coalesce(F.regexp_count(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), pattern), F.lit(0)).cast("long"))
+    if held is None:  # no item has words: only the documents' words are counted
+        df = df.withColumn("n_words", F.coalesce(F.regexp_count(ascii_lower("text"), F.lit(_WORD)), F.lit(0)).cast("long"))
     return df
 
 
