@@ -20,9 +20,10 @@ documents, so shards are not broadcast: they are dealt by content, and only what
     anchor, so no shard needs another one.
 5.  Buckets get the verdicts back, delete the covered words and join the kept ones by one blank.
 
-Defined results: the order is (doc_id, start); a null doc_id comes before all others; rows that share a
-doc_id are ordered by text.  Null or empty text: no words, kept text ''.  Other columns are ignored, or
-carried through when named in ``carry``.
+Defined results: doc_id is a whole number (other types are an error); the order is (doc_id, start); a null
+doc_id comes before all others; rows that share a doc_id are ordered by the 64-bit hash of their text, and
+spread over buckets by it.  Null or empty text: no words, kept text ''.  Other columns are ignored, or carried
+through when named in ``carry``.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, text_bytes
+from .common import bucket_count, text_bytes, whole_number_id
 from .suffix_automaton import SuffixAutomaton
 from .wordhash import PLAIN, U64, Words, ngram_hashes, tokenised, winnow
 
@@ -115,7 +116,7 @@ class _Pieces:
 
 
 def _ordered(table: pa.Table) -> pa.Table:
-    return table.sort_by([("order_null", "ascending"), ("order_id", "ascending"), ("text", "ascending")])
+    return table.sort_by([("order_null", "ascending"), ("order_id", "ascending"), ("order_text", "ascending")])
 
 
 def _messages(table: pa.Table | None, kind: int) -> list[tuple[bytes, bytes]]:
@@ -191,10 +192,10 @@ def _send(shards: int, span: int, k: int):
             words, sizes = pieces.words_of(chosen), pieces.size[chosen]
             ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
             row = np.searchsorted(pieces.row_base, pieces.place[chosen], "right") - 1
-            ids = pc.fill_null(docs["order_id"], np.iinfo(np.int64).min).to_numpy()[row]
+            ids, by_text = pc.fill_null(docs["order_id"], np.iinfo(np.int64).min).to_numpy()[row], docs["order_text"].to_numpy()[row]
             for s in np.flatnonzero(np.diff(cut)).tolist():
                 a, b = cut[s], cut[s + 1]
-                rows.append((s, _key_of(docs), int(b - a), chosen[a:b].astype(np.uint32).tobytes(), row[a:b].astype(np.uint32).tobytes(), pieces.key[chosen[a:b]].tobytes(), ids[a:b].tobytes(),
+                rows.append((s, _key_of(docs), int(b - a), chosen[a:b].astype(np.uint32).tobytes(), by_text[a:b].tobytes(), pieces.key[chosen[a:b]].tobytes(), ids[a:b].tobytes(),
                              (pieces.place[chosen[a:b]] - pieces.row_base[row[a:b]]).astype(np.uint32).tobytes(), sizes[a:b].astype(np.uint16).tobytes(), words[ends[a] : ends[b]].tobytes()))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
         return pa.table({n: pa.array(c, pa.int32() if n in ("shard", "bucket", "n") else pa.binary()) for n, c in zip(names, columns, strict=True)})
@@ -207,7 +208,7 @@ def _judge(span: int):
         """All pieces of one shard's anchors: which of their windows started earlier elsewhere."""
         get = lambda name, t: np.concatenate([np.frombuffer(x, t) for x in table[name].to_pylist()])
         bucket = np.repeat(table["bucket"].to_numpy(), table["n"].to_numpy())
-        piece, row, key, doc, place, size, words = get("ids", np.uint32), get("rows", np.uint32), get("keys", U64), get("docs", np.int64), get("places", np.uint32), get("sizes", np.uint16).astype(np.int64), get("words", U64)
+        piece, row, key, doc, place, size, words = get("ids", np.uint32), get("rows", np.int64), get("keys", U64), get("docs", np.int64), get("places", np.uint32), get("sizes", np.uint16).astype(np.int64), get("words", U64)
         starts = np.cumsum(size) - size
         order = np.lexsort((place, row, doc, key))
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(key[order])) + 1, [len(order)]))
@@ -296,15 +297,18 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         raise ValueError("span - k must lie between 0 and 32")
     carry = [id_col] if carry is None else list(carry)
     buckets = bucket_count(text_bytes(docs, text_col), bucket_bytes)
-    id_ = F.col(id_col).cast("long")
-    slim = docs.select(F.pmod(F.xxhash64(id_), F.lit(buckets)).cast("int").alias("bucket"), id_.isNotNull().alias("order_null"), id_.alias("order_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
-    by_bucket = slim.groupBy("bucket")
+    id_, text = whole_number_id(docs, id_col), F.coalesce(F.col(text_col), F.lit(""))
+    bucket = F.pmod(F.xxhash64(id_, text), F.lit(buckets)).cast("int").alias("bucket")
+    slim = docs.select(bucket, id_.isNotNull().alias("order_null"), id_.alias("order_id"), F.xxhash64(text).alias("order_text"), text.alias("text"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
+    # as many tasks as there are buckets: what a task reads does not grow with the table
+    dealt = lambda df, key: df.repartition(buckets, key).groupBy(key)
+    by_bucket = dealt(slim, "bucket")
     anchors = by_bucket.applyInArrow(_anchors(buckets, span, k), _MESSAGE)
-    repeated = anchors.groupBy("bucket").applyInArrow(_count(hot), _MESSAGE)
-    pieces = by_bucket.cogroup(repeated.groupBy("bucket")).applyInArrow(_send(buckets, span, k), _PIECES)
-    verdicts = pieces.groupBy("shard").applyInArrow(_judge(span), _MESSAGE)
+    repeated = dealt(anchors, "bucket").applyInArrow(_count(hot), _MESSAGE)
+    pieces = by_bucket.cogroup(dealt(repeated, "bucket")).applyInArrow(_send(buckets, span, k), _PIECES)
+    verdicts = dealt(pieces, "shard").applyInArrow(_judge(span), _MESSAGE)
     types = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
-    out = by_bucket.cogroup(repeated.unionByName(verdicts).groupBy("bucket")).applyInArrow(_remove(span, k, carry), f"{types}{', ' if carry else ''}n_words long, n_removed long, kept_text string")
+    out = by_bucket.cogroup(dealt(repeated.unionByName(verdicts), "bucket")).applyInArrow(_remove(span, k, carry), f"{types}{', ' if carry else ''}n_words long, n_removed long, kept_text string")
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)), "n_words", "n_removed", "kept_text")
 
 

@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -17,9 +19,10 @@ def sha(text):
 
 
 def substring_dedup(rows, n=20):
-    """(id, text) rows in order of (id, text) -> (n_words, n_removed, kept text) of each."""
+    """(id, text) rows in order of (id, hash of the text) -> (n_words, n_removed, kept text) of each."""
     seen, out = set(), []
-    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    by_hash = lambda t: (xxhash.xxh64_intdigest(t or "", seed=42) + 2**63) % 2**64  # noqa: E731  as a signed number
+    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, by_hash(r[1]))):
         w = PLAIN.findall(t or "")
         gone = [False] * len(w)
         for i in range(len(w) - n + 1):
