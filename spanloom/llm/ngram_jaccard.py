@@ -12,8 +12,9 @@ come from a table of fixed size that every task adds to), then by hash.
 4.  Group members that are still in different components are then paired with each other, and those
     pairs are counted in the same way.  So every candidate pair is counted or already connected, no
     link between different texts is lost, and a group of near copies costs about one pair per member.
+    Members that no link connects cost a pair each with each: they are dealt to cells of bounded size.
 
-Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; fewer words than 3 are one
+Defined results: doc_id is a whole number (other types are an error); words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; fewer words than 3 are one
 shingle as a whole; wordless, empty and null texts have n_shingles 0 and are linked with nothing; rows
 that share an id are one node with the links of each; a null id has a null component.
 """
@@ -24,14 +25,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, checkpointed, text_bytes
+from .common import bucket_count, checkpointed, forget_shuffles, text_bytes, whole_number_id
 from .components import components
 from .wordhash import PLAIN_LOWER, U64, mix64, ngram_hashes, same_row, tokenised
 
 N, THRESHOLD, FRAGMENTS, SLICES, HOME_PARTNERS, REQUESTS = 3, (90, 100), 4, 16, 1000, 64
+#: Tasks whose counters are added up first, and members of an n-gram's group that one cell pairs with as many others.
+PARTS, CELL = 64, 1000
 MIN_BITS, MAX_BITS = 20, 26
 
 
@@ -64,7 +68,7 @@ def set_hash(grams: np.ndarray) -> tuple[int, int]:
     return int(hi >> U64(1)), int(lo >> U64(1))
 
 
-_SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
+_SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("slice", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
 
 
 def _scan(n: int, bits: int):
@@ -80,18 +84,34 @@ def _scan(n: int, bits: int):
                 if key not in seen:
                     seen.add(key)
                     np.add.at(counts, (grams >> U64(64 - bits)).astype(np.int64), 1)
-            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": size, "hi": hi, "lo": lo, "slice": pa.nulls(len(batch), pa.int32()), "counts": pa.nulls(len(batch), pa.binary())}, schema=_SETS)
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": size, "hi": hi, "lo": lo, "slice": pa.nulls(len(batch), pa.int32()), "part": pa.nulls(len(batch), pa.int32()), "counts": pa.nulls(len(batch), pa.binary())}, schema=_SETS)
         if seen:
             nulls = pa.nulls(SLICES, pa.int64())
-            blobs = [zlib.compress(np.minimum(c, 65535).astype(np.uint16).tobytes(), 1) for c in np.split(counts, SLICES)]
-            yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, nulls, pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], schema=_SETS)
+            blobs = [zlib.compress(c.tobytes(), 1) for c in np.split(counts, SLICES)]
+            part = pa.array([TaskContext.get().partitionId() // PARTS] * SLICES, pa.int32())
+            yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, nulls, pa.array(range(SLICES), pa.int32()), part, pa.array(blobs, pa.binary())], schema=_SETS)
 
     return scan
 
 
+def _counters(table: pa.Table) -> np.ndarray:
+    total = np.zeros(0, np.int64)
+    for blob in table["counts"]:
+        counts = np.frombuffer(zlib.decompress(blob.as_py()), np.uint32)
+        total = total + counts if len(total) else counts.astype(np.int64)
+    return total
+
+
+def _sum_parts(table: pa.Table) -> pa.Table:
+    """One slice of the counters of PARTS tasks; what does not fit stays at the largest number."""
+    total = np.minimum(_counters(table), (1 << 32) - 1).astype(np.uint32)
+    return pa.table({"slice": table["slice"][:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+
 def _sum_counts(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(zlib.decompress(b), np.uint16).astype(np.int64) for b in table["counts"].to_pylist())
-    return pa.table({"slice": table["slice"][:1], "ranks": [np.minimum(255, np.round(8 * np.log2(total + 1))).astype(np.uint8).tobytes()], "weights": [np.bincount(np.minimum(255, np.round(8 * np.log2(total + 1))).astype(np.int64), total, 256).astype(np.int64).tobytes()]})
+    total = _counters(table)
+    ranks = np.minimum(255, np.round(8 * np.log2(total + 1)))
+    return pa.table({"slice": table["slice"][:1], "ranks": [ranks.astype(np.uint8).tobytes()], "weights": [np.bincount(ranks.astype(np.int64), total, 256).astype(np.int64).tobytes()]})
 
 
 class Order:
@@ -203,26 +223,36 @@ def _pair(up: int, down: int):
 
 
 def _cross(up: int, down: int):
-    """Members of one group that lie in different components: all pairs that sizes and positions allow."""
+    """Members of one group that lie in different components: the pairs that sizes and positions allow.
+
+    A cell holds members of two parts of a group (of one, if they are the same)."""
 
     def cross(table: pa.Table) -> pa.Table:
-        token, a, s, n, p, comp = (table[c].to_numpy() for c in ("token", "a", "a_set", "a_n", "b", "component"))
-        order = np.lexsort((s, a, token))
-        token, a, s, n, p, comp = (x[order] for x in (token, a, s, n, p, comp))
-        cut = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
-        found = set()
-        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            if (comp[lo:hi] == comp[lo]).all():
-                continue
-            for i in range(lo, hi - 1):
-                j = np.flatnonzero((comp[i + 1 : hi] != comp[i]) & _possible(n[i], p[i], n[i + 1 : hi], p[i + 1 : hi], up, down)) + i + 1
-                found.update((int(a[i]), int(s[i]), int(n[i]), int(a[k]), int(s[k]), int(n[k])) for k in j.tolist())
-        cols = list(zip(*sorted(found), strict=True)) or [()] * 6
-        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("a", "a_set", "a_n", "b", "b_set", "b_n"), cols, strict=True)})
+        a, s, n, p, comp, part = (table[c].to_numpy() for c in ("a", "a_set", "a_n", "b", "component", "part"))
+        low, high = table["x"][0].as_py(), table["y"][0].as_py()
+        order = np.lexsort((s, a))
+        left, right = (order[part[order] == k] for k in (low, high))
+        found = []
+        for k, i in enumerate(left.tolist()):
+            others = right[k + 1 :] if low == high else right
+            found.append((np.full(len(j := others[(comp[others] != comp[i]) & _possible(n[i], p[i], n[others], p[others], up, down)]), i), j))
+        i, j = (np.concatenate([x[k] for x in found] + [np.zeros(0, np.int64)]).astype(np.int64) for k in (0, 1))
+        swap = (a[i] > a[j]) | ((a[i] == a[j]) & (s[i] > s[j]))
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        return pa.table({"a": a[i], "a_set": s[i], "a_n": n[i], "b": a[j], "b_set": s[j], "b_n": n[j]})
 
     return cross
 
 
+def _cells(members: DataFrame) -> DataFrame:
+    """Members of each n-gram's group, dealt to parts of about CELL, repeated for every pair of parts (x <= y)
+    that theirs belongs to: a group of any size is many cells of bounded size."""
+    sizes = members.groupBy("token").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
+    dealt = members.join(sizes, "token").withColumn("part", F.pmod(F.xxhash64("a", "a_set"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    return dealt.withColumn("other", other).withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")}).drop("other", "parts")
+
+
 # ---------------------------------------------------------------- counting
 _SEGMENTS = pa.schema([("shard", pa.int32()), ("fragment", pa.int32()), ("home", pa.int64()), ("home_set", pa.int64()), ("salt", pa.int64()), ("doc", pa.int64()), ("doc_set", pa.int64()), ("segment", pa.binary())])
 
@@ -301,18 +331,20 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     size = text_bytes(docs, text_col)
     shards = bucket_count(size, shard_bytes)
     bits = min(MAX_BITS, max(MIN_BITS, (size >> 10).bit_length()))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(whole_number_id(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     texts = rows.where("id IS NOT NULL AND text IS NOT NULL")
 
-    scanned = checkpointed(rows.mapInArrow(_scan(n, bits), "id long, n long, hi long, lo long, slice int, counts binary"))
+    scanned = checkpointed(rows.mapInArrow(_scan(n, bits), "id long, n long, hi long, lo long, slice int, part int, counts binary"))
     sets = scanned.where("slice IS NULL").select("id", "n", "hi", "lo")
-    summed = scanned.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(_sum_counts, "slice int, ranks binary, weights binary").orderBy("slice").collect()
+    parts = scanned.where("slice IS NOT NULL").groupBy("slice", "part").applyInArrow(_sum_parts, "slice int, counts binary")
+    summed = parts.groupBy("slice").applyInArrow(_sum_counts, "slice int, ranks binary, weights binary").orderBy("slice").collect()
     ranks = np.concatenate([np.frombuffer(r.ranks, np.uint8) for r in summed]) if summed else np.zeros(1 << bits, np.uint8)
     weights = sum((np.frombuffer(r.weights, np.int64) for r in summed), np.zeros(256, np.int64))
     held = sc.broadcast(Order(ranks, weights, fragments))
 
     postings = texts.mapInArrow(_prefixes(n, held, shards, up, down), _POSTINGS)
     found = checkpointed(postings.groupBy("shard").applyInArrow(_pair(up, down), "kind int, a long, a_set long, a_n long, b long, b_set long, b_n long, token long"))
+    forget_shuffles(docs.sparkSession)  # of the postings, which are paired and written
     pair_columns = ["a", "a_set", "a_n", "b", "b_set", "b_n"]
     pairs = found.where("kind = 0").select(*pair_columns).distinct()
     usable = sets.where("n > 0 AND id IS NOT NULL")
@@ -321,15 +353,17 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     several = usable.groupBy("id").agg(F.min("hi").alias("x"), F.max("hi").alias("y")).where("x <> y").select("id")
     bridges = usable.join(several, "id").join(classes, ["hi", "lo"]).select(F.col("id").alias("u"), F.col("rep").alias("v"))
     links = checkpointed(_links(texts, pairs, n, held, shards, up, down).union(bridges))
+    forget_shuffles(docs.sparkSession)  # of the segments
     joined = components(links)
 
     members = found.where("kind = 1").join(joined, F.col("a") == F.col("node"), "left").withColumn("component", F.coalesce("component", "a"))
     split = members.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
-    members = members.join(split, "token", "left_semi").select("token", "a", "a_set", "a_n", "b", "component", F.pmod(F.xxhash64("token"), F.lit(shards)).alias("shard"))
-    rest = members.groupBy("shard").applyInArrow(_cross(up, down), ", ".join(f"{c} long" for c in pair_columns)).distinct()
+    members = members.join(split, "token", "left_semi").select("token", "a", "a_set", "a_n", "b", "component")
+    rest = _cells(members).groupBy("token", "x", "y").applyInArrow(_cross(up, down), ", ".join(f"{c} long" for c in pair_columns)).distinct()
     rest = checkpointed(rest.join(pairs.select("a", "a_set", "b", "b_set").union(pairs.select("b", "b_set", "a", "a_set")), ["a", "a_set", "b", "b_set"], "left_anti").select(*pair_columns))
     if not rest.isEmpty():
         more = checkpointed(_links(texts, rest, n, held, shards, up, down))
+        forget_shuffles(docs.sparkSession)
         if not more.isEmpty():
             joined = components(links.union(more))
 
@@ -340,7 +374,16 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
 
 
 def keep_one_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs, all columns, whose id is the smallest of its component."""
+    """The rows of docs, all columns, whose id is the smallest of its component; of rows that share this id the
+    one whose columns hash lowest.  Rows without an id can't be told apart and stay."""
     labelled = near_duplicate_components(docs, id_col=id_col, **options)
-    gone = labelled.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return docs.join(gone.hint("shuffle_hash"), id_col, "left_anti").select(*docs.columns)
+    same = labelled.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col("component_id") != F.col(id_col)).alias("_gone"), (F.count("*") > 1).alias("_many"))
+    marks = checkpointed(same.where("_gone OR _many"))
+    joined = docs.join(marks.hint("shuffle_hash"), F.col(id_col) == F.col("_id"), "left")
+    kept = joined.where("_id IS NULL").select(*docs.columns)
+    many = joined.where("_many AND NOT _gone")
+    if marks.where("_many AND NOT _gone").isEmpty():
+        return kept
+    row = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    first = many.groupBy("_id").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("r"))
+    return kept.union(first.select(*(F.col("r")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns))))

@@ -291,7 +291,7 @@ def test_top_k_against_all_pairs(spark, scale):
     good = {i: [math.floor(64 * x) for x in v] for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
     v = topk.integer_vectors(table)
     got = defaultdict(list)
-    for r in topk.top_k(v, v.where("vec_id % 20 = 0"), 20, block=16, slice_blocks=3, batch=5).orderBy("query_id", "rank").collect():
+    for r in topk.top_k(v, v.where("vec_id % 20 = 0"), 20, block=16, slice_blocks=3, batch=5, seeds=2).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     for q in (i for i in good if i % 20 == 0):
         scored = sorted((-sum(a * b for a, b in zip(good[q], c, strict=False)), i) for i, c in good.items() if i != q)[:20]
@@ -300,6 +300,26 @@ def test_top_k_against_all_pairs(spark, scale):
     assert topk.self_search(few).count() == 2 and topk.self_search(table.where("vec_id < 0")).count() == 0
 
 
+def test_top_k_prunes_clusters(spark):
+    """Blocks of other clusters never travel; the result is that of all pairs."""
+    rnd = np.random.default_rng(1)
+    centres = rnd.normal(size=(12, 16)) * 4
+    rows = [(i, (centres[i * 7 % 12] + rnd.normal(size=16) / 8).tolist()) for i in range(3000)]
+    v = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    asks = v.where("vec_id % 20 = 0")
+    blocks, asked, reaching = topk.plan(v, asks, 20, block=32, batch=40)
+    share = reaching.agg(F.sum("asking")).first()[0] / (blocks.count() * asks.count())
+    assert share < 0.3 and asked.count() >= 4
+    got = defaultdict(list)
+    for r in topk.top_k(v, asks, 20, block=32, batch=40).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    m = np.floor(64 * np.array([x for _, x in rows])).astype(np.int64)
+    for q in range(0, 3000, 20):
+        s = m @ m[q]
+        best = sorted((i for i in range(3000) if i != q), key=lambda i: (-s[i], i))[:20]
+        assert got[q] == [(i, s[i]) for i in best]
+
+
 def test_all_queries_run_over_whole_tables(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").count()
     for name in ("op1_toxicity", "op2_decontaminate", "op3_language_id", "op7_mixing", "op8_lm_scoring"):

@@ -100,6 +100,13 @@ def test_substring_dedup_empty_and_carry(spark):
     assert (row.source, row.doc_id, row.kept_text) == ("s1", 1, "a b")
 
 
+def test_ids_of_other_types_are_an_error(spark):
+    docs = spark.createDataFrame([("a", "x y z")], "doc_id string, text string")
+    for operator in (dedup_substrings, near_duplicate_components, keep_one_each):
+        with pytest.raises(TypeError, match="whole number"):
+            operator(docs)
+
+
 def test_long_text(spark):
     words = [f"t{i}" for i in range(60_000)]
     text = " ".join(words + words[:30])
@@ -132,6 +139,32 @@ def test_contamination(spark, block_words):
     assert {r.doc_id for r in kept.collect()} == clean
 
 
+def test_contamination_by_frequent_fingerprints_and_long_items(spark, monkeypatch):
+    """One phrase in every item; an item of several blocks; items whose words no blank parts."""
+    from spanloom.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate.BenchmarkIndex.__init__, "__defaults__", (2,))
+    rnd = random.Random(7)
+    words = [f"w{i}" for i in range(30)]
+    phrase = " ".join(rnd.choices(words, k=16))
+    items = [(i, f"{' '.join(rnd.choices(words, k=6))} {phrase} {' '.join(rnd.choices(words, k=6))}") for i in range(12)]
+    items += [(50, ",".join(rnd.choices(words, k=200))), (51, "x,y;z")]
+    rows = [(i, f"{' '.join(rnd.choices(words, k=9))} {rnd.choice([phrase, 'none'])} {rnd.choice(items)[1]}") for i in range(30)] + [(90, items[12][1].upper()), (91, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block_words in (1_000_000, 60):
+        got = contamination(frame(spark, rows), bench, block_words=block_words).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_hit, ",".join(r.item_ids)) for r in got) == brute.contamination(rows, items)
+    words = [len(x.words) for x in decontaminate._blocks(bench, "item_id", "text", 13, 5, 60)]
+    assert max(words) <= 60 and len(words) > 8
+
+
+def test_contamination_of_long_texts(spark):
+    text = " ".join(f"t{i}" for i in range(60_000))
+    bench = spark.createDataFrame([(1, "t5 t6"), (2, " ".join(f"t{i}" for i in range(30_000, 30_020)))], "item_id long, text string")
+    row = contamination(frame(spark, [(1, text)]), bench).first()
+    assert (row.n_words, row.n_hit, row.item_ids) == (60_000, 22, ["1", "2"])
+
+
 def test_contamination_without_items_or_documents(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     docs = frame(spark, [(1, "One two"), (2, None)])
@@ -172,6 +205,20 @@ def test_near_duplicates_odd_ids(spark):
     got = near_duplicate_components(frame(spark, rows)).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (1, 1), (1, 1), (1, 1), (2, 1)]
     assert near_duplicate_components(frame(spark, rows).where("doc_id = 9")).count() == 0
+    assert sorted((r.doc_id or 0, r.text[0]) for r in keep_one_each(frame(spark, rows)).collect()) in ([(0, "a"), (1, "a")], [(0, "a"), (1, "q")])
+
+
+def test_one_frequent_ngram_in_unlike_texts(spark, monkeypatch):
+    """Texts that share their rarest n-grams but are no near copies: every pair of the group is judged, in cells."""
+    from spanloom.llm import ngram_jaccard
+
+    monkeypatch.setattr(ngram_jaccard, "CELL", 10)
+    rnd = random.Random(3)
+    common = [f"{a} {b} {c}" for a in "pqr" for b in "pqr" for c in "pqr"]
+    texts = {" ".join(rnd.choices("pqr", k=14)) for _ in range(150)} | set(common)
+    rows = list(enumerate(sorted(texts)))
+    got = {r.doc_id: r.component_id for r in near_duplicate_components(frame(spark, rows)).collect()}
+    assert got == brute.jaccard_components(rows)
 
 
 def test_components(spark):
