@@ -379,11 +379,11 @@ def keep_one_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> Data
     labelled = near_duplicate_components(docs, id_col=id_col, **options)
     same = labelled.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col("component_id") != F.col(id_col)).alias("_gone"), (F.count("*") > 1).alias("_many"))
     marks = checkpointed(same.where("_gone OR _many"))
-    joined = docs.join(marks.hint("shuffle_hash"), F.col(id_col) == F.col("_id"), "left")
-    kept = joined.where("_id IS NULL").select(*docs.columns)
-    many = joined.where("_many AND NOT _gone")
+    rows = docs.select(F.col(id_col).alias("id"), F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("row"))
+    joined = rows.join(marks.hint("shuffle_hash"), F.col("id") == F.col("_id"), "left")
+    columns = [F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)]
+    kept = joined.where("_id IS NULL").select(*columns)
     if marks.where("_many AND NOT _gone").isEmpty():
         return kept
-    row = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
-    first = many.groupBy("_id").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("r"))
-    return kept.union(first.select(*(F.col("r")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns))))
+    first = joined.where("_many AND NOT _gone").groupBy("_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.union(first.select(*columns))

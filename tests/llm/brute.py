@@ -34,6 +34,10 @@ def substring_dedup(rows, n=20):
 
 
 def contamination(rows, items, n=13):
+    return Counter(contamination_list(rows, items, n))
+
+
+def contamination_list(rows, items, n=13):
     windows = defaultdict(set)
     for i, t in items:
         w = ALNUM.findall(lower(t))
@@ -50,7 +54,7 @@ def contamination(rows, items, n=13):
                     found |= windows[k]
                     hit[s : s + m] = [True] * m
         out.append((d, len(w), sum(hit), ",".join(sorted(found))))
-    return Counter(out)
+    return out
 
 
 def shingles(text, n=3):
@@ -58,9 +62,9 @@ def shingles(text, n=3):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
-def jaccard_components(rows):
+def jaccard_components(rows, n=3, percent=90):
     """(id, text) rows with ids -> id: component, by comparing all pairs."""
-    sets = [(d, shingles(t)) for d, t in rows]
+    sets = [(d, shingles(t, n)) for d, t in rows]
     parent = {d: d for d, _ in sets}
 
     def find(x):
@@ -70,7 +74,7 @@ def jaccard_components(rows):
 
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
-            if x and y and 100 * len(x & y) >= 90 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 u, v = sorted((find(a), find(b)))
                 parent[v] = u
     return {d: find(d) for d in parent}

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanloom.llm import chat, html_extract, language_id, lm_scoring, queries, topk
+from spanloom.llm import chat, html_extract, language_id, lm_scoring, queries, topk, toxicity
 
 from . import brute
 
@@ -329,23 +329,64 @@ def test_all_queries_run_over_whole_tables(spark, data):
     assert (row.n_turns, row.loss_chars) == (2, len(text)) and row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
-def test_pipeline_stages_against_brute_force(spark, data, tmp_path):
-    docs, columns = spark.read.parquet(f"{data}/documents.parquet"), None
-    seen = {}
+def check_stages(spark, docs, sf_dir, folder):
+    """Runs the stages on docs and compares each with a plain version on its own input."""
+    columns = docs.columns
+    rows = lambda df: [(r.doc_id, r.text, r.source) for r in df.collect()]
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        stage(spark, docs, data).write.parquet(path := f"{tmp_path}/{i}")
+        stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{i}")
         before, docs = docs, spark.read.parquet(path)
-        columns = columns or before.columns
         assert docs.columns == columns
-        seen[name] = ([(r.doc_id, r.text, r.source) for r in before.collect()], [(r.doc_id, r.text, r.source) for r in docs.collect()])
-    before, after = seen["ngram_jaccard"]
-    component = brute.jaccard_components([r[:2] for r in before])
-    assert {r[0] for r in after} == {d for d, c in component.items() if c == d}
-    before, after = seen["substring_dedup"]
-    assert Counter((d, t) for d, t, _ in after) == Counter((d, t) for d, _, _, t in brute.substring_dedup([r[:2] for r in before]))
-    before, after = seen["decontamination"]
-    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
-    assert {r[0] for r in after} == {d for d, n, hit, _ in brute.contamination([r[:2] for r in before], items) if not (hit and 20 * hit >= n)}
-    before, after = seen["mixing"]
-    assert max(Counter(r[0] for r in after).values()) <= 2 and {r[0] for r in after} <= {r[0] for r in before}
-    assert len(seen["toxicity"][1]) >= 0.8 * len(seen["toxicity"][0])
+        x, y = rows(before), rows(docs)
+        if name == "toxicity":
+            model = toxicity.fit(before, spark.read.parquet(f"{sf_dir}/labels.parquet"), learn_from=~toxicity.held_out())
+            weight = dict(zip(np.flatnonzero(model.slot).tolist(), model.weights[model.slot[model.slot > 0] - 1].tolist(), strict=True))
+            grams = lambda t: {(int.from_bytes(t[p : p + n], "little") + n) * 0x9E3779B97F4A7C15 % 2**64 >> 64 - toxicity.BITS for n in toxicity.ORDERS for p in range(len(t) - n + 1)}
+            odds = lambda t: model.intercept + sum(weight.get(g, 0.0) for g in grams(brute.lower(t).encode()))
+            assert Counter(y) == Counter(r for r in x if odds(r[1]) < 0)
+        if name == "ngram_jaccard":
+            component = brute.jaccard_components([r[:2] for r in x if r[0] is not None], 5, 80)
+            # rows of one id are one node, of which one row stays
+            assert Counter(r[0] for r in y) == Counter({d for d, c in component.items() if c == d}) + Counter(r[0] for r in x if r[0] is None) and set(y) <= set(x)
+        if name == "substring_dedup":
+            assert Counter((d, t) for d, t, _ in y) == Counter((d, t) for (d, _, _, t), n in brute.substring_dedup([r[:2] for r in x]).items() for _ in range(n))
+        if name == "decontamination":
+            items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+            judged = zip(x, brute.contamination_list([r[:2] for r in x], items), strict=True)
+            assert Counter(y) == Counter(r for r, (_, n, hit, _) in judged if not (hit and 20 * hit >= n))
+        if name == "mixing":
+            sizes = Counter()
+            for _, t, source in x:
+                sizes[source] += len(brute.PLAIN.findall(t or ""))
+            targets = brute.mix_targets(dict(sizes)) if x else {}
+            want = Counter()
+            for r in x:
+                rate = targets[r[2]] / sizes[r[2]] if sizes[r[2]] else 0
+                u = int(hashlib.md5(f"mix:{'' if r[0] is None else r[0]}".encode()).hexdigest()[:8], 16) / 2**32
+                want[r] += math.floor(rate) + (u < rate - math.floor(rate))
+            assert Counter(y) == +want
+
+
+def test_pipeline_stages_against_brute_force(spark, data, tmp_path):
+    check_stages(spark, spark.read.parquet(f"{data}/documents.parquet"), data, tmp_path)
+
+
+def test_pipeline_stages_on_odd_tables(spark, data, tmp_path):
+    """Nulls in every column, repeated rows and ids, a very long text, columns that clash; then no rows at all."""
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(40)
+    long = " ".join(f"t{i}" for i in range(30_000))
+    rows = [(None, None, None, None, None), (None, "a b c", None, "s", 1), (None, "a b c", None, "s", 1), (7001, None, "en", None, None), (7002, "", None, "s", 0), (7003, long, "en", "s", 1), (7004, long + " more", "en", None, 1), (7005, "q r s t u v w", "en", "s", 1), (7005, "q r s t u v w", "en", "s", 1), (7006, "one two", None, None, None), (7006, "one two", None, None, None)]
+    more = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    odd = docs.unionByName(more).withColumns({"n_words": F.lit(1), "_id": F.lit("clash"), "id": F.lit(None).cast("string"), "label": F.lit(2), "size": F.lit(3)})
+    check_stages(spark, odd, data, tmp_path / "odd")
+    check_stages(spark, odd.where("doc_id = -1"), data, tmp_path / "empty")
+
+
+def test_pipeline_keeps_one_folder(spark, data, tmp_path):
+    import os
+
+    from spanloom.llm.common import shared_folder
+
+    out = corpus_pipeline.run(spark, data)
+    left = [x for x in os.listdir(shared_folder(spark)) if x.startswith("corpus-pipeline-")]
+    assert out.count() > 0 and all(os.listdir(f"{shared_folder(spark)}/{x}") == ["4-mixing"] for x in left)
