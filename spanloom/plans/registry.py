@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import annotate_queries, corpus_queries, payload_queries, report_queries, scoring_queries
+from . import annotate_queries, corpus_queries, file_queries, payload_queries, report_queries, scoring_queries
 
-_MODULES = (annotate_queries, scoring_queries, corpus_queries, report_queries, payload_queries)
+_MODULES = (annotate_queries, scoring_queries, corpus_queries, report_queries, payload_queries, file_queries)
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 for _m in _MODULES:

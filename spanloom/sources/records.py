@@ -17,6 +17,13 @@ TITLE_SECTIONS, ABSTRACT_SECTIONS = ("TITLE", "title", "Title", "front"), ("ABST
 DISEASE_TYPES = ("disease", "diseases", "specificdisease", "diseaseclass", "modifier", "compositediseasemention", "compositemention")
 
 
+def merge_payload_batches(payloads: DataFrame, batch_col: str = "batch") -> DataFrame:
+    """payloads(batch, payload): the documents of all batches as one list: batch, position, document (JSON)."""
+    v = F.try_parse_json("payload")
+    docs = payloads.select(batch_col, F.posexplode(F.coalesce(get(v, "$.documents", _ARRAY), get(v, "$.PubTator3", _ARRAY))).alias("position", "d"))
+    return docs.select(batch_col, "position", F.to_json("d").alias("document"))
+
+
 def bioc_to_documents(payloads: DataFrame, full_text: bool = True) -> DataFrame:
     """payloads(payload) -> documents: pmid, title, abstract and body from the labelled passages; without
     labels the first passage is the title and the others the abstract.  Documents without pmid are dropped."""
@@ -97,20 +104,21 @@ def epmc_to_documents(payloads: DataFrame) -> DataFrame:
     r = r.withColumns({"pmid": text("pmid"), "pmcid": text("pmcid"), "id": text("id"), "src": text("source")})
     document_id = F.when(F.col("pmid") != "", F.concat(F.lit("PMID:"), "pmid")).when(F.col("pmcid").startswith("PMC"), F.col("pmcid")).when(F.col("pmcid") != "", F.concat(F.lit("PMC"), "pmcid")).when(F.col("id") != "", F.concat(F.coalesce(F.nullif("src", F.lit("")), F.lit("EPMC")), F.lit(":"), "id")).otherwise("EPMC:UNKNOWN")
     cited = F.when(F.schema_of_variant(F.coalesce(get("r", "$.citedByCount", "variant"), F.parse_json(F.lit("null")))) == "BIGINT", get("r", "$.citedByCount", "long"))
-    urls = F.transform(get("r", "$.fullTextUrlList.fullTextUrl", _ARRAY), lambda u: F.named_struct(F.lit("url"), strip(F.coalesce(get(u, "$.url"), F.lit(""))), F.lit("site"), strip(F.coalesce(get(u, "$.site"), F.lit("")))))
+    urls = F.transform(get("r", "$.fullTextUrlList.fullTextUrl", _ARRAY), lambda u: F.named_struct(F.lit("url"), strip(F.coalesce(get(u, "$.url"), F.lit(""))), F.lit("site"), strip(F.coalesce(get(u, "$.site"), F.lit(""))), F.lit("availability"), strip(F.coalesce(get(u, "$.availability"), F.lit(""))), F.lit("document_style"), strip(F.coalesce(get(u, "$.documentStyle"), F.lit("")))))
     return r.select(document_id.alias("document_id"), F.nullif("pmid", F.lit("")).alias("pmid"), F.nullif("pmcid", F.lit("")).alias("pmcid"), text("title").alias("title"), text("abstractText").alias("abstract"), F.nullif(text("pubYear"), F.lit("")).alias("year"), F.lit("europe_pmc").alias("source"),
                     F.nullif(text("doi"), F.lit("")).alias("doi"), cited.alias("citation_count"), flag("isOpenAccess").alias("is_open_access"), flag("inEPMC").alias("in_epmc"), flag("inPMC").alias("in_pmc"), F.nullif(text("license"), F.lit("")).alias("license"), urls.alias("full_text_urls"))
 
 
 def jats_to_plain(xml: str | None) -> str:
-    """Titles and paragraphs of the body, white space collapsed, equal blocks once; '' if there is none."""
+    """Titles and paragraphs of the body, inline parts joined by a blank, white space collapsed, equal blocks
+    once; '' if there is none."""
     try:
         root = ET.fromstring(xml or "")
     except ET.ParseError:
         return ""
     local = lambda tag: tag.rsplit("}", 1)[-1] if isinstance(tag, str) else ""
     body = next((n for n in root.iter() if local(n.tag) == "body"), None)
-    blocks = [] if body is None else [" ".join("".join(n.itertext()).split()) for n in body.iter() if local(n.tag) in ("title", "p")]
+    blocks = [] if body is None else [" ".join(" ".join(n.itertext()).split()) for n in body.iter() if local(n.tag) in ("title", "p")]
     return "\n\n".join(dict.fromkeys(b for b in blocks if b))
 
 
