@@ -34,8 +34,9 @@ from .components import components
 from .wordhash import PLAIN_LOWER, U64, mix64, ngram_hashes, same_row, tokenised
 
 N, THRESHOLD, FRAGMENTS, SLICES, HOME_PARTNERS, REQUESTS = 3, (90, 100), 4, 16, 1000, 64
-#: Tasks whose counters are added up first, and members of an n-gram's group that one cell pairs with as many others.
-PARTS, CELL = 64, 1000
+#: Tasks whose counters are added up first, members of an n-gram's group that one cell pairs with as many others, and
+#: keys under which the members of a group are looked up.
+PARTS, CELL, SALTS = 64, 1000, 16
 MIN_BITS, MAX_BITS = 20, 26
 
 
@@ -225,18 +226,23 @@ def _pair(up: int, down: int):
 def _cross(up: int, down: int):
     """Members of one group that lie in different components: the pairs that sizes and positions allow.
 
-    A cell holds members of two parts of a group (of one, if they are the same)."""
+    A cell holds the members of two parts of a group (of one, if they are the same)."""
 
     def cross(table: pa.Table) -> pa.Table:
-        a, s, n, p, comp, part = (table[c].to_numpy() for c in ("a", "a_set", "a_n", "b", "component", "part"))
-        low, high = table["x"][0].as_py(), table["y"][0].as_py()
-        order = np.lexsort((s, a))
-        left, right = (order[part[order] == k] for k in (low, high))
-        found = []
-        for k, i in enumerate(left.tolist()):
-            others = right[k + 1 :] if low == high else right
-            found.append((np.full(len(j := others[(comp[others] != comp[i]) & _possible(n[i], p[i], n[others], p[others], up, down)]), i), j))
-        i, j = (np.concatenate([x[k] for x in found] + [np.zeros(0, np.int64)]).astype(np.int64) for k in (0, 1))
+        token, x, y, a, s, n, p, comp, part = (table[c].to_numpy() for c in ("token", "x", "y", "a", "a_set", "a_n", "b", "component", "part"))
+        order = np.lexsort((s, a, y, x, token))
+        token, x, y, a, s, n, p, comp, part = (c[order] for c in (token, x, y, a, s, n, p, comp, part))
+        cut = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]), [True])))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if (comp[lo:hi] == comp[lo]).all():
+                continue
+            left, right = (np.flatnonzero(part[lo:hi] == k[lo]) + lo for k in (x, y))
+            for k, i in enumerate(left.tolist()):
+                others = right[k + 1 :] if x[lo] == y[lo] else right
+                j = others[(comp[others] != comp[i]) & _possible(n[i], p[i], n[others], p[others], up, down)]
+                found.append((np.full(len(j), i), j))
+        i, j = (np.concatenate([f[k] for f in found]) for k in (0, 1))
         swap = (a[i] > a[j]) | ((a[i] == a[j]) & (s[i] > s[j]))
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         return pa.table({"a": a[i], "a_set": s[i], "a_n": n[i], "b": a[j], "b_set": s[j], "b_n": n[j]})
@@ -244,13 +250,20 @@ def _cross(up: int, down: int):
     return cross
 
 
-def _cells(members: DataFrame) -> DataFrame:
-    """Members of each n-gram's group, dealt to parts of about CELL, repeated for every pair of parts (x <= y)
-    that theirs belongs to: a group of any size is many cells of bounded size."""
-    sizes = members.groupBy("token").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
-    dealt = members.join(sizes, "token").withColumn("part", F.pmod(F.xxhash64("a", "a_set"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return dealt.withColumn("other", other).withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")}).drop("other", "parts")
+def _cells(members: DataFrame, shards: int) -> DataFrame:
+    """Members of the n-gram groups that span several components, by shard.
+
+    A group is dealt to parts of about CELL members, which are repeated for every pair of parts (x <= y) that
+    theirs belongs to; each pair of a large group is a shard of its own, small groups share shards.  Members find
+    their group's size under SALTS keys, so a frequent n-gram is many rows of each of them, not all of one."""
+    stats = members.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    stats = stats.where("least <> most").select("token", "parts", salts)
+    dealt = members.withColumn("salt", F.pmod(F.xxhash64("a", "a_set"), F.lit(SALTS)).cast("int")).join(stats, ["token", "salt"])
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("a_set", "a"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")})
+    own = F.lit(shards) + F.pmod(F.xxhash64("token", "x", "y"), F.lit(1 << 40))
+    return dealt.withColumn("shard", F.when(F.col("parts") > 1, own).otherwise(F.pmod(F.xxhash64("token"), F.lit(shards)))).drop("other", "parts", "salt")
 
 
 # ---------------------------------------------------------------- counting
@@ -357,9 +370,9 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     joined = components(links)
 
     members = found.where("kind = 1").join(joined, F.col("a") == F.col("node"), "left").withColumn("component", F.coalesce("component", "a"))
-    split = members.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
-    members = members.join(split, "token", "left_semi").select("token", "a", "a_set", "a_n", "b", "component")
-    rest = _cells(members).groupBy("token", "x", "y").applyInArrow(_cross(up, down), ", ".join(f"{c} long" for c in pair_columns)).distinct()
+    members = members.select("token", "a", "a_set", "a_n", "b", "component")
+    cells = _cells(members, shards).repartition(shards, "shard")
+    rest = cells.groupBy("shard").applyInArrow(_cross(up, down), ", ".join(f"{c} long" for c in pair_columns)).distinct()
     rest = checkpointed(rest.join(pairs.select("a", "a_set", "b", "b_set").union(pairs.select("b", "b_set", "a", "a_set")), ["a", "a_set", "b", "b_set"], "left_anti").select(*pair_columns))
     if not rest.isEmpty():
         more = checkpointed(_links(texts, rest, n, held, shards, up, down))
