@@ -8,8 +8,8 @@ score the closer the document is to the target.
 The vocabulary holds every word of the corpus, and one more word for all that scored texts add to it;
 only where ``vocabulary`` is given, the ``vocabulary - 2`` most frequent words (equal counts by hash) are
 kept and all others are one word.  The models are a table of counts that grows with the corpus and stays
-in Spark: the counts of words, of words as contexts and of bigrams, each under a 64-bit key, dealt to
-shards by key.  Tasks add up what they count before they send it, so a frequent bigram is one entry of
+in Spark: the counts of words, of words as contexts and of bigrams, each under a 56-bit key (54 bits of a
+hash: of 10**9 keys about 30 pairs share one), dealt to shards by key.  Tasks add up what they count before they send it, so a frequent bigram is one entry of
 each.  To score, documents are packed into chunks of bounded size; each chunk asks the shards once for
 every key that it holds, and its losses are summed where the answers meet its texts.
 
@@ -55,7 +55,7 @@ def common_words(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
 
 
 def _key(hashes: np.ndarray, kind: np.uint64) -> np.ndarray:
-    return (mix64(hashes + mix64(np.array([kind]))) & ~U64(3)) | kind
+    return ((mix64(hashes + mix64(np.array([kind]))) >> U64(8)) & ~U64(3)) | kind
 
 
 def _planes(x: np.ndarray) -> bytes:
