@@ -10,7 +10,8 @@ come from a table of fixed size that every task adds to), then by hash.
     positions allow.  The global order is cut into fragments of equal weight; for each pair the overlap
     is counted per fragment, separately, and the counts are summed.  The links found form components.
 4.  Group members that are still in different components are then paired with each other, and those
-    pairs are counted in the same way.  So every candidate pair is counted or already connected, no
+    pairs are counted in the same way.  Before pairs are counted, a signature of 512 parities per set
+    drops those whose sets must differ too much.  So every other candidate pair is counted or already connected, no
     link between different texts is lost, and a group of near copies costs about one pair per member.
     Members that no link connects cost a pair each with each: they are dealt to cells of bounded size.
 
@@ -34,6 +35,8 @@ from .components import components
 from .wordhash import PLAIN_LOWER, U64, mix64, ngram_hashes, same_row, tokenised
 
 N, THRESHOLD, FRAGMENTS, SLICES, HOME_PARTNERS, REQUESTS = 3, (90, 100), 4, 16, 1000, 64
+#: Bits of a set's signature.
+PARITIES = 512
 #: Tasks whose counters are added up first, members of an n-gram's group that one cell pairs with as many others, and
 #: keys under which the members of a group are looked up.
 PARTS, CELL, SALTS = 64, 1000, 16
@@ -69,7 +72,13 @@ def set_hash(grams: np.ndarray) -> tuple[int, int]:
     return int(hi >> U64(1)), int(lo >> U64(1))
 
 
-_SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("slice", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
+def parities(grams: np.ndarray) -> np.ndarray:
+    """PARITIES bits, each the parity of the number of n-grams that hash to it."""
+    odd = np.bincount((mix64(grams ^ U64(0x3C3C3C3C3C3C3C3C)) % U64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+_SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("slice", pa.int32()), ("part", pa.int32()), ("counts", pa.binary()), ("bits", pa.list_(pa.int64()))])
 
 
 def _scan(n: int, bits: int):
@@ -79,18 +88,20 @@ def _scan(n: int, bits: int):
         counts, seen = np.zeros(1 << bits, np.uint32), set()
         for batch in batches:
             size, hi, lo = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            signs = np.zeros((len(batch), PARITIES // 64), np.int64)
             for r, grams in shingle_sets(batch.column("text"), n):
                 size[r] = len(grams)
                 hi[r], lo[r] = key = set_hash(grams)
+                signs[r] = parities(grams)
                 if key not in seen:
                     seen.add(key)
                     np.add.at(counts, (grams >> U64(64 - bits)).astype(np.int64), 1)
-            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": size, "hi": hi, "lo": lo, "slice": pa.nulls(len(batch), pa.int32()), "part": pa.nulls(len(batch), pa.int32()), "counts": pa.nulls(len(batch), pa.binary())}, schema=_SETS)
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": size, "hi": hi, "lo": lo, "slice": pa.nulls(len(batch), pa.int32()), "part": pa.nulls(len(batch), pa.int32()), "counts": pa.nulls(len(batch), pa.binary()), "bits": pa.array(list(signs), pa.list_(pa.int64()))}, schema=_SETS)
         if seen:
             nulls = pa.nulls(SLICES, pa.int64())
             blobs = [zlib.compress(c.tobytes(), 1) for c in np.split(counts, SLICES)]
             part = pa.array([TaskContext.get().partitionId() // PARTS] * SLICES, pa.int32())
-            yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, nulls, pa.array(range(SLICES), pa.int32()), part, pa.array(blobs, pa.binary())], schema=_SETS)
+            yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, nulls, pa.array(range(SLICES), pa.int32()), part, pa.array(blobs, pa.binary()), pa.nulls(SLICES, pa.list_(pa.int64()))], schema=_SETS)
 
     return scan
 
@@ -266,6 +277,15 @@ def _cells(members: DataFrame, shards: int) -> DataFrame:
     return dealt.withColumn("shard", F.when(F.col("parts") > 1, own).otherwise(F.pmod(F.xxhash64("token"), F.lit(shards)))).drop("other", "parts", "salt")
 
 
+def _plausible(pairs: DataFrame, signatures: DataFrame, up: int, down: int) -> DataFrame:
+    """The pairs that their signatures allow: signatures differ in no more bits than the sets differ in n-grams,
+    and the threshold bounds that number.  Nothing that reaches the threshold is lost."""
+    side = lambda x: signatures.select(F.col("id").alias(x), F.col("lo").alias(f"{x}_set"), F.col("bits").alias(f"{x}_bits"))
+    both = pairs.join(side("a"), ["a", "a_set"]).join(side("b"), ["b", "b_set"])
+    differ = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return both.where(differ * (up + down) <= (F.col("a_n") + F.col("b_n")) * (down - up)).select(*pairs.columns)
+
+
 # ---------------------------------------------------------------- counting
 _SEGMENTS = pa.schema([("shard", pa.int32()), ("fragment", pa.int32()), ("home", pa.int64()), ("home_set", pa.int64()), ("salt", pa.int64()), ("doc", pa.int64()), ("doc_set", pa.int64()), ("segment", pa.binary())])
 
@@ -347,7 +367,7 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     rows = docs.select(whole_number_id(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     texts = rows.where("id IS NOT NULL AND text IS NOT NULL")
 
-    scanned = checkpointed(rows.mapInArrow(_scan(n, bits), "id long, n long, hi long, lo long, slice int, part int, counts binary"))
+    scanned = checkpointed(rows.mapInArrow(_scan(n, bits), "id long, n long, hi long, lo long, slice int, part int, counts binary, bits array<long>"))
     sets = scanned.where("slice IS NULL").select("id", "n", "hi", "lo")
     parts = scanned.where("slice IS NOT NULL").groupBy("slice", "part").applyInArrow(_sum_parts, "slice int, counts binary")
     summed = parts.groupBy("slice").applyInArrow(_sum_counts, "slice int, ranks binary, weights binary").orderBy("slice").collect()
@@ -359,13 +379,15 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     found = checkpointed(postings.groupBy("shard").applyInArrow(_pair(up, down), "kind int, a long, a_set long, a_n long, b long, b_set long, b_n long, token long"))
     forget_shuffles(docs.sparkSession)  # of the postings, which are paired and written
     pair_columns = ["a", "a_set", "a_n", "b", "b_set", "b_n"]
-    pairs = found.where("kind = 0").select(*pair_columns).distinct()
     usable = sets.where("n > 0 AND id IS NOT NULL")
+    signatures = scanned.where("slice IS NULL AND n > 0 AND id IS NOT NULL").groupBy("id", "lo").agg(F.first("bits").alias("bits"))  # equal for equal sets
+    pairs = found.where("kind = 0").select(*pair_columns).distinct()
     classes = usable.groupBy("hi", "lo").agg(F.min("id").alias("rep"))
     # an id that stands on rows with different texts links their classes
     several = usable.groupBy("id").agg(F.min("hi").alias("x"), F.max("hi").alias("y")).where("x <> y").select("id")
     bridges = usable.join(several, "id").join(classes, ["hi", "lo"]).select(F.col("id").alias("u"), F.col("rep").alias("v"))
-    links = checkpointed(_links(texts, pairs, n, held, shards, up, down).union(bridges))
+    asked = checkpointed(_plausible(pairs, signatures, up, down))
+    links = checkpointed(_links(texts, asked, n, held, shards, up, down).union(bridges))
     forget_shuffles(docs.sparkSession)  # of the segments
     joined = components(links)
 
@@ -374,6 +396,7 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     cells = _cells(members, shards).repartition(shards, "shard")
     rest = cells.groupBy("shard").applyInArrow(_cross(up, down), ", ".join(f"{c} long" for c in pair_columns)).distinct()
     rest = checkpointed(rest.join(pairs.select("a", "a_set", "b", "b_set").union(pairs.select("b", "b_set", "a", "a_set")), ["a", "a_set", "b", "b_set"], "left_anti").select(*pair_columns))
+    rest = checkpointed(_plausible(rest, signatures, up, down))
     if not rest.isEmpty():
         more = checkpointed(_links(texts, rest, n, held, shards, up, down))
         forget_shuffles(docs.sparkSession)

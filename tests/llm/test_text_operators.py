@@ -208,6 +208,17 @@ def test_near_duplicates_odd_ids(spark):
     assert sorted((r.doc_id or 0, r.text[0]) for r in keep_one_each(frame(spark, rows)).collect()) in ([(0, "a"), (1, "a")], [(0, "a"), (1, "q")])
 
 
+def test_signatures_differ_no_more_than_sets():
+    from spanloom.llm.ngram_jaccard import parities
+
+    rnd = np.random.default_rng(2)
+    for n in (1, 30, 700, 5000):
+        x = np.unique(rnd.integers(1, 1 << 60, n).astype(np.uint64))
+        y = np.unique(np.concatenate((x[: n * 9 // 10], rnd.integers(1, 1 << 60, n // 7).astype(np.uint64))))
+        differ = sum(bin(int(a) & (1 << 64) - 1).count("1") for a in (parities(x) ^ parities(y)))
+        assert differ <= len(np.setxor1d(x, y)) and (n > 100 or differ >= len(np.setxor1d(x, y)) // 2) and not parities(x[:0]).any()
+
+
 def test_one_frequent_ngram_in_unlike_texts(spark, monkeypatch):
     """Texts that share their rarest n-grams but are no near copies: every pair of the group is judged, in cells."""
     from spanloom.llm import ngram_jaccard
