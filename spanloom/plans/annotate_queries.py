@@ -65,7 +65,7 @@ def k01_annotations_table(spark, d):
 
 
 def k02_keywords_table(spark, d):
-    return K.keywords_table(K.keyword_groups(X.annotations(spark, d)), X.documents(spark, d))
+    return K.keywords_table(K.keyword_summaries(X.annotations(spark, d)), X.documents(spark, d))
 
 
 def k03_keyword_evidence(spark, d):

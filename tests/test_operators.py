@@ -27,6 +27,17 @@ def test_keyword_groups(spark):
     assert keywords.keyword_evidence(keywords.keyword_groups(df), df, docs).count() == 4
 
 
+def test_keyword_summaries_agree_with_groups(spark):
+    rnd, pick = random.Random(3), lambda *xs: rnd.choice(xs)
+    rows = [(pick("d", "e"), pick(*"xyz"), pick("GBM", "gbm ", "a", " ", None), pick(0, 5, None), pick(3, 9, None), pick("disease", "gene", None), pick("mesh:D1", "['a', 'mesh:b']", "-", "", None), None) for _ in range(300)]
+    df = annotations(spark, rows)
+    again = df.where("ordinal % 3 = 0").withColumns({"ordinal": F.col("ordinal") + 1000, "canonical_id": F.lit("BERN:g")})  # the last row of an id counts
+    docs = spark.createDataFrame([("d", "7", "T")], "document_id string, pmid string, title string")
+    for part in (df, df.unionByName(again), df.limit(0)):
+        tables = [sorted(map(str, keywords.keywords_table(f(part), docs).collect())) for f in (keywords.keyword_groups, keywords.keyword_summaries)]
+        assert tables[0] == tables[1]
+
+
 def naive(predictions, gold, rule):
     used, pairs = set(), []
     for i, s, e in predictions:
