@@ -345,8 +345,12 @@ def _links(texts: DataFrame, pairs: DataFrame, n: int, held, shards: int, up: in
     homes = asks.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     request = F.struct(F.col("doc_set"), F.col("a").alias("home"), F.col("a_set").alias("home_set"), F.col("salt"))
     wanted = salted.select(F.col("b").alias("id"), F.col("b_set").alias("doc_set"), "a", "a_set", "salt").union(homes.select(F.col("a").alias("id"), F.col("a_set").alias("doc_set"), "a", "a_set", "salt"))
-    parts = wanted.groupBy("id").agg(F.ceil(F.count("*") / REQUESTS).cast("long").alias("parts"))
-    wanted = wanted.join(parts, "id").withColumn("part", F.pmod(F.xxhash64("doc_set", "a", "a_set", "salt"), F.col("parts")))
+    # a set that very many homes ask for is looked up under SALTS keys; most ids need no more than one row
+    parts = wanted.groupBy("id").agg(F.ceil(F.count("*") / REQUESTS).cast("long").alias("parts")).where("parts > 1")
+    parts = parts.withColumn("key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    spread = F.xxhash64("doc_set", "a", "a_set", "salt")
+    wanted = wanted.withColumn("key", F.pmod(spread, F.lit(SALTS))).join(parts, ["id", "key"], "left")
+    wanted = wanted.withColumn("part", F.pmod(F.xxhash64("a_set", "a", "salt", "doc_set"), F.coalesce("parts", F.lit(1).cast("long"))))
     wanted = wanted.groupBy("id", "part").agg(F.collect_set(request).alias("asked"))  # about REQUESTS a row
     asked = texts.join(wanted.hint("shuffle_hash"), "id").select("id", "text", "asked")
     segments = asked.mapInArrow(_cut(n, held, shards), "shard int, fragment int, home long, home_set long, salt long, doc long, doc_set long, segment binary")
