@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import inspect
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -49,6 +52,35 @@ def whole_number_id(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("long")
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        trim(0)
+
+
+def frugal(task):
+    """task, a function of batches or of one or two tables, after which its Python worker gives freed memory back
+    to the system: Spark keeps workers for later tasks, and those of earlier stages wait beside the ones at work."""
+
+    def of_batches(batches):
+        yield from task(batches)
+        _give_back()
+
+    def of_table(table):
+        out = task(table)
+        _give_back()
+        return out
+
+    def of_tables(left, right):
+        out = task(left, right)
+        _give_back()
+        return out
+
+    if inspect.isgeneratorfunction(task):
+        return of_batches
+    return of_table if len(inspect.signature(task).parameters) == 1 else of_tables
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a new one only where none is named and all tasks run here (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

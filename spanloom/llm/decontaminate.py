@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, ascii_lower, checkpointed
+from .common import LOWER, UPPER, ascii_lower, checkpointed, frugal
 from .wordhash import ALNUM_LOWER, U64, ngram_hashes, same_row, tokenised, winnow
 
 SPAN, K, BLOCK_WORDS, HOT = 13, 5, 1_000_000, 64
@@ -194,7 +194,7 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_c
                 out["hit_spans"] = pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], _SPANS)
                 yield pa.RecordBatch.from_pydict(out)
 
-        df = df.mapInArrow(judge, f"doc {doc_type}, text string, {_ADDED}")
+        df = df.mapInArrow(frugal(judge), f"doc {doc_type}, text string, {_ADDED}")
     if held is None:  # no item has words: only the documents' words are counted
         df = df.withColumn("n_words", F.coalesce(F.regexp_count(ascii_lower("text"), F.lit(_WORD)), F.lit(0)).cast("long"))
     return df

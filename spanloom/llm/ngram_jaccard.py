@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, checkpointed, forget_shuffles, text_bytes, whole_number_id
+from .common import bucket_count, checkpointed, forget_shuffles, frugal, text_bytes, whole_number_id
 from .components import components
 from .wordhash import PLAIN_LOWER, U64, mix64, ngram_hashes, same_row, tokenised
 
@@ -353,7 +353,7 @@ def _links(texts: DataFrame, pairs: DataFrame, n: int, held, shards: int, up: in
     wanted = wanted.withColumn("part", F.pmod(F.xxhash64("a_set", "a", "salt", "doc_set"), F.coalesce("parts", F.lit(1).cast("long"))))
     wanted = wanted.groupBy("id", "part").agg(F.collect_set(request).alias("asked"))  # about REQUESTS a row
     asked = texts.join(wanted.hint("shuffle_hash"), "id").select("id", "text", "asked")
-    segments = asked.mapInArrow(_cut(n, held, shards), "shard int, fragment int, home long, home_set long, salt long, doc long, doc_set long, segment binary")
+    segments = asked.mapInArrow(frugal(_cut(n, held, shards)), "shard int, fragment int, home long, home_set long, salt long, doc long, doc_set long, segment binary")
     partial = segments.groupBy("shard", "fragment").applyInArrow(_overlap, "home long, home_set long, doc long, doc_set long, overlap long")
     total = partial.groupBy(F.col("home").alias("a"), F.col("home_set").alias("a_set"), F.col("doc").alias("b"), F.col("doc_set").alias("b_set")).agg(F.sum("overlap").alias("both"))
     judged = total.join(pairs, ["a", "a_set", "b", "b_set"]).where(F.col("both") * (up + down) >= (F.col("a_n") + F.col("b_n")) * up)
@@ -371,7 +371,7 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     rows = docs.select(whole_number_id(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     texts = rows.where("id IS NOT NULL AND text IS NOT NULL")
 
-    scanned = checkpointed(rows.mapInArrow(_scan(n, bits), "id long, n long, hi long, lo long, slice int, part int, counts binary, bits array<long>"))
+    scanned = checkpointed(rows.mapInArrow(frugal(_scan(n, bits)), "id long, n long, hi long, lo long, slice int, part int, counts binary, bits array<long>"))
     sets = scanned.where("slice IS NULL").select("id", "n", "hi", "lo")
     parts = scanned.where("slice IS NOT NULL").groupBy("slice", "part").applyInArrow(_sum_parts, "slice int, counts binary")
     summed = parts.groupBy("slice").applyInArrow(_sum_counts, "slice int, ranks binary, weights binary").orderBy("slice").collect()
@@ -379,8 +379,8 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     weights = sum((np.frombuffer(r.weights, np.int64) for r in summed), np.zeros(256, np.int64))
     held = sc.broadcast(Order(ranks, weights, fragments))
 
-    postings = texts.mapInArrow(_prefixes(n, held, shards, up, down), _POSTINGS)
-    found = checkpointed(postings.groupBy("shard").applyInArrow(_pair(up, down), "kind int, a long, a_set long, a_n long, b long, b_set long, b_n long, token long"))
+    postings = texts.mapInArrow(frugal(_prefixes(n, held, shards, up, down)), _POSTINGS)
+    found = checkpointed(postings.groupBy("shard").applyInArrow(frugal(_pair(up, down)), "kind int, a long, a_set long, a_n long, b long, b_set long, b_n long, token long"))
     forget_shuffles(docs.sparkSession)  # of the postings, which are paired and written
     pair_columns = ["a", "a_set", "a_n", "b", "b_set", "b_n"]
     usable = sets.where("n > 0 AND id IS NOT NULL")
@@ -398,7 +398,7 @@ def near_duplicate_components(docs: DataFrame, *, id_col: str = "doc_id", text_c
     members = found.where("kind = 1").join(joined, F.col("a") == F.col("node"), "left").withColumn("component", F.coalesce("component", "a"))
     members = members.select("token", "a", "a_set", "a_n", "b", "component")
     cells = _cells(members, shards).repartition(shards, "shard")
-    rest = cells.groupBy("shard").applyInArrow(_cross(up, down), ", ".join(f"{c} long" for c in pair_columns)).distinct()
+    rest = cells.groupBy("shard").applyInArrow(frugal(_cross(up, down)), ", ".join(f"{c} long" for c in pair_columns)).distinct()
     rest = checkpointed(rest.join(pairs.select("a", "a_set", "b", "b_set").union(pairs.select("b", "b_set", "a", "a_set")), ["a", "a_set", "b", "b_set"], "left_anti").select(*pair_columns))
     rest = checkpointed(_plausible(rest, signatures, up, down))
     if not rest.isEmpty():

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, text_bytes, whole_number_id
+from .common import bucket_count, frugal, text_bytes, whole_number_id
 from .suffix_automaton import SuffixAutomaton
 from .wordhash import PLAIN, U64, Words, ngram_hashes, tokenised, winnow
 
@@ -303,12 +303,12 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # as many tasks as there are buckets: what a task reads does not grow with the table
     dealt = lambda df, key: df.repartition(buckets, key).groupBy(key)
     by_bucket = dealt(slim, "bucket")
-    anchors = by_bucket.applyInArrow(_anchors(buckets, span, k), _MESSAGE)
-    repeated = dealt(anchors, "bucket").applyInArrow(_count(hot), _MESSAGE)
-    pieces = by_bucket.cogroup(dealt(repeated, "bucket")).applyInArrow(_send(buckets, span, k), _PIECES)
-    verdicts = dealt(pieces, "shard").applyInArrow(_judge(span), _MESSAGE)
+    anchors = by_bucket.applyInArrow(frugal(_anchors(buckets, span, k)), _MESSAGE)
+    repeated = dealt(anchors, "bucket").applyInArrow(frugal(_count(hot)), _MESSAGE)
+    pieces = by_bucket.cogroup(dealt(repeated, "bucket")).applyInArrow(frugal(_send(buckets, span, k)), _PIECES)
+    verdicts = dealt(pieces, "shard").applyInArrow(frugal(_judge(span)), _MESSAGE)
     types = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
-    out = by_bucket.cogroup(dealt(repeated.unionByName(verdicts), "bucket")).applyInArrow(_remove(span, k, carry), f"{types}{', ' if carry else ''}n_words long, n_removed long, kept_text string")
+    out = by_bucket.cogroup(dealt(repeated.unionByName(verdicts), "bucket")).applyInArrow(frugal(_remove(span, k, carry)), f"{types}{', ' if carry else ''}n_words long, n_removed long, kept_text string")
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)), "n_words", "n_removed", "kept_text")
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, crc32_of_id
+from .common import checkpointed, crc32_of_id, frugal
 from .wordhash import PLAIN_LOWER, U64, tokenised
 
 ORDERS, BITS, SAMPLE_ROWS, N_FEATURES = (3, 4, 5, 6), 20, 20_000, None
@@ -97,7 +97,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, n_features: int | None = N_FEATURES, alpha: float = 1.0, tasks: int = 8) -> Model:
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, learn_from, sample_rows).repartition(tasks).persist()
     try:
-        parts = sample.mapInArrow(_count_presences, "n0 long, n1 long, counts binary").collect()
+        parts = sample.mapInArrow(frugal(_count_presences), "n0 long, n1 long, counts binary").collect()
         n = np.array([[p.n0, p.n1] for p in parts]).reshape(-1, 2).sum(axis=0)
         prior = float(np.log((n[1] + alpha) / (n[0] + alpha)))
         nothing = Model(np.zeros(1 << BITS, np.int32), np.zeros(1), prior)
@@ -118,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
         slot[kept] = np.arange(1, len(kept) + 1)
         held = docs.sparkSession.sparkContext.broadcast(slot)
 
-        table = checkpointed(sample.mapInArrow(_presences(held), "label binary, sizes binary, features binary"))
+        table = checkpointed(sample.mapInArrow(frugal(_presences(held)), "label binary, sizes binary, features binary"))
     finally:
         sample.unpersist()
     weights, intercept = _logistic(table, ratio[kept].astype(np.float64), prior, int(n.sum()))
@@ -213,7 +213,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_pydict({"id": batch.column(0), "score": held.value.scores(batch.column(1))})
 
     df = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return df.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, score double").withColumnRenamed("id", id_col)
+    return df.mapInArrow(frugal(run), f"id {docs.schema[id_col].dataType.simpleString()}, score double").withColumnRenamed("id", id_col)
 
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -225,7 +225,7 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", thresho
             if len(batch):
                 yield batch.filter(pa.array(held.value.scores(batch.column(batch.schema.get_field_index(text_col))) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
