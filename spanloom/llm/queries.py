@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html_extract, language_id, lm_scoring, toxicity
+from .byte_dedup import dedup_bytes
 from .chat import format_chats, loss_text, parsed_turns
-from .common import read
+from .common import crc32_of_id, read
 from .decontaminate import contamination, is_contaminated
 from .mixing import mix
 from .ngram_jaccard import near_duplicate_components
+from .periodic_runs import periodic_runs
+from .spelling import count_words, group_variants, misspelt
 from .substring_dedup import dedup_substrings
 from .topk import self_search
 
@@ -70,6 +73,35 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return self_search(read(spark, sf_dir, "embeddings"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_bytes(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over the words of documents, a code point of every 199th pair of document and word deleted."""
+    return group_variants(count_words(read(spark, sf_dir, "documents"), change=lambda word: misspelt("doc_id", word)))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """docs, of which every tenth (by the crc32 of its id) repeats a part of itself to its end; words stay apart."""
+    h = crc32_of_id("doc_id")
+    g, n = F.floor(h / 10).cast("long"), F.size("w").cast("long")
+    words = docs.withColumn("w", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    words = words.withColumn("a", F.when(n > 0, g % n)).withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("long"))
+    tail = F.transform("w", lambda word, i: F.when(i < F.col("a"), word).otherwise(F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return words.withColumn("text", F.when(F.size("w") > 0, F.array_join(tail, " ")).otherwise(F.col("text"))).drop("w", "a", "p")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periodic_tails(read(spark, sf_dir, "documents")))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    found = found.withColumn("best", best).withColumn("length", -F.col("best.less"))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "length", "best.period", F.floor(1000 * F.col("length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
@@ -81,12 +113,21 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_chat_format": op9_chat_format,
     "op10_topk_search": op10_topk_search,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM_WORDS = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _PLAIN_WORDS = r"coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])"
 
+#: crc32 for DuckDB: the table of a byte's remainders, and the fold over a list of bytes.
+_CRC_TABLE = """crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+  lambda c, z: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))"""
+_CRC = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {}), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)"
+_ID_BYTES = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))"
+
 ORACLE_SQL = {
     "op2_decontaminate": f"""
 WITH d AS (SELECT doc_id, coalesce({_ALNUM_WORDS}, []) AS w FROM documents),
@@ -156,4 +197,51 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS
       FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+part AS (SELECT doc_id, c, substr(x, 1024 * c + 1, 1122) AS x FROM (SELECT doc_id, x, unnest(range(0, CAST(ceil(length(x) / 1024) AS BIGINT))) AS c FROM d)),
+g AS (SELECT doc_id, 512 * c + s AS s, md5(substr(x, 2 * s + 1, 100)) AS h
+      FROM (SELECT doc_id, c, x, unnest(range(0, least(512, CAST(length(x) / 2 - 49 AS BIGINT)))) AS s FROM part WHERE length(x) >= 100)),
+f AS (SELECT h, min(doc_id) AS first_doc FROM g GROUP BY h HAVING min(doc_id) <> max(doc_id)),
+r AS (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM g JOIN f USING (h) WHERE doc_id > first_doc),
+i AS (SELECT doc_id, s, sum(CASE WHEN before IS NULL OR s > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM r),
+gone AS (SELECT doc_id, min(s) AS a, max(s) + 50 AS b FROM i GROUP BY doc_id, run),
+cut AS (SELECT doc_id, a, b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS next_a, row_number() OVER (PARTITION BY doc_id ORDER BY a) AS k FROM gone),
+kept AS (SELECT d.doc_id, string_agg(CASE WHEN k = 1 THEN substr(x, 1, 2 * a) ELSE '' END || substr(x, 2 * b + 1, coalesce(2 * next_a, length(x)) - 2 * b), '' ORDER BY a) AS y,
+  sum(b - a) AS n_removed, count(*) AS n_spans FROM cut JOIN d USING (doc_id) GROUP BY d.doc_id)
+SELECT d.doc_id, CAST(length(x) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(y, x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE {_CRC_TABLE},
+run AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[a-zÀ-ÿ]+')) AS w FROM documents),
+dw AS (SELECT doc_id, w, count(*) AS c FROM run WHERE length(w) >= 6 GROUP BY doc_id, w),
+dh AS (SELECT w, c, {_CRC.format("flatten([" + _ID_BYTES + ", [58], flatten(list_transform(string_split(w, ''), lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] ELSE [195, CAST(ord(x) AS BIGINT) - 64] END))])")} AS h FROM dw, crc),
+v AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM dh),
+vocab AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM v WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+del AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM vocab)),
+near AS (SELECT a.word, b.word AS other, b.n FROM del a JOIN vocab b ON a.d = b.word UNION SELECT b.word, a.word, a.n FROM del a JOIN vocab b ON a.d = b.word
+  UNION SELECT a.word, b.word, b.n FROM del a JOIN del b ON a.i = b.i AND a.d = b.d AND a.word <> b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, struct_pack(a := -n, b := other)) AS other, max(n) AS other_n FROM near GROUP BY word),
+judged AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form, CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n FROM vocab v LEFT JOIN best b ON b.word = v.word),
+chain AS (SELECT word, word AS at FROM judged UNION ALL SELECT c.word, j.form FROM chain c JOIN judged j ON j.word = c.at WHERE j.form IS NOT NULL),
+root AS (SELECT c.word, c.at AS root FROM chain c JOIN judged j ON j.word = c.at WHERE j.form IS NULL)
+SELECT j.word, j.form, r.root, j.n, j.n_near, j.form_n FROM judged j JOIN root r ON r.word = j.word""",
+    "op13_periodic_runs": f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, {_CRC.format(_ID_BYTES)} AS h, {_PLAIN_WORDS} AS w FROM documents, crc),
+p AS (SELECT doc_id, w, h, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+t AS (SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(w, lambda x, i: CASE WHEN i - 1 < a THEN x ELSE w[a + (i - 1 - a) % (1 + (len(w) - a) // (3 + (h // 10) % 8)) + 1] END) END AS w FROM p),
+g AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i + 1, i + 6), ' ')) AS x FROM (SELECT doc_id, w, unnest(range(0, len(w) - 5)) AS i FROM t WHERE len(w) >= 12)),
+m AS (SELECT a.doc_id, a.i - b.i AS q, a.i FROM g a JOIN g b ON a.doc_id = b.doc_id AND a.x = b.x AND a.i > b.i),
+s AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS diagonal FROM m),
+l AS (SELECT doc_id, q, min(i) - q AS start, count(*) + 5 + q AS length FROM s GROUP BY doc_id, q, diagonal HAVING count(*) + 5 >= greatest(12 - q, q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM l GROUP BY doc_id, start, length),
+n AS (SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(s := start, l := length, p := period), struct_pack(a := -length, b := start, c := period)) AS best,
+  string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM t),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM (SELECT words.* FROM words ANTI JOIN gone USING (doc_id, i)) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, CAST(1000 * best.l // best.p AS BIGINT) AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
