@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import running
+from .shared import checkpointed
+
 ENTITY = "struct<id:string,type:string,text:array<string>,offsets:array<array<int>>,normalized:array<struct<db_name:string,db_id:string>>>"
 CORPUS_ROW = f"document_id string, passages array<struct<type:string,text:array<string>,offsets:array<array<int>>>>, entities array<{ENTITY}>, relations array<struct<type:string,arg1_id:string,arg2_id:string>>"
 IOB_ROW = "id string, tokens array<string>, ner_tags array<int>"
@@ -125,6 +128,20 @@ def iob_mentions(rows: DataFrame) -> DataFrame:
     return m.select("id", "ordinal", F.array_join(F.transform(parts, lambda p: F.substr(p, F.lit(2))), " ").alias("mention"), F.size(parts).alias("n_tokens"))
 
 
+def iob_token_mentions(tokens: DataFrame) -> DataFrame:
+    """iob_mentions of a long table: id, position, token, ner_tag, one row per token, for sequences that are no row.
+
+    The tag before a token and the number of mentions opened so far come from two-level scans, so a sequence of
+    any length is many tasks; only a mention's own tokens meet."""
+    letter = F.substring(tag_name(F.col("ner_tag")), 1, 1)
+    rows = running(tokens.withColumn("_tag", letter), ["id"], ["position"], {"_before": ("last", "_tag", False)})
+    opens = (F.col("_tag") == "B") | ((F.col("_tag") == "I") & ~F.coalesce(F.col("_before").isin("B", "I"), F.lit(False)))
+    rows = checkpointed(rows.select("id", "position", "token", "_tag", opens.cast("int").alias("_opens")))
+    rows = running(rows, ["id"], ["position"], {"_mention": ("sum", "_opens", True)}).where(F.col("_tag").isin("B", "I"))
+    found = rows.groupBy("id", (F.col("_mention") - 1).cast("int").alias("ordinal")).agg(F.array_sort(F.collect_list(F.struct("position", "token"))).alias("_t"))
+    return found.select("id", "ordinal", F.array_join(F.transform("_t", lambda t: t["token"]), " ").alias("mention"), F.size("_t").alias("n_tokens"))
+
+
 def mentions_per_sentence(rows: DataFrame, mentions: DataFrame) -> DataFrame:
     """describe of mentions per sentence, those without any included."""
     counts = mentions.groupBy("id").agg(F.count("*").alias("k"))

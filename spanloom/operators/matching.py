@@ -5,9 +5,15 @@ predictions: document_id, source, ordinal, start, end, ...; gold: document_id, o
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import running
+from .shared import checkpointed
+
 #: Width of the position buckets of the overlap join.
 BUCKET = 512
 
@@ -42,34 +48,99 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int
     return both.where(F.floor(F.greatest("start", "start_r") / width) == F.col("_bucket")).drop("_bucket")
 
 
-def _greedy(predictions: DataFrame, gold: DataFrame, best: bool, done: DataFrame | None = None) -> DataFrame:
+_EDGES = "document_id string, source string, block long, kind int, i int, j int, rank long, other long"
+#: Kinds of rows of the matching rounds: an open edge, a gold span's holder, a proposal, a refusal.
+EDGE, HELD, ASKED, REFUSED = range(4)
+#: Positions of a block, in which one round is settled.
+BLOCK = 1 << 19
+#: Rows of a task of one round.
+TASK_ROWS = 500_000
+
+
+def _settle(first: bool):
+    return lambda table: _settled(table, first)
+
+
+def _settled(table: pa.Table, first: bool) -> pa.Table:
+    """One round of some blocks: their predictions ask (all in the first round, then the refused ones), their gold
+    spans answer, until nothing moves inside.
+
+    Edges live in the block of their prediction (other: the block of the gold span), holders in the block of
+    their gold span (other: the block of the prediction).  What concerns another block goes out as a message."""
+    names = [x.split()[0] for x in _EDGES.split(", ")]
+    table = table.sort_by([(c, "ascending") for c in ("document_id", "source", "block", "kind", "i", "rank", "j")])
+    columns = [table[c].to_pylist() for c in names]
+    wishes, held, waiting, out = {}, {}, [], []
+    for document, source, block, kind, i, j, rank, other in zip(*columns, strict=True):
+        place = (document, source, block)
+        if kind == EDGE:
+            wishes.setdefault((place, i), []).append((rank, j, other))
+        elif kind == HELD:
+            held[place, j] = (i, other)
+        elif kind == ASKED:
+            waiting.append((place, i, j, other))
+        else:  # a gold span of another block took an earlier prediction
+            wishes[place, i] = [w for w in wishes[place, i] if w[1] != j]
+            waiting.append((place, i, None, block))
+    queue = [*wishes] if first else [(place, i) for place, i, j, _ in waiting if j is None]
+    proposals = [(place, i, j, home) for place, i, j, home in waiting if j is not None]
+    while queue or proposals:
+        if proposals:
+            place, i, j, home = proposals.pop()
+            before = held.get((place, j))
+            if before is not None and before[0] <= i:
+                loser = (i, home) if before[0] < i else None
+            else:
+                held[place, j], loser = (i, home), before
+            if loser is None:
+                continue
+            i, home = loser
+            if home != place[2]:
+                out.append((*place[:2], home, REFUSED, i, j, 0, place[2]))
+                continue
+            wishes[place, i] = [w for w in wishes[place, i] if w[1] != j]
+        else:
+            place, i = queue.pop()
+        if open_ := wishes.get((place, i)):
+            _, j, other = open_[0]
+            if other == place[2]:
+                proposals.append((place, i, j, other))
+            else:
+                out.append((*place[:2], other, ASKED, i, j, 0, place[2]))
+    out += [(*place, EDGE, i, j, rank, other) for (place, i), ws in wishes.items() for rank, j, other in ws]
+    out += [(*place, HELD, i, j, 0, home) for (place, j), (i, home) in held.items()]
+    types = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
+    schema = pa.schema([(n, types[x.split()[1]]) for n, x in zip(names, _EDGES.split(", "), strict=True)])
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * len(names), schema.types, strict=True)], schema=schema)
+
+
+def _greedy(predictions: DataFrame, gold: DataFrame, best: bool, done: DataFrame | None = None, block: int = BLOCK, task_rows: int = TASK_ROWS) -> DataFrame:
     """Order-dependent one-to-one matching: predictions in order take one free gold span that they overlap, the
     lowest j, or with best the longest overlap (then the lowest j); pairs in done are taken already.
 
-    Overlaps come from the bucketed join.  A document falls into islands where no later prediction can reach a
-    gold span that an earlier one could; only within an island does the order matter, and there one fold over
-    its predictions picks the pairs."""
+    The pairs are those of deferred acceptance: every prediction asks for its best gold span, a gold span keeps
+    the earliest prediction that asked, and refused ones ask for their next.  As all gold spans prefer earlier
+    predictions, there is one stable outcome, the serial one, in whatever order they ask.  So blocks of
+    positions settle their own requests in one round, however many there are, and only requests across a
+    border travel to the next round.  Documents without such requests are final; nothing holds a document."""
     doc = ["document_id", "source"]
     hits = overlap_join(predictions.select(*doc, "i", "start", "end"), gold.select("document_id", "j", "start", "end"), ["document_id"])
     if done is not None:
         hits = hits.join(done.select(*doc, "i"), [*doc, "i"], "left_anti").join(done.select(*doc, "j"), [*doc, "j"], "left_anti")
     overlap = F.least("end", "end_r") - F.greatest("start", "start_r")
-    wish = F.struct((-overlap if best else F.lit(0)).alias("rank"), "j")
-    asks = hits.groupBy(*doc, "i").agg(F.min("j").alias("low"), F.max("j").alias("high"), F.transform(F.array_sort(F.collect_list(wish)), lambda x: x["j"]).alias("wishes"))
-    earlier = Window.partitionBy(*doc).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*doc).orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    asks = asks.withColumn("_later", F.min("low").over(later)).withColumn("_before", F.max("high").over(earlier))
-    fresh = (F.col("_before").isNull() | (F.col("_later") > F.col("_before"))).cast("int")
-    asks = asks.withColumn("_island", F.sum(fresh).over(Window.partitionBy(*doc).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
-    islands = asks.groupBy(*doc, "_island").agg(F.array_sort(F.collect_list(F.struct("i", "wishes"))).alias("asks"))
-
-    def take(state, ask):
-        pick = F.get(F.filter(ask["wishes"], lambda j: ~F.array_contains(state["used"], j)), F.lit(0))
-        taken = F.struct(F.array_append(state["used"], pick).alias("used"), F.array_append(state["pairs"], F.struct(ask["i"].alias("i"), pick.alias("j"))).alias("pairs"))
-        return F.when(pick.isNull(), state).otherwise(taken)
-
-    nothing = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<struct<i:int,j:int>>").alias("pairs"))
-    return islands.select(*doc, F.inline(F.aggregate("asks", nothing, take, lambda state: state["pairs"])))
+    at = lambda c: F.floor(F.col(c) / block).cast("long")
+    rows = hits.select(*doc, at("start").alias("block"), F.lit(EDGE).alias("kind"), F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j"), (-overlap if best else F.lit(0)).cast("long").alias("rank"), at("start_r").alias("other"))
+    rows, final = checkpointed(rows), []
+    while True:
+        tasks = max(8, -(-rows.count() // task_rows))
+        task = F.pmod(F.xxhash64(*doc, "block"), F.lit(tasks))
+        settled = checkpointed(rows.withColumn("_task", task).repartition(tasks, "_task").groupBy("_task").applyInArrow(_settle(not final), _EDGES))
+        touched = settled.where(F.col("kind") >= ASKED).select(*doc).distinct()
+        pairs = settled.where(F.col("kind") == HELD)
+        if touched.isEmpty():
+            return reduce(DataFrame.unionByName, [*final, pairs]).select(*doc, "i", "j")
+        final.append(pairs.join(touched, doc, "left_anti"))
+        rows = settled.join(touched, doc, "left_semi")
 
 
 def lenient_match(predictions: DataFrame, gold: DataFrame) -> DataFrame:
@@ -87,16 +158,15 @@ def nearest_span(probes: DataFrame, candidates: DataFrame, keys: list[str], ordi
     """probes + nearest_ordinal, nearest_distance: the candidate span of the same keys at the least
     distance (0 if they touch or overlap), the first in order of ties; null without candidates.
 
-    Candidates that start before the probe's start and those that start after it are looked up by two
-    ordered passes over the union of both, so nothing is paired with everything."""
+    Candidates that start before the probe's start and those that start after it are looked up by one
+    two-level scan in either direction over the union of both, so nothing is paired with everything and a document
+    of many spans is many tasks."""
     c = candidates.select(*keys, F.col("start").alias("s"), F.col("end").alias("e"), F.col(ordinal).alias("o"))
     p = probes.select(*keys, "start", "end").distinct()
-    events = c.select(*keys, F.col("s").alias("at"), F.lit(0).alias("kind"), "s", "e", "o", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end")).unionByName(
-        p.select(*keys, F.col("start").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("int").alias("s"), F.lit(None).cast("int").alias("e"), F.lit(None).cast("int").alias("o"), "start", "end")
-    )
-    before = Window.partitionBy(*keys).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(*keys).orderBy(F.col("at").desc(), F.col("kind")).rowsBetween(Window.unboundedPreceding, 0)
-    marked = events.withColumns({"reach": F.max("e").over(before), "next": F.min("s").over(after)}).where("kind = 1")
+    none = lambda name: F.lit(None).cast("int").alias(name)
+    events = c.select(*keys, F.col("s").alias("at"), F.lit(0).alias("kind"), "s", "e", none("start"), none("end"))
+    events = events.unionByName(p.select(*keys, F.col("start").alias("at"), F.lit(1).alias("kind"), none("s"), none("e"), "start", "end"))
+    marked = running(events, keys, ["at", "kind"], {"reach": ("max", "e", True), "next": ("min", "s", True, True)}, back=[-F.col("at"), F.col("kind")]).where("kind = 1")
     back, ahead = (F.when(x.isNotNull(), F.greatest(x, F.lit(0))) for x in (F.col("start") - F.col("reach"), F.col("next") - F.col("end")))
     known = marked.select(*keys, "start", "end", F.least(back, ahead).alias("nearest_distance"))  # least skips nulls
     # spans within that distance of the probe, end to end, are the nearest ones: an overlap join finds them

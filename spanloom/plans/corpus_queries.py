@@ -69,6 +69,13 @@ def w01_iob_mentions(spark, d):
     return C.iob_mentions(X.iob_rows(spark, d))
 
 
+def w01_iob_token_mentions(spark, d):
+    """The same mentions from one row per token."""
+    tag = F.when(F.col("h") % 6 == 0, 1).when(F.col("h") % 6 == 1, 2).otherwise(0)
+    tokens = X.spans(spark, d).select(F.col("document_id").alias("id"), F.col("pos").alias("position"), "token", tag.alias("ner_tag"))
+    return C.iob_token_mentions(tokens)
+
+
 def a23_tag_counts(spark, d):
     return C.tag_counts(X.iob_rows(spark, d))
 
@@ -87,7 +94,7 @@ def w03_top_iob_mentions(spark, d):
     return C.top_mentions(m, 10)
 
 
-QUERIES = {f.__name__: f for f in (a17_entities_table, a18_corpus_counts, a18_mentions_by_type, a19_entities_per_document, a20_span_length_stats, a21_normalization_coverage, a21_ids_per_database, j08_relations_with_entities, a22_relation_stats, a22_relations_by_type, w03_top_mentions, w04_top_relation_pairs, w01_iob_mentions, a23_tag_counts, a24_mentions_per_sentence, a25_mention_token_length, w03_top_iob_mentions)}
+QUERIES = {f.__name__: f for f in (a17_entities_table, a18_corpus_counts, a18_mentions_by_type, a19_entities_per_document, a20_span_length_stats, a21_normalization_coverage, a21_ids_per_database, j08_relations_with_entities, a22_relation_stats, a22_relations_by_type, w03_top_mentions, w04_top_relation_pairs, w01_iob_mentions, w01_iob_token_mentions, a23_tag_counts, a24_mentions_per_sentence, a25_mention_token_length, w03_top_iob_mentions)}
 
 _E = "WITH " + X.SQL_GOLD + """,
 e AS (SELECT document_id, doc_id, ordinal, 'T' || ordinal AS id, CASE WHEN entity_type = 'gene' THEN 'Chemical' ELSE 'Disease' END AS type, span_text AS text, ids FROM goldt),
@@ -120,6 +127,7 @@ ORACLE_SQL = {
     "w03_top_mentions": _E + ", c AS (SELECT type, lower(text) AS text, count(*) AS mentions FROM e GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY type ORDER BY mentions DESC, text) AS INTEGER) AS rank FROM c QUALIFY rank <= 5",
     "w04_top_relation_pairs": _E + " SELECT lower(chemical) || ' -> ' || lower(disease) AS pair, count(*) AS relations FROM rel GROUP BY ALL ORDER BY relations DESC, pair LIMIT 10",
     "w01_iob_mentions": _I + " SELECT * FROM mention",
+    "w01_iob_token_mentions": _I + " SELECT * FROM mention",
     "a23_tag_counts": _I + " SELECT CASE t WHEN 'B' THEN 'B-GENE' WHEN 'I' THEN 'I-GENE' ELSE 'O' END AS tag, count(*) AS tokens FROM tg GROUP BY ALL",
     "a24_mentions_per_sentence": _I + ", c AS (SELECT id, count(mention.mention) AS x FROM (SELECT DISTINCT id FROM tg) LEFT JOIN mention USING (id) GROUP BY id) " + _describe("x", "c"),
     "a25_mention_token_length": _I + " " + _describe("n_tokens", "mention"),

@@ -127,18 +127,21 @@ def sql_entity_type(column: str) -> str:
 SQL_DOCUMENTS = """dd AS (SELECT doc_id, 'DOC:' || doc_id AS document_id, CAST(doc_id AS VARCHAR) AS pmid, source, lang,
   CASE WHEN contains(text, chr(10)) THEN trim(split_part(text, chr(10), 1)) ELSE '' END AS title,
   CASE WHEN contains(text, chr(10)) THEN trim(substr(text, strpos(text, chr(10)) + 1)) ELSE trim(text) END AS abstract FROM documents),
-docs AS (SELECT *, concat_ws(chr(10) || chr(10), nullif(trim(title, chr(10) || chr(9) || ' '), ''), nullif(trim(abstract, chr(10) || chr(9) || ' '), '')) AS text FROM dd)"""
+docs AS MATERIALIZED (SELECT *, concat_ws(chr(10) || chr(10), nullif(trim(title, chr(10) || chr(9) || ' '), ''), nullif(trim(abstract, chr(10) || chr(9) || ' '), '')) AS text FROM dd)"""
 SQL_SPANS = SQL_DOCUMENTS + """,
 pieces AS (SELECT doc_id, document_id, unnest(string_split_regex(text, '[ \\n]')) AS token, generate_subscripts(string_split_regex(text, '[ \\n]'), 1) - 1 AS pos FROM docs),
 offs AS (SELECT *, CAST(coalesce(sum(length(token) + 1) OVER w, 0) AS INTEGER) AS start_, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS follows
   FROM pieces WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 sp AS (SELECT doc_id, document_id, pos, token, start_, start_ + length(token) AS end_, CASE WHEN follows <> '' THEN start_ + length(token) + 1 + length(follows) END AS end2, (doc_id * 7919 + pos * 10473) % 97 AS h
   FROM offs WHERE length(token) >= 2 AND token NOT LIKE '%.%')"""
+#: Texts in parts that begin every 256 characters and hold any span that begins there: cutting a span out of a whole
+#: text costs its position.
 SQL_GOLD = SQL_SPANS + """,
+parts AS MATERIALIZED (SELECT doc_id, c, substr(text, 256 * c + 1, (SELECT 320 + 2 * coalesce(max(length(token)), 0) FROM sp)) AS part FROM (SELECT doc_id, text, unnest(range(0, length(text) // 256 + 1)) AS c FROM docs)),
 gold AS (SELECT sp.doc_id, sp.document_id, row_number() OVER (PARTITION BY sp.doc_id ORDER BY pos) AS ordinal, start_, CASE WHEN h % 10 = 0 THEN coalesce(end2, end_) ELSE end_ END AS end_,
   CASE WHEN h % 4 = 3 THEN 'gene' ELSE 'disease' END AS entity_type, CASE WHEN h % 11 = 0 THEN [] WHEN h % 3 = 0 THEN ['MESH:D' || h, 'OMIM:' || h] ELSE ['MESH:D' || h] END AS ids, h, pos
   FROM sp WHERE h % 5 = 0),
-goldt AS (SELECT gold.*, substr(docs.text, start_ + 1, end_ - start_) AS span_text FROM gold JOIN docs USING (doc_id))"""
+goldt AS (SELECT gold.*, substr(part, start_ % 256 + 1, end_ - start_) AS span_text FROM gold JOIN parts ON parts.doc_id = gold.doc_id AND c = start_ // 256)"""
 SQL_PREDICTIONS = SQL_GOLD + f""",
 cand AS (
   SELECT doc_id, pos, start_, 'a1' AS source, 0 AS sub, end_ AS e, 'Disease' AS label, 'mesh:D' || h AS cid, h / 97.0 AS conf FROM sp WHERE h % 5 = 0 AND h % 7 <> 0
@@ -148,6 +151,6 @@ cand AS (
   UNION ALL SELECT doc_id, pos, start_, 'a4', 1, end_, 'disease', 'OMIM:' || h, 0.5 FROM sp WHERE h % 15 = 0
   UNION ALL SELECT doc_id, pos, start_, 'a5', c, end_, 'DISEASE_DISORDER', CASE WHEN c = 0 THEN 'MESH:D' || h END, NULL FROM sp, (VALUES (0), (1)) AS copies(c) WHERE h % 25 = 0 AND h % 7 <> 0),
 raw AS (SELECT cand.*, docs.document_id, row_number() OVER (PARTITION BY cand.doc_id, cand.source ORDER BY pos, sub) AS ordinal, CAST(substr(cand.source, 2) AS INTEGER) - 1 AS source_rank,
-  substr(docs.text, start_ + 1, e - start_) AS raw_text, {sql_entity_type('label')} AS entity_type FROM cand JOIN docs USING (doc_id)),
+  substr(part, start_ % 256 + 1, e - start_) AS raw_text, {sql_entity_type('label')} AS entity_type FROM cand JOIN docs USING (doc_id) JOIN parts ON parts.doc_id = cand.doc_id AND c = start_ // 256),
 ann AS (SELECT document_id, doc_id, source, source_rank, ordinal, start_, e AS end_, entity_type, cid AS canonical_id, CAST(conf AS DOUBLE) AS confidence, trim(raw_text, chr(10) || ' ' || chr(9)) AS span_text,
   source || ':' || substr(sha1(concat_ws('|', source, document_id, entity_type, start_, e, trim(raw_text, chr(10) || ' ' || chr(9)))), 1, 12) AS annotation_id FROM raw)"""

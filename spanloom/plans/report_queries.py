@@ -272,7 +272,7 @@ SELECT DISTINCT u.user_id, coalesce(c.choices, '') AS choices FROM u LEFT JOIN (
     "u02_distinct_ordered": _D + r""", t AS (SELECT document_id, unnest(string_split_regex(text, '[ \n]')) AS token, generate_subscripts(string_split_regex(text, '[ \n]'), 1) AS pos FROM docs),
 o AS (SELECT document_id, lower(token) AS token, min(pos) AS pos FROM t WHERE trim(token, ' ' || chr(9) || chr(10) || chr(13)) <> '' GROUP BY ALL), g AS (SELECT document_id, md5(string_agg(token, ' ' ORDER BY pos)) AS tokens_md5, count(*) AS n FROM o GROUP BY ALL)
 SELECT docs.document_id, coalesce(tokens_md5, md5('')) AS tokens_md5, CAST(coalesce(n, 0) AS INTEGER) AS n FROM docs LEFT JOIN g USING (document_id)""",
-    "w02_non_overlapping_spans": _A + """, k AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY start_, CASE source WHEN 'a3' THEN 0 WHEN 'a1' THEN 1 WHEN 'a2' THEN 2 ELSE 99 END, start_ - end_, source_rank, ordinal, annotation_id) AS o FROM ann WHERE end_ > start_),
+    "w02_non_overlapping_spans": _A + """, k AS MATERIALIZED (SELECT document_id, annotation_id, source, start_, end_, row_number() OVER (PARTITION BY document_id ORDER BY start_, CASE source WHEN 'a3' THEN 0 WHEN 'a1' THEN 1 WHEN 'a2' THEN 2 ELSE 99 END, start_ - end_, source_rank, ordinal, annotation_id) AS o FROM ann WHERE end_ > start_),
 c AS (SELECT *, max(end_) OVER (PARTITION BY document_id ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM k),
 n AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY o) AS chain FROM c),
 f AS (SELECT document_id, list_reduce(list_prepend([CAST(-1 AS BIGINT)], list([CAST(start_ AS BIGINT), end_, o] ORDER BY o)), lambda a, x: CASE WHEN x[1] >= a[1] THEN list_append(list_prepend(x[2], a[2:]), x[3]) ELSE a END) AS kept FROM n GROUP BY document_id, chain),

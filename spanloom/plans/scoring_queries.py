@@ -103,7 +103,7 @@ def _matched(spark, d):
 
 def a12_boundary_errors(spark, d):
     p, g, _, boundary = _matched(spark, d)
-    return S.boundary_errors(p, g, boundary)
+    return S.boundary_errors(p, g, boundary).select("document_id", "source", "i", "j", "prediction_text", "prediction_start", "prediction_end", "prediction_canonical_id", "gold_text", "gold_start", "gold_end", "gold_normalized_ids", "overlap_length")
 
 
 def a12_false_positives(spark, d):
@@ -136,16 +136,19 @@ QUERIES = {f.__name__: f for f in (p15_identifier_aliases, p15_gold_aliases, j01
 _ALIAS = """list_distinct(flatten(list_transform({0}, lambda x: list_distinct([replace(replace(replace(x, 'MSH:', 'MESH:'), 'OMIM:', 'MIM:'), 'MIM:', 'OMIM:'), string_split(x, ':')[2]]))))"""
 _VALUES = "CASE WHEN canonical_id IS NULL THEN [] WHEN canonical_id LIKE '[%]' THEN list_transform(string_split(substr(canonical_id, 2, length(canonical_id) - 2), ','), lambda x: upper(trim(x, ' '''))) ELSE [upper(canonical_id)] END"
 _P = "WITH " + X.SQL_PREDICTIONS + f""",
-p AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source ORDER BY ordinal) AS i, {_ALIAS.format(_VALUES)} AS pa FROM ann WHERE entity_type = 'disease'),
-g AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ordinal) AS j, {_ALIAS.format("ids")} AS ga FROM goldt WHERE entity_type = 'disease'),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id, source ORDER BY ordinal) AS i, {_ALIAS.format(_VALUES)} AS pa FROM ann WHERE entity_type = 'disease'),
+g AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ordinal) AS j, {_ALIAS.format("ids")} AS ga FROM goldt WHERE entity_type = 'disease'),
 pk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, start_, end_ ORDER BY i) AS k FROM p),
 gk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, start_, end_ ORDER BY j) AS k FROM g),
 strict AS (SELECT pk.document_id, pk.doc_id, pk.source, pk.i, gk.j, pk.pa, gk.ga, gk.ids FROM pk JOIN gk ON pk.doc_id = gk.doc_id AND pk.start_ = gk.start_ AND pk.end_ = gk.end_ AND pk.k = gk.k),
 outcome AS (SELECT document_id, source, i, j, CASE WHEN len(ga) = 0 THEN 'missing_gold_id' WHEN len(pa) = 0 THEN 'missing_prediction_id' WHEN list_has_any(pa, ga) THEN 'correct' ELSE 'incorrect' END AS outcome,
   len(list_filter(ids, lambda x: NOT list_has_any(pa, [x, string_split(x, ':')[2]]))) = 0 AS all_recovered FROM strict)"""
-_FOLD = """, {0}ask AS (SELECT doc_id, source, i, list(j ORDER BY {1}) AS c FROM {0}hit GROUP BY ALL),
-{0}fold AS (SELECT doc_id, source, list(i ORDER BY i) AS ps, list_reduce(list_prepend(CAST([] AS BIGINT[]), list(c ORDER BY i)), lambda a, c: list_append(a, coalesce(list_filter(c, lambda j: NOT list_contains(a, j))[1], 0))) AS js FROM {0}ask GROUP BY ALL),
-{0} AS (SELECT doc_id, 'DOC:' || doc_id AS document_id, source, i, j FROM (SELECT doc_id, source, unnest(ps) AS i, unnest(js) AS j FROM {0}fold) WHERE j > 0)"""
+# A document falls into islands where no later prediction can reach a gold span that an earlier one could; one fold each.
+_FOLD = """, {0}ask AS (SELECT doc_id, source, i, list(j ORDER BY {1}) AS c, min(j) AS low, max(j) AS high FROM {0}hit GROUP BY ALL),
+{0}far AS (SELECT *, min(low) OVER (PARTITION BY doc_id, source ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS later, max(high) OVER (PARTITION BY doc_id, source ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM {0}ask),
+{0}island AS (SELECT doc_id, source, i, c, sum(CASE WHEN before IS NULL OR later > before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, source ORDER BY i) AS island FROM {0}far),
+{0}fold AS (SELECT doc_id, source, list(i ORDER BY i) AS ps, list_reduce(list_prepend(CAST([] AS BIGINT[]), list(c ORDER BY i)), lambda a, c: list_append(a, coalesce(list_filter(c, lambda j: NOT list_contains(a, j))[1], 0))) AS js FROM {0}island GROUP BY doc_id, source, island),
+{0} AS MATERIALIZED (SELECT doc_id, 'DOC:' || doc_id AS document_id, source, i, j FROM (SELECT doc_id, source, unnest(ps) AS i, unnest(js) AS j FROM {0}fold) WHERE j > 0)"""
 _OVERLAPS = "SELECT p.doc_id, p.source, p.i, g.j, least(p.end_, g.end_) - greatest(p.start_, g.start_) AS len FROM p JOIN g ON p.doc_id = g.doc_id AND greatest(p.start_, g.start_) < least(p.end_, g.end_)"
 _LENIENT = _P + f", lenienthit AS ({_OVERLAPS})" + _FOLD.format("lenient", "j")
 _BOUNDARY = _P + f", boundaryhit AS (SELECT o.* FROM ({_OVERLAPS}) o ANTI JOIN strict s ON o.doc_id = s.doc_id AND o.source = s.source AND o.i = s.i ANTI JOIN strict t ON o.doc_id = t.doc_id AND o.source = t.source AND o.j = t.j)" + _FOLD.format("boundary", "-len, j")
@@ -189,12 +192,20 @@ def _flat_sql(mode: str) -> str:
     return f"SELECT m.source, prediction_count, gold_count, {columns} FROM m LEFT JOIN om ON om.source = m.source"
 
 
-def _nearest_sql(free: str, near: str, row: str, o: str, join: str) -> str:
-    """The rows of free with the nearest span of near, its text and place."""
-    return f""", d AS (SELECT f.doc_id, f.source, f.{row}, n.{o} AS o, CASE WHEN n.{o} IS NOT NULL THEN greatest(f.start_ - n.end_, n.start_ - f.end_, 0) END AS dist FROM {free} f LEFT JOIN {near} n ON f.doc_id = n.doc_id{join}),
-b AS (SELECT doc_id, source, {row}, CAST(arg_min(o, struct_pack(a := dist, b := o)) AS INTEGER) AS o, CAST(min(dist) AS INTEGER) AS dist FROM d GROUP BY ALL)
+def _nearest_sql(free: str, near: str, row: str, o: str, keys: str) -> str:
+    """The rows of free with the nearest span of near (same keys), its text and place.
+
+    The least distance comes from the last end before and the first start after, by two ordered passes; spans at
+    that distance touch the widened probe, and are looked up in position buckets."""
+    same = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys.split(", "))
+    return f""", ev AS (SELECT {keys}, start_ AS place, 0 AS kind, start_ AS s, end_ AS e, CAST(NULL AS BIGINT) AS fs, CAST(NULL AS BIGINT) AS fe FROM {near} UNION ALL SELECT DISTINCT {keys}, start_, 1, NULL, NULL, start_, end_ FROM {free}),
+mk AS (SELECT *, max(e) OVER (PARTITION BY {keys} ORDER BY place, kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reach, min(s) OVER (PARTITION BY {keys} ORDER BY place DESC, kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ahead FROM ev),
+ds AS (SELECT {keys}, fs, fe, least(CASE WHEN reach IS NOT NULL THEN greatest(fs - reach, 0) END, CASE WHEN ahead IS NOT NULL THEN greatest(ahead - fe, 0) END) AS dist FROM mk WHERE kind = 1),
+wide AS (SELECT *, unnest(range(greatest(fs - dist - 1, 0) // 64, (fe + dist + 1) // 64 + 1)) AS bucket FROM ds WHERE dist IS NOT NULL),
+spot AS (SELECT {keys}, {o} AS o, start_, end_, unnest(range(start_ // 64, end_ // 64 + 1)) AS bucket FROM {near}),
+b AS (SELECT {", ".join("wide." + k for k in keys.split(", "))}, fs, fe, CAST(min(o) AS INTEGER) AS o, CAST(min(dist) AS INTEGER) AS dist FROM wide JOIN spot n ON {same("wide", "n")} AND wide.bucket = n.bucket AND greatest(fs - n.end_, n.start_ - fe, 0) = dist GROUP BY ALL)
 SELECT f.document_id, f.source, f.{row}, f.span_text, f.start_ AS start, f.end_ AS "end", b.o AS nearest_ordinal, b.dist AS nearest_distance, n.span_text AS nearest_text, n.start_ AS nearest_start, n.end_ AS nearest_end
-FROM {free} f JOIN b ON f.doc_id = b.doc_id AND f.source = b.source AND f.{row} = b.{row} LEFT JOIN {near} n ON n.doc_id = f.doc_id AND n.{o} = b.o{join}"""
+FROM {free} f LEFT JOIN b ON {same("f", "b")} AND f.start_ = b.fs AND f.end_ = b.fe LEFT JOIN {near} n ON {same("n", "f")} AND n.{o} = b.o"""
 
 
 ORACLE_SQL = {
@@ -206,8 +217,8 @@ ORACLE_SQL = {
     "a12_boundary_errors": _BOUNDARY + """ SELECT b.document_id, b.source, b.i, CAST(b.j AS INTEGER) AS j, p.span_text AS prediction_text, p.start_ AS prediction_start, p.end_ AS prediction_end, p.canonical_id AS prediction_canonical_id,
   g.span_text AS gold_text, g.start_ AS gold_start, g.end_ AS gold_end, array_to_string(g.ids, ';') AS gold_normalized_ids, least(p.end_, g.end_) - greatest(p.start_, g.start_) AS overlap_length
 FROM boundary b JOIN p ON p.doc_id = b.doc_id AND p.source = b.source AND p.i = b.i JOIN g ON g.doc_id = b.doc_id AND g.j = b.j""",
-    "a12_false_positives": _TAKEN + ", free AS (SELECT p.* FROM p ANTI JOIN taken USING (doc_id, source, i))" + _nearest_sql("free", "g", "i", "j", ""),
-    "a12_false_negatives": _TAKEN + ", each AS (SELECT g.*, s.source FROM g CROSS JOIN (SELECT unnest(['a1', 'a2', 'a3', 'a4', 'a5']) AS source) s), free AS (SELECT each.* FROM each ANTI JOIN taken USING (doc_id, source, j))" + _nearest_sql("free", "p", "j", "i", " AND n.source = f.source"),
+    "a12_false_positives": _TAKEN + ", free AS MATERIALIZED (SELECT p.* FROM p ANTI JOIN taken USING (doc_id, source, i))" + _nearest_sql("free", "g", "i", "j", "doc_id"),
+    "a12_false_negatives": _TAKEN + ", each AS (SELECT g.*, s.source FROM g CROSS JOIN (SELECT unnest(['a1', 'a2', 'a3', 'a4', 'a5']) AS source) s), free AS MATERIALIZED (SELECT each.* FROM each ANTI JOIN taken USING (doc_id, source, j))" + _nearest_sql("free", "p", "j", "i", "doc_id, source"),
     "p15_identifier_aliases": _P + f" SELECT document_id, annotation_id, ordinal, array_to_string(list_sort({_ALIAS.format(_VALUES)}), '|') AS aliases FROM ann",
     "p15_gold_aliases": "WITH " + X.SQL_GOLD + f" SELECT document_id, ordinal, array_to_string(list_sort({_ALIAS.format('ids')}), '|') AS aliases FROM gold",
     "j01_strict_match": _P + " SELECT document_id, source, i, j FROM strict",

@@ -207,7 +207,20 @@ def test_all_subsets_of_annotators(spark):
     assert len(got) == 127 and got["a+b+c+d+e+f+g"].lenient_count == 3 and got["a+b"].norm_count == 1 and got["b+e"].strict_count == 0 and got["c+g"]["size"] == 2
     assert got["b"].lenient_rate == pytest.approx(2 / 6)
     with pytest.raises(ValueError, match="subsets"):
-        metrics.annotator_combinations(vectors, [str(i) for i in range(17)])
+        metrics.annotator_combinations(vectors, [str(i) for i in range(63)])
+    assert metrics.annotator_combinations(vectors.limit(0), names).collect() == []
+
+
+def test_subsets_of_twenty_annotators(spark):
+    rng, names = random.Random(3), [f"n{i}" for i in range(20)]
+    rows = [([rng.choice([0, 0, 0, 1, 2, 3]) for _ in names], rng.randrange(1, 9)) for _ in range(60)]
+    df = metrics.annotator_combinations(spark.createDataFrame(rows, "states array<int>, gold_count long"), names)
+    assert df.count() == 2**20 - 1
+    total = sum(n for _, n in rows)
+    for r in df.where(F.expr("pmod(hash(label), 20000) = 7 OR size = 20 OR size = 1")).collect():
+        best = [max(states[int(a[1:])] for a in r.label.split("+")) for states, _ in rows]
+        counts = [sum(n for b, (_, n) in zip(best, rows, strict=True) if b >= level) for level in (1, 2, 3)]
+        assert [r.lenient_count, r.strict_count, r.norm_count] == counts and r.strict_rate == pytest.approx(counts[1] / total)
 
 
 def test_highlighted_spans_against_a_loop(spark):
