@@ -58,9 +58,9 @@ def sanitize(x: Column | str) -> Column:
 def identifier_values(x: Column | str) -> Column:
     """A value or a stringified list of values as an array of strings; null becomes an empty array."""
     text = strip(x)
-    parsed = F.from_json(text, "array<string>", {"allowSingleQuotes": "true"})
-    listed = F.rlike(text, F.lit(r"(?s)^\[.*\]$"))
-    return F.when(text.isNull(), F.array().cast("array<string>")).when(listed & parsed.isNotNull(), F.filter(parsed, lambda v: v.isNotNull())).otherwise(F.array(col(x)))
+    listed = text.startswith("[") & text.endswith("]")  # only these are parsed
+    parsed = F.when(listed, F.filter(F.from_json(text, "array<string>", {"allowSingleQuotes": "true"}), lambda v: v.isNotNull()))
+    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(parsed, F.array(col(x))))
 
 
 def normalize_mesh(v: Column) -> Column:

@@ -27,6 +27,26 @@ def resolve_offsets(text: Column, span: Column, start: Column, end: Column) -> t
     return F.when(given, start).otherwise(found).cast("int"), F.when(given, end).otherwise(found + F.length(span)).cast("int")
 
 
+#: Characters between the parts of a text, and characters of a part: a span of at most PART - STEP of them lies in one.
+STEP, PART = 256, 1024
+
+
+def with_span_text(spans: DataFrame, documents: DataFrame, key: str = "document_id") -> DataFrame:
+    """spans(key, start, end, ...) + span_text, cut out of documents(key, text).
+
+    Spans meet a part of the text that begins shortly before them, not the whole text: cutting then costs the
+    span's length instead of its position, no row carries a text, and a long document is many join keys.  Spans
+    longer than a part are cut out of the whole text, which stands under a part number of its own."""
+    c, n = F.explode(F.sequence(F.lit(-1).cast("long"), F.floor(F.length("text") / STEP))), F.col("_part")
+    texts = documents.select(key, "text", c.alias("_part"))
+    parts = texts.select(key, "_part", F.when(n < 0, F.col("text")).otherwise(F.substr("text", n * STEP + 1, F.lit(PART))).alias("_text"))
+    whole = (F.col("end") - F.col("start") > PART - STEP) | (F.col("start") < 0)
+    rows = spans.withColumn("_part", F.when(whole, -1).otherwise(F.floor(F.col("start") / STEP)).cast("long"))
+    at = F.when(F.col("_part") < 0, F.col("start")).otherwise(F.col("start") - F.col("_part") * STEP).cast("int")
+    joined = rows.join(parts, [key, "_part"])
+    return joined.withColumn("span_text", slice_text("_text", at, at + (F.col("end") - F.col("start")))).drop("_part", "_text")
+
+
 def make_annotations(spans: DataFrame, text_col: str | None = None) -> DataFrame:
     """spans(document_id, source, span_text, entity_type, start, end, canonical_id, canonical_name,
     confidence, ordinal, source_rank[, text]) -> annotations, in one projection.

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import document_text, slice_text
+from ..functions.text import document_text
 from ..functions.vocab import LABELS
 from ..operators.harmonize import flatten_annotations, make_annotations
+from ..operators.harmonize import with_span_text as cut_spans
 
 ANNOTATORS = ["a1", "a2", "a3", "a4", "a5"]
 
@@ -32,12 +33,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate spans: tokens of at least two characters without a dot, with the end of the next token."""
-    d = documents(spark, sf_dir).select("doc_id", "document_id", F.posexplode(F.split("text", "[ \\n]")).alias("pos", "token"))
+    d = documents(spark, sf_dir).select("doc_id", F.length("text").alias("n"), F.posexplode(F.split("text", "[ \\n]")).alias("pos", "token"))
     w = Window.partitionBy("doc_id").orderBy("pos")
     d = d.withColumn("start", F.coalesce(F.sum(F.length("token") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")).withColumn("end", F.col("start") + F.length("token"))
     follows = F.lead("token").over(w)
     d = d.withColumn("end2", F.when(follows != "", F.col("end") + 1 + F.length(follows)))
-    return d.where("length(token) >= 2 AND token NOT LIKE '%.%'").withColumn("h", (F.col("doc_id") * 7919 + F.col("pos") * 10473) % 97)
+    d = d.where("length(token) >= 2 AND token NOT LIKE '%.%'")
+    return d.withColumns({"document_id": F.concat(F.lit("DOC:"), "doc_id"), "h": (F.col("doc_id") * 7919 + F.col("pos") * 10473) % 97})
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def gold_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_span_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.join(docs.select("doc_id", "text"), "doc_id").withColumn("span_text", slice_text("text", "start", "end")).drop("text")
+    return cut_spans(rows, docs, "doc_id")
 
 
 def raw_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +78,7 @@ def raw_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(h % 15 == 0, row("a4", 1, end, F.lit("disease"), F.concat(F.lit("OMIM:"), h), F.lit(0.5))),
         *(F.when((h % 25 == 0) & (h % 7 != 0), row("a5", c, end, F.lit("DISEASE_DISORDER"), mesh if c == 0 else none, null)) for c in (0, 1)),
     ]
-    df = spans(spark, sf_dir).join(documents(spark, sf_dir).select("doc_id", F.length("text").alias("n")), "doc_id")
-    df = df.withColumn("p", F.explode(F.array(*candidates))).where("p IS NOT NULL").select("doc_id", "document_id", "pos", "start", "p.*")
+    df = spans(spark, sf_dir).withColumn("p", F.explode(F.array(*candidates))).where("p IS NOT NULL").select("doc_id", "document_id", "pos", "start", "p.*")
     return df.withColumn("ordinal", F.row_number().over(Window.partitionBy("doc_id", "source").orderBy("pos", "sub")))
 
 
