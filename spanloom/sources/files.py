@@ -9,6 +9,7 @@ from ..functions.identifiers import normalize_pmid
 from ..functions.text import blank_to_null, strip
 from ..operators.corpus_stats import CORPUS_ROW, IOB_ROW
 from ..operators.merge import numbered
+from .json_ranges import RANGE_BYTES, read_json_elements
 
 
 def _null(kind: str = "string"):
@@ -36,10 +37,16 @@ def read_text_table(spark: SparkSession, path: str, fmt: str, document_id: str =
 _RECORD = "document_id string, pmid string, title string, abstract string, full_text string, source string, year string, metadata map<string,string>"
 
 
-def read_corpus_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON list of records, or an object with a documents list -> documents."""
-    text = spark.read.text(path, wholetext=True)
+def read_corpus_json(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """A JSON list of records, or an object with a documents list -> documents.
+
+    Files are cut at element borders, range by range, so one long list is read by many tasks.  Compressed files and
+    files in stores that only Spark can open are read whole, a file in a task."""
     record = "struct<" + ", ".join(x.replace(" ", ": ", 1) for x in _RECORD.split(", ")) + ">"
+    elements = read_json_elements(spark, path, range_bytes=range_bytes)
+    if elements is not None:
+        return corpus_documents(elements.select("index", F.from_json("value", record).alias("r")).select("index", "r.*"))
+    text = spark.read.text(path, wholetext=True)
     records, listed = F.from_json("value", f"array<{record}>"), F.from_json("value", f"struct<documents: array<{record}>>")["documents"]
     whole = F.when(F.rlike("value", F.lit(r"^\s*\[")), records).otherwise(listed)
     return corpus_documents(text.select(F.posexplode(whole).alias("index", "r")).select("index", "r.*"))

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import slice_text, strip
-from .payloads import _ARRAY, first_of, get
+from .json_ranges import split_payloads
+from .payloads import _ARRAY, get
 
 #: Section labels of BioC passages.
 TITLE_SECTIONS, ABSTRACT_SECTIONS = ("TITLE", "title", "Title", "front"), ("ABSTRACT", "abstract", "Abstract")
@@ -18,17 +19,20 @@ DISEASE_TYPES = ("disease", "diseases", "specificdisease", "diseaseclass", "modi
 
 
 def merge_payload_batches(payloads: DataFrame, batch_col: str = "batch") -> DataFrame:
-    """payloads(batch, payload): the documents of all batches as one list: batch, position, document (JSON)."""
+    """payloads(batch, payload): the documents of all batches as one list: batch, position, document (JSON).
+
+    Payloads too large to parse come in pieces; what cannot be parsed at all is found by ``unparsable``."""
     v = F.try_parse_json("payload")
-    docs = payloads.select(batch_col, F.posexplode(F.coalesce(get(v, "$.documents", _ARRAY), get(v, "$.PubTator3", _ARRAY))).alias("position", "d"))
-    return docs.select(batch_col, "position", F.to_json("d").alias("document"))
+    lists = F.posexplode(F.coalesce(get(v, "$.documents", _ARRAY), get(v, "$.PubTator3", _ARRAY))).alias("position", "d")
+    docs = split_payloads(payloads.select(batch_col, "payload")).select(batch_col, "piece_start", lists)
+    return docs.select(batch_col, (F.col("position") + F.col("piece_start")).cast("int").alias("position"), F.to_json("d").alias("document"))
 
 
 def bioc_to_documents(payloads: DataFrame, full_text: bool = True) -> DataFrame:
     """payloads(payload) -> documents: pmid, title, abstract and body from the labelled passages; without
     labels the first passage is the title and the others the abstract.  Documents without pmid are dropped."""
     v = F.try_parse_json("payload")
-    docs = payloads.select(F.explode(F.coalesce(get(v, "$.documents", _ARRAY), get(v, "$.PubTator3", _ARRAY))).alias("d"))
+    docs = split_payloads(payloads.select("payload")).select(F.explode(F.coalesce(get(v, "$.documents", _ARRAY), get(v, "$.PubTator3", _ARRAY))).alias("d"))
     docs = docs.withColumn("ps", F.coalesce(get("d", "$.passages", _ARRAY), F.array().cast(_ARRAY)))
     infons = F.concat(F.array(get("d", "$.infons", "variant")), F.transform("ps", lambda p: get(p, "$.infons", "variant")))
     clean = lambda x: F.nullif(strip(x), F.lit(""))
