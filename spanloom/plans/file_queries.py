@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import keywords as K
 from ..operators import sinks as W
 from ..sources import files as S
+from ..sources import pubmed as P
 from ..sources import records as R
 from . import fixtures as X
 from .report_queries import _IDS, _ids
@@ -89,17 +90,33 @@ def _xml_text(c: str):
     return F.replace(F.replace(F.replace(kept, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
+def _element(name: str, *parts, attributes: str = ""):
+    return F.concat(F.lit(f"<{name}{attributes}>"), *(F.lit(p) if isinstance(p, str) else p for p in parts), F.lit(f"</{name}>"))
+
+
 def s16_pubmed_records(spark, d):
-    article = F.concat(
-        F.lit('<PubmedArticle><MedlineCitation Status="MEDLINE" Owner="NLM"><PMID Version="2">'), "doc_id", F.lit("</PMID><Article><Journal><JournalIssue><Volume>"), F.col("doc_id") % 9,
-        F.lit("</Volume><PubDate><Year>2020</Year><Month>3</Month></PubDate></JournalIssue><Title>J</Title></Journal><ArticleTitle><i>"), _xml_text("title"),
-        F.lit('</i></ArticleTitle><Abstract><AbstractText Label="AIM">'), _xml_text("abstract"), F.lit('</AbstractText></Abstract></Article></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType="pmc">'),
-        "doc_id", F.lit("</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"),
-    )
-    sets = X.documents(spark, d).groupBy(F.floor(F.col("doc_id") / 100)).agg(F.concat(F.lit("<Set>"), F.array_join(F.collect_list(article), "\n"), F.lit("</Set>")).alias("value"))
-    files = spark.read.text(_one_file_each(sets.select("value"), _folder(spark)), wholetext=True)
-    df = R.pubmed_xml_to_records(R.split_articles(files))
-    return df.select("pmid", "pmcid", "version", "volume", "year", "pub_date", "citation_status", F.length("title").alias("title_chars"), F.md5("abstract").alias("abstract_md5"))
+    """Every field of a record; arrays as JSON."""
+    k, n = F.col("doc_id").cast("string"), lambda m: (F.col("doc_id") % m).cast("string")
+    date = lambda name, year, month="", day="", attributes="": _element(name, f"<Year>{year}</Year>", *([f"<Month>{month}</Month>"] if month else []), *([f"<Day>{day}</Day>"] if day else []), attributes=attributes)
+    journal = _element("Journal", _element("ISSN", k, attributes=' IssnType="Print"'), _element("JournalIssue", _element("Volume", n(9)), _element("Issue", n(4)), date("PubDate", 2020, 3)), "<Title>J &amp; K</Title><ISOAbbreviation>JK</ISOAbbreviation>")
+    abstract = _element("Abstract", _element("AbstractText", _xml_text("abstract"), attributes=' Label="AIM" NlmCategory="OBJECTIVE"'), "<AbstractText>Second <sub>x</sub> part</AbstractText>")
+    author = _element("Author", _element("LastName", "L", k), "<ForeName>F</ForeName><Initials>I</Initials>", _element("Identifier", "https://orcid.org/0-", n(7), attributes=' Source="ORCID"'), _element("AffiliationInfo", _element("Affiliation", "U", n(5))))
+    authors = _element("AuthorList", author, _element("Author", "<CollectiveName>G</CollectiveName>", _element("AffiliationInfo", _element("Affiliation", "U", n(2)))))
+    rest = _element("GrantList", _element("Grant", _element("GrantID", "G", k), "<Agency>A</Agency><Country>C</Country>")) , "<PublicationTypeList><PublicationType>Review</PublicationType></PublicationTypeList>", _element("DataBankList", _element("DataBank", "<DataBankName>GEO</DataBankName>", _element("AccessionNumber", k)))
+    article = _element("Article", journal, "<ArticleTitle><i>", _xml_text("title"), "</i></ArticleTitle><Pagination><MedlinePgn>1-2</MedlinePgn></Pagination>", abstract, authors, "<Language>eng</Language><Language>ger</Language>", *rest, date("ArticleDate", 2019, 2, 1, ' DateType="Electronic"'))
+    mesh = _element("MeshHeadingList", _element("MeshHeading", _element("DescriptorName", "M", n(3), attributes=' UI="D1" MajorTopicYN="Y"'), _element("QualifierName", "q", attributes=' UI="Q1"')))
+    more = "<MedlineJournalInfo><Country>UK</Country><MedlineTA>TA</MedlineTA>", _element("NlmUniqueID", n(8)), "</MedlineJournalInfo>", _element("ChemicalList", _element("Chemical", "<RegistryNumber>0</RegistryNumber>", _element("NameOfSubstance", "W", n(3), attributes=' UI="C1"')))
+    names = "<SupplMeshList><SupplMeshName Type=\"Disease\" UI=\"S1\">S</SupplMeshName></SupplMeshList>", _element("GeneSymbolList", _element("GeneSymbol", "g", n(6))), mesh, _element("KeywordList", "<Keyword>k &lt;1&gt;</Keyword>", _element("Keyword", "w", n(4)))
+    medline = _element("MedlineCitation", _element("PMID", k, attributes=' Version="2"'), date("DateRevised", 2021, 11, 30), article, *more, *names, attributes=' Status="MEDLINE" Owner="NLM"')
+    history = _element("History", *(date("PubMedPubDate", year, month, attributes=f' PubStatus="{status}"') for status, year, month in (("received", 2018, 1), ("accepted", 2018, 12), ("medline", 2019, 4), ("entrez", 2019, 5))))
+    ids = _element("ArticleIdList", *(_element("ArticleId", lead, k, attributes=f' IdType="{kind}"') for kind, lead in (("pmc", ""), ("doi", "10.1/"), ("pii", "S"))))
+    cited = _element("CommentsCorrectionsList", _element("CommentsCorrections", "<RefSource>s</RefSource>", _element("PMID", n(50)), attributes=' RefType="Cites"'))
+    foreign = "<ReferenceList><Reference><ArticleIdList><ArticleId IdType=\"doi\">10.9/other</ArticleId></ArticleIdList></Reference></ReferenceList>"
+    whole = _element("PubmedArticle", medline, _element("PubmedData", history, cited, ids, foreign))
+    sets = X.documents(spark, d).groupBy(F.floor(F.col("doc_id") / 100)).agg(F.concat(F.lit("<Set>"), F.array_join(F.collect_list(whole), "\n"), F.lit("</Set>")).alias("value"))
+    df = P.pubmed_xml_to_records(P.read_pubmed_xml(spark, _one_file_each(sets.select("value"), _folder(spark))))
+    df = df.withColumn("abstract_md5", F.md5("abstract")).withColumn("title_chars", F.length("title")).withColumn("structured_abstract", F.transform("structured_abstract", lambda s: s.withField("text", F.md5(s["text"]))))
+    return df.select(*(F.to_json(c).alias(c) if t.startswith("array") else c for c, t in df.dtypes if c not in ("abstract", "title")))
 
 
 def s18_full_text(spark, d):
@@ -206,8 +223,16 @@ SELECT 'text-' || row_number() OVER (ORDER BY doc_id) AS document_id, md5(line)
     "s05_corpus_rows": "WITH " + X.SQL_GOLD + ", c AS (SELECT doc_id, count(*) AS n FROM gold GROUP BY ALL) SELECT document_id, 2 AS passages, CAST(coalesce(n, 0) AS INTEGER) AS entities FROM docs LEFT JOIN c USING (doc_id)",
     "s06_iob_rows": "WITH " + X.SQL_SPANS + " SELECT document_id AS id, CAST(count(*) AS INTEGER) AS tokens, CAST(sum(CASE h % 6 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END) AS INTEGER) AS tags FROM sp GROUP BY ALL",
     "s16_pubmed_records": _D + f""", x AS (SELECT doc_id, trim({_KEPT.format("title")}, {_BLANKS}) AS t, trim({_KEPT.format("abstract")}, {_BLANKS}) AS a FROM docs)
-SELECT CAST(doc_id AS VARCHAR) AS pmid, 'PMC' || doc_id AS pmcid, '2' AS version, CAST(doc_id % 9 AS VARCHAR) AS volume, '2020' AS year, '2020-03-01' AS pub_date, 'MEDLINE' AS citation_status,
-  CAST(length(t) AS INTEGER) AS title_chars, md5(CASE WHEN a = '' THEN '' ELSE 'AIM: ' || a END) AS abstract_md5 FROM x""",
+SELECT CAST(doc_id AS VARCHAR) AS pmid, 'PMC' || doc_id AS pmcid, '10.1/' || doc_id AS doi, 'S' || doc_id AS pii, CAST(doc_id AS VARCHAR) AS issn, 'Print' AS issn_type, CAST(doc_id % 8 AS VARCHAR) AS nlm_unique_id, '2020' AS year,
+  'J & K' AS journal, 'JK' AS journal_abbrev, CAST(doc_id % 9 AS VARCHAR) AS volume, CAST(doc_id % 4 AS VARCHAR) AS issue, '1-2' AS pages, 'UK' AS country, '2020-03-01' AS pub_date, '2019-02-01' AS epub_date, '2018-01-01' AS received_date,
+  '2018-12-01' AS accepted_date, '2019-04-01' AS medline_date, '2019-05-01' AS entrez_date, '2021-11-30' AS revision_date, 'MEDLINE' AS citation_status, 'NLM' AS owner, '2' AS version,
+  '[' || CASE WHEN a = '' THEN '' ELSE '{{"label":"AIM","nlm_category":"OBJECTIVE","text":"' || md5(a) || '"}},' END || '{{"label":"","nlm_category":"","text":"' || md5('Second x part') || '"}}]' AS structured_abstract,
+  '["eng","ger"]' AS language, '["Review"]' AS publication_type, CASE WHEN doc_id % 5 = doc_id % 2 THEN '["U' || doc_id % 5 || '"]' ELSE '["U' || doc_id % 5 || '","U' || doc_id % 2 || '"]' END AS affiliations,
+  '["k <1>","w' || doc_id % 4 || '"]' AS keywords, '["g' || doc_id % 6 || '"]' AS gene_symbols,
+  '[{{"last":"L' || doc_id || '","first":"F","initials":"I","orcid":"0-' || doc_id % 7 || '","collective_name":"","affiliations":["U' || doc_id % 5 || '"]}},{{"last":"","first":"","initials":"","orcid":"","collective_name":"G","affiliations":["U' || doc_id % 2 || '"]}}]' AS authors,
+  '[{{"descriptor":"M' || doc_id % 3 || '","descriptor_ui":"D1","major_topic":true,"qualifiers":[{{"name":"q","ui":"Q1","major_topic":false}}]}}]' AS mesh_terms, '[{{"registry_number":"0","name":"W' || doc_id % 3 || '","ui":"C1"}}]' AS chemicals,
+  '[{{"name":"S","type":"Disease","ui":"S1"}}]' AS supplemental_mesh, '[{{"grant_id":"G' || doc_id || '","acronym":"","agency":"A","country":"C"}}]' AS grants, '[{{"ref_type":"Cites","ref_source":"s","pmid":"' || doc_id % 50 || '"}}]' AS comments_corrections,
+  '[{{"name":"GEO","accession_numbers":["' || doc_id || '"]}}]' AS data_banks, md5(CASE WHEN a = '' THEN '' ELSE 'AIM: ' || a || ' ' END || 'Second x part') AS abstract_md5, CAST(length(t) AS INTEGER) AS title_chars FROM x""",
     "s18_full_text": _D + f""", x AS (SELECT doc_id, unnest(list_prepend(title, string_split(abstract, chr(10)))) AS b, generate_subscripts(list_prepend(title, string_split(abstract, chr(10))), 1) AS pos FROM docs),
 y AS (SELECT doc_id, trim(regexp_replace({_KEPT.format("b")}, '[ \\t\\n]+', ' ', 'g')) AS b, min(pos) AS pos FROM x GROUP BY ALL),
 t AS (SELECT doc_id, string_agg(b, chr(10) || chr(10) ORDER BY pos) FILTER (WHERE b <> '') AS t FROM y GROUP BY ALL)

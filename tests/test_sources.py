@@ -3,7 +3,9 @@ import json
 import pytest
 
 from spanloom.operators import harmonize, sinks
-from spanloom.sources import files, payloads, records
+from spanloom.sources import files, payloads, pubmed, records
+
+from . import plain_pubmed
 
 DOC = "document_id string, text string, title string"
 
@@ -84,14 +86,49 @@ PUBMED = """<PubmedArticle><MedlineCitation Status="MEDLINE" Owner="NLM"><PMID V
 
 
 def test_pubmed_records(spark):
-    df = records.split_articles(spark.createDataFrame([(f"<Set>{PUBMED}{PUBMED}</Set>",)], "value string"))
-    rows = records.pubmed_xml_to_records(df.unionByName(spark.createDataFrame([("<broken",), (None,)], "xml string"))).collect()
+    df = pubmed.split_articles(spark.createDataFrame([(f"<Set>{PUBMED}{PUBMED}</Set>",)], "value string"))
+    rows = pubmed.pubmed_xml_to_records(df.unionByName(spark.createDataFrame([("<broken",), (None,)], "xml string"))).collect()
     assert len(rows) == 2
     r = rows[0]
     assert (r.pmid, r.version, r.pmcid, r.doi, r.title, r.abstract, r.year, r.pub_date, r.medline_date, r.revision_date) == ("7", "1", "PMC12", "10.1/x", "On p53 genes", "AIM: To see. Done.", "2019 Spring", "2019 Spring", "2018-01-02", "2020-03-01")
     assert r.affiliations == ["U"] and r.authors[0].orcid == "0-1" and r.mesh_terms[0].major_topic and r.mesh_terms[0].qualifiers[0].name == "q" and r.grants == []
 
 
+RICH = """<PubmedArticle xmlns:mml="m"><MedlineCitation Status="X" Owner="NLM"><PMID Version="2"> 8 </PMID><!-- <PMID>no</PMID> --><DateRevised><Year>2021</Year></DateRevised>
+<Article PubModel="Print"><Journal><ISSN>9-9</ISSN><JournalIssue CitedMedium="Internet"><Volume>1</Volume><Issue>2</Issue><PubDate><Year>2019</Year><Month>Mar</Month><Day>5</Day></PubDate></JournalIssue><Title>A &amp; B</Title><ISOAbbreviation>AB</ISOAbbreviation></Journal>
+<ArticleTitle>x &lt;i&gt; <i>a<sub>2</sub></i> <mml:math><mml:mi>q</mml:mi></mml:math>&quot;<b/></ArticleTitle><Pagination><MedlinePgn>1-2</MedlinePgn></Pagination>
+<Abstract><AbstractText Label=" A ">One <i>two</i>
+three</AbstractText><AbstractText Label="B"> </AbstractText><AbstractText>&#233;&#x1F600;</AbstractText><CopyrightInformation>no</CopyrightInformation></Abstract>
+<AuthorList CompleteYN="Y"><Author ValidYN="Y"><LastName>Ö</LastName><ForeName>F</ForeName><Initials>F</Initials><Identifier Source="other">1</Identifier><Identifier Source="orcid">https://orcid.org/2</Identifier><AffiliationInfo><Affiliation>U1</Affiliation></AffiliationInfo><AffiliationInfo><Affiliation>U2 <i>x</i></Affiliation></AffiliationInfo></Author><Author/></AuthorList>
+<Language>eng</Language><Language>ger</Language><GrantList><Grant><GrantID>G1</GrantID><Acronym>AC</Acronym><Agency>NIH</Agency><Country>US</Country></Grant><Grant><Agency>B</Agency></Grant></GrantList>
+<PublicationTypeList><PublicationType UI="D1">Review</PublicationType><PublicationType UI="D2">Letter</PublicationType></PublicationTypeList><DataBankList><DataBank><DataBankName>GEO</DataBankName><AccessionNumber>1</AccessionNumber><AccessionNumber>2</AccessionNumber></DataBank></DataBankList>
+<ArticleDate DateType="Print"><Year>2000</Year></ArticleDate><ArticleDate DateType="Electronic"><Year>2019</Year><Month>02</Month><Day>1</Day></ArticleDate></Article>
+<MedlineJournalInfo><Country>UK</Country><MedlineTA>TA</MedlineTA><NlmUniqueID>55</NlmUniqueID><ISSNLinking>7-7</ISSNLinking></MedlineJournalInfo>
+<ChemicalList><Chemical><RegistryNumber>0</RegistryNumber><NameOfSubstance UI="C1">Water</NameOfSubstance></Chemical></ChemicalList><SupplMeshList><SupplMeshName Type="Disease" UI="S1">S</SupplMeshName></SupplMeshList><GeneSymbolList><GeneSymbol>p53</GeneSymbol></GeneSymbolList>
+<MeshHeadingList><MeshHeading><DescriptorName UI="D1">X</DescriptorName><QualifierName UI="Q1" MajorTopicYN="Y">q</QualifierName><QualifierName UI="Q2"> </QualifierName></MeshHeading><MeshHeading><QualifierName>lost</QualifierName></MeshHeading></MeshHeadingList>
+<KeywordList Owner="N"><Keyword MajorTopicYN="N">k1</Keyword><Keyword> </Keyword></KeywordList><KeywordList Owner="M"><Keyword>k <i>2</i></Keyword></KeywordList></MedlineCitation>
+<PubmedData><History><PubMedPubDate PubStatus="Received"><Year>2018</Year><Month>1</Month></PubMedPubDate><PubMedPubDate PubStatus="accepted"><Month>1</Month></PubMedPubDate><PubMedPubDate PubStatus="medline"><Year>2017</Year></PubMedPubDate><PubMedPubDate PubStatus="entrez"><Year>1</Year></PubMedPubDate><PubMedPubDate PubStatus="entrez"><Year>2</Year></PubMedPubDate></History>
+<CommentsCorrectionsList><CommentsCorrections RefType="Cites"><RefSource>s</RefSource><PMID Version="1">99</PMID></CommentsCorrections></CommentsCorrectionsList><ArticleIdList><ArticleId IdType="PMC">PMC5</ArticleId><ArticleId IdType="pii">S</ArticleId><ArticleId IdType="doi">a</ArticleId><ArticleId IdType="doi">b</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"""
+
+
+def test_pubmed_records_against_an_xml_tree(spark, tmp_path):
+    """Every field, on rich, poor and broken articles, read from files that are cut in the middle of articles."""
+    articles = [RICH, PUBMED, "<PubmedArticle></PubmedArticle>", "<PubmedArticle><MedlineCitation><PMID>1</PMID></MedlineCitation></PubmedArticle>", "<PubmedArticle a='1'><PubmedData><History></PubmedArticle>"]
+    (tmp_path / "x.xml").write_text('<?xml version="1.0"?>\n<PubmedArticleSet>\n' + "\n".join(articles * 5) + "\n</PubmedArticleSet>\n")
+    (tmp_path / "y.xml").write_text("<PubmedArticleSet></PubmedArticleSet>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3k")
+    try:
+        read = pubmed.read_pubmed_xml(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 5 and sorted(r.xml for r in read.collect()) == sorted(articles * 5)
+        rows = [r.asDict(recursive=True) for r in pubmed.pubmed_xml_to_records(read).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [r for x in articles if (r := plain_pubmed.pubmed_record(x)) is not None] * 5
+    text = lambda r: json.dumps(r, sort_keys=True)
+    assert sorted(map(text, rows)) == sorted(map(text, want)) and len(want) == 20
+
+
 def test_full_text_and_services(spark):
     xml = "<article><front><p>no</p></front><body><sec><title>T</title><p>a  <i>b</i></p><p>a b</p></sec></body></article>"
     assert records.jats_to_plain(xml) == "T\n\na b" and records.jats_to_plain("<x") == "" and records.jats_to_plain("<a/>") == ""
