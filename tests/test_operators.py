@@ -1,5 +1,7 @@
 import datetime as dt
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,6 +174,39 @@ def test_run_annotators(spark):
         annotate.run_annotators(docs, {"good": good}, known=["other"])
 
 
+def test_annotators_that_hang_or_die(spark):
+    """All other rows stay; after a hang or an abort the annotator is loaded again for the next document."""
+
+    def odd():
+        def annotate(document, text):
+            if document == "d1":
+                time.sleep(60)
+            if document == "d2":
+                os.abort()
+            if document == "d3":
+                raise ValueError("no")
+            return [{"span_text": text[:1], "entity_type": "gene", "start": 0, "end": 1}]
+
+        return annotate
+
+    def unloadable():
+        os._exit(3)
+
+    def hung():
+        time.sleep(60)
+
+    good = lambda: lambda document, text: [{"span_text": text, "entity_type": "gene", "start": 0, "end": len(text)}]
+    docs = spark.createDataFrame([(f"d{i}", "text") for i in range(6)], "document_id string, text string").coalesce(1)
+    stream = annotate.run_annotators(docs, {"odd": odd, "good": good, "unloadable": unloadable, "hung": hung}, deadline={"odd": 1.0}, load_deadline=0.5).collect()
+    status = {(r.document_id, r.source): (r.status, r.reason) for r in stream if r.status}
+    assert len(status) == 24 and all(status[f"d{i}", "good"][0] == "produced_annotations" for i in range(6))
+    assert [status[f"d{i}", "odd"][0] for i in range(6)] == ["produced_annotations", "failed", "failed", "failed", "produced_annotations", "produced_annotations"]
+    assert status["d1", "odd"][1] == "annotating took more than 1 s" and "exit code -6" in status["d2", "odd"][1] and status["d3", "odd"][1] == "no"
+    assert "exit code 3" in status["d5", "unloadable"][1] and status["d4", "hung"][1] == "loading took more than 0.5 s"
+    inside = annotate.run_annotators(docs, {"good": good}, deadline=None).collect()
+    assert {tuple(r) for r in inside} == {tuple(r) for r in stream if r.source == "good"}
+
+
 def test_same_result_under_any_partitioning(spark):
     rows = [("d%d" % (i % 3), "xyz"[i % 3], "word%d" % (i % 5), i % 7, i % 7 + 3, "gene", None, None) for i in range(60)]
     df = annotations(spark, rows)
