@@ -17,8 +17,11 @@ from ..sources import files as S
 from ..sources import pubmed as P
 from ..sources import records as R
 from . import fixtures as X
+from .annotate_queries import ORACLE_SQL as _ANNOTATE_SQL
 from .report_queries import _IDS, _ids
 
+_KEYWORDS = _ANNOTATE_SQL["k02_keywords_table"]
+
 _BLANKS = "chr(10) || chr(9) || chr(13) || ' '"
 
 
@@ -195,11 +198,18 @@ def k08_id_list(spark, d):
 
 
 def k09_results(spark, d):
+    """Every line of the nested results, read back: its counts, and its text as a hash."""
     path = _folder(spark)
     docs, annotations = X.documents(spark, d), X.annotations(spark, d)
-    W.write_results({"documents": docs, "annotations": annotations, "summary": K.ingestion_summary(docs)}, path)
-    parts = [spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("section"), "n") for name in ("documents", "annotations", "summary")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    keywords = K.keywords_table(K.keyword_summaries(annotations), docs).drop("pmid", "title")
+    statuses = K.annotator_statuses(annotations, docs, X.ANNOTATORS)
+    shown = annotations.select("document_id", "source_rank", "ordinal", "annotation_id", "source", "span_text", "start", "end", "entity_type", "canonical_id", F.round("confidence", 6).alias("confidence"))
+    lines = W.results_lines(docs.select("document_id", "pmid", "title", "source"), shown, keywords, statuses, line_chars=4096)
+    W.write_results_lines(lines, K.ingestion_summary(docs), path)
+    found = W.read_results_lines(spark, path).select("document_id", "part", F.size("annotations").alias("n_annotations"), F.size("keywords").alias("n_keywords"))
+    value = spark.read.text(f"{path}/lines").select(F.get_json_object("value", "$.document_id").alias("document_id"), F.get_json_object("value", "$.part").cast("int").alias("part"), F.md5("value").alias("line_md5"))
+    manifest = spark.read.text(f"{path}/manifest").select(F.lit("").alias("document_id"), F.lit(-1).alias("part"), F.get_json_object("value", "$.annotation_count").cast("int").alias("n_annotations"), F.get_json_object("value", "$.keyword_count").cast("int").alias("n_keywords"), F.md5("value").alias("line_md5"))
+    return found.join(value, ["document_id", "part"]).unionByName(manifest)
 
 
 _ALL = (
@@ -252,5 +262,18 @@ FROM docs WHERE doc_id % 5 <> 0 AND doc_id % 7 <> 0""",
 SELECT docs.document_id, s.name, CASE WHEN n > 0 THEN 'produced_annotations' ELSE 'no_annotations' END AS status, coalesce(n, 0) AS annotation_count, CASE WHEN n IS NULL THEN 'No annotations returned.' END AS reason
 FROM docs CROSS JOIN (SELECT unnest(['a1', 'a2', 'a3', 'a4', 'a5']) AS name) s LEFT JOIN c ON c.document_id = docs.document_id AND c.name = s.name""",
     "k08_id_list": _D + " SELECT pmid FROM docs",
-    "k09_results": _A + " SELECT 'documents' AS section, count(*) AS n FROM docs UNION ALL SELECT 'annotations', count(*) FROM ann UNION ALL SELECT 'summary', 1",
+    "k09_results": _A + """, kw AS (""" + _KEYWORDS + """), anns AS (SELECT document_id, start_ // 4096 AS part, count(*) AS n, string_agg('{"annotation_id":"' || annotation_id || '","source":"' || source || '","span_text":' || CAST(to_json(span_text) AS VARCHAR) || ',"start":' || start_ || ',"end":' || end_
+  || ',"entity_type":"' || entity_type || '","canonical_id":' || coalesce('"' || canonical_id || '"', 'null') || ',"confidence":' || coalesce(CAST(round(confidence, 6) AS VARCHAR), 'null') || '}', ',' ORDER BY source_rank, ordinal, annotation_id) AS x FROM ann GROUP BY ALL),
+keys AS (SELECT document_id, start // 4096 AS part, count(*) AS n, string_agg('{"keyword":' || CAST(to_json(keyword) AS VARCHAR) || ',"start":' || start || ',"end":' || "end" || ',"annotation_count":' || annotation_count || ',"annotator_count":' || annotator_count
+  || ',"labels":"' || labels || '","canonical_ids":"' || canonical_ids || '","sources":"' || sources || '"}', ',' ORDER BY start, "end", keyword) AS x FROM kw GROUP BY ALL),
+cnt AS (SELECT document_id, source AS name, count(*) AS n FROM ann GROUP BY ALL),
+sts AS (SELECT docs.document_id, s.name, coalesce(cnt.n, 0) AS n FROM docs CROSS JOIN (SELECT unnest(['a1', 'a2', 'a3', 'a4', 'a5']) AS name) s LEFT JOIN cnt ON cnt.document_id = docs.document_id AND cnt.name = s.name),
+stats AS (SELECT document_id, string_agg('{"name":"' || name || '","status":"' || CASE WHEN n > 0 THEN 'produced_annotations' ELSE 'no_annotations' END || '","annotation_count":' || n || ',"reason":' || CASE WHEN n > 0 THEN 'null' ELSE '"No annotations returned."' END || '}', ',' ORDER BY name) AS x FROM sts GROUP BY ALL),
+place AS (SELECT document_id, part FROM anns UNION SELECT document_id, part FROM keys UNION SELECT document_id, 0 FROM docs),
+lines AS (SELECT p.document_id, p.part, coalesce(a.n, 0) AS na, coalesce(k.n, 0) AS nk, '{"document_id":"' || p.document_id || '","part":' || p.part || ',"document":' || CASE WHEN p.part = 0 THEN '{"pmid":"' || pmid || '","title":' || CAST(to_json(title) AS VARCHAR) || ',"source":' || coalesce(CAST(to_json(docs.source) AS VARCHAR), 'null') || '}' ELSE 'null' END
+  || ',"annotators":[' || CASE WHEN p.part = 0 THEN stats.x ELSE '' END || '],"annotations":[' || coalesce(a.x, '') || '],"keywords":[' || coalesce(k.x, '') || ']}' AS line
+  FROM place p JOIN docs USING (document_id) JOIN stats USING (document_id) LEFT JOIN anns a ON a.document_id = p.document_id AND a.part = p.part LEFT JOIN keys k ON k.document_id = p.document_id AND k.part = p.part)
+SELECT document_id, CAST(part AS INTEGER) AS part, CAST(na AS INTEGER) AS n_annotations, CAST(nk AS INTEGER) AS n_keywords, md5(line) AS line_md5 FROM lines
+UNION ALL SELECT '', -1, CAST(sum(na) AS INTEGER), CAST(sum(nk) AS INTEGER), md5('{"document_count":' || (SELECT count(*) FROM docs) || ',"line_count":' || count(*) || ',"annotation_count":' || CAST(sum(na) AS BIGINT) || ',"keyword_count":' || CAST(sum(nk) AS BIGINT)
+  || ',"run_document_count":' || (SELECT count(*) FROM docs) || ',"run_with_pmid":' || (SELECT count(*) FROM docs WHERE pmid <> '') || ',"run_with_pmcid":0}') FROM lines""",
 }
