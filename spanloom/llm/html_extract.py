@@ -10,13 +10,15 @@ weaken with their distance in the DOM, blocks of one parent by weaker ones.  The
 the labelling of least total cost; content blocks are the main text.
 
 The weights are fitted to the pages themselves, on a bounded sample of them (``sample_pages``): blocks
-inside landmarks are the training labels, and each is shown with and without its landmark, so that the
+inside landmarks (but not those in a box of a boilerplate class there) are the training labels, and each is shown with and without its landmark, so that the
 other features learn to do without.  A prior holds what is known of HTML, the weights move away from it as
 far as the sample asks.  Without pages to learn from, the prior stands.
 
 Inside a block references are decoded, white space becomes one blank, and both ends are trimmed; blocks
 are joined by an empty line in page order.  Scripts, styles, templates and comments never become blocks.
-A form is boilerplate unless it holds landmarks: then it wraps the page.
+A form is boilerplate unless it holds landmarks or a box of a content class: then it wraps the page.  A box whose
+class names boilerplate (comments, adverts, a newsletter) counts against all in it, inside an article too, unless
+nothing else on the page is text; where a page has an article, what stands around it counts less.
 
 Defined results: null or empty html gives ''; unclosed and stray tags are tolerated; a page without
 content blocks gives ''; an unfinished tag at the end is dropped; repeated rows are extracted one by one;
@@ -60,13 +62,18 @@ _BOXES = frozenset("box wrapper wrap container slot area block section list item
 
 #: The prior mean of the weights.
 PRIOR = {
-    "bias": 0.5, "in:article": 4.0, "in:main": 3.0, "in:nav": -6.0, "in:footer": -6.0, "in:aside": -6.0, "in:form": -7.0, "in:header": -4.0, "in:menu": -6.0, "in:dialog": -6.0, "in:search": -6.0,
+    "bias": 0.5, "in:article": 4.0, "in:main": 3.0, "in:nav": -6.0, "in:footer": -6.0, "in:aside": -6.0, "in:form": -7.0, "in:header": -4.0, "in:menu": -6.0, "in:dialog": -6.0, "in:search": -6.0, "in:boxed": -8.0, "in:outside": -4.0,
     "tag:p": 1.0, "tag:h1": 1.0, "tag:h2": 0.5, "tag:h3": 0.5, "tag:blockquote": 0.5, "tag:pre": 0.5, "tag:footer": -1.0, "tag:nav": -1.0, "chars:20": -1.0, "chars:40": -0.5, "chars:80": 0.0, "chars:160": 0.5, "chars:more": 1.5,
     "links:none": 0.3, "links:some": 0.0, "links:many": -1.0, "links:all": -2.5, "sentence": 0.5,
 }
 #: Class tokens of boilerplate and of content, in units of weight.
-PRIOR |= {f"class:{x}": -5.0 for x in "ad ads advert adverts advertisement adsense banner sponsor sponsored promo promoted menu nav navbar navigation breadcrumb breadcrumbs sidebar footer foot masthead header topbar branding logo cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments disqus reply replies respond pagination pager widget widgets copyright legal disclaimer skip toolbar outbrain taboola".split()}
+PRIOR |= {f"class:{x}": -5.0 for x in "ad ads advert adverts advertisement adsense banner sponsor sponsored promo promoted menu nav navbar navigation breadcrumb breadcrumbs sidebar footer foot masthead header topbar branding logo cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments discussion discussions reactions disqus reply replies respond pagination pager widget widgets copyright legal disclaimer skip toolbar outbrain taboola".split()}
 PRIOR |= {f"class:{x}": 2.5 for x in "article articlebody post entry story content main body prose".split()}
+#: Tokens whose boxes are boilerplate inside an article too, and those that never wrap an article.
+BOXING = frozenset(k[6:] for k, v in PRIOR.items() if k.startswith("class:") and v < 0) - {"header"}
+CHATTER = frozenset("comment comments discussion discussions reactions disqus reply replies respond".split())
+#: Characters of unlinked text that make an article, for what stands around it.
+ENOUGH = 140
 SAMPLE_PAGES, DRIFT, NEAR, SIBLING = 2000, 0.02, 1.0, 0.5
 #: Costs are whole numbers of this fraction, so that flows are exact.
 UNIT = 1 << 10
@@ -79,16 +86,18 @@ class Block:
     landmark: str  # "" if there is none
     parent: int  # the element around the one that holds the block
     distance: int  # steps in the DOM from the block before
+    box: int = 0  # the outermost element of a boilerplate class around it, within its landmark
+    plain: int = 0  # characters that are no links
 
 
 class _Element:
     """An open element; formatting elements repeat what holds for the block around them."""
 
-    __slots__ = ("name", "number", "parent", "depth", "block", "landmark", "form", "near", "far", "silent")
+    __slots__ = ("name", "number", "parent", "depth", "block", "landmark", "form", "near", "far", "silent", "box")
 
-    def __init__(self, name, number, parent, depth, block, landmark, form, near, far, silent):
+    def __init__(self, name, number, parent, depth, block, landmark, form, near, far, silent, box=0):
         self.name, self.number, self.parent, self.depth, self.block = name, number, parent, depth, block
-        self.landmark, self.form, self.near, self.far, self.silent = landmark, form, near, far, silent
+        self.landmark, self.form, self.near, self.far, self.silent, self.box = landmark, form, near, far, silent, box
 
 
 def class_parts(names: str) -> tuple[str, ...]:
@@ -97,6 +106,7 @@ def class_parts(names: str) -> tuple[str, ...]:
     for token in names.lower().split():
         parts = [x for x in re.split(r"[-_]+", token) if x and not x.isdigit()]
         if parts and parts[0] not in _STATES:
+            parts = parts[: next((i for i, x in enumerate(parts) if x in _STATES), len(parts))]  # post-with-sidebar is a post
             while len(parts) > 1 and parts[-1] in _BOXES:
                 parts.pop()
             out.append(parts[-1])
@@ -116,6 +126,7 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     forms: list[int] = []  # the form around each block
     wrappers: set[int] = set()
+    chatter: set[int] = set()
     root = _Element("", 0, 0, 0, "", "", 0, (), (), False)
     stack, opened, pieces = [root], Counter(), []
     linked = number = links = low = last_depth = at = 0
@@ -126,7 +137,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html_lib.unescape("".join(pieces)).split())
             if text:
                 e = stack[-1]
-                out.append(Block(text, _features(text, linked, e), e.landmark, e.parent, (last_depth - min(low, e.depth)) + (e.depth - min(low, e.depth))))
+                out.append(Block(text, _features(text, linked, e), e.landmark, e.parent, (last_depth - min(low, e.depth)) + (e.depth - min(low, e.depth)), e.box, max(0, len(text) - linked)))
                 forms.append(e.form)
                 low = last_depth = e.depth
             pieces.clear()
@@ -187,7 +198,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         top = stack[-1]
         if name in INLINE:
-            stack.append(_Element(name, top.number, top.parent, top.depth, top.block, top.landmark, top.form, top.near, top.far, top.silent))
+            stack.append(_Element(name, top.number, top.parent, top.depth, top.block, top.landmark, top.form, top.near, top.far, top.silent, top.box))
             opened[name] += 1
             links += name == "a"
             continue
@@ -206,9 +217,9 @@ def blocks_of(page: str) -> list[Block]:
         mark = ROLES.get(attributes.get("role", "").lower(), name if name in LANDMARKS else "")
         if mark == top.landmark or mark == "header" and top.landmark in ("article", "main"):
             mark = ""  # the heading of the article itself, or an article inside one, as of a comment
-        near, far, landmark, form = top.near, top.far, top.landmark, top.form
+        near, far, landmark, form, box = top.near, top.far, top.landmark, top.form, top.box
         if mark:
-            near = far = ()
+            near, far, box = (), (), 0
             if form:
                 wrappers.add(form)
             if landmark not in AGAINST:
@@ -217,16 +228,44 @@ def blocks_of(page: str) -> list[Block]:
             form = number
         if name not in ("body", "html") and (own := class_parts(" ".join(attributes.get(k, "") for k in ("class", "id", "itemprop")))):
             near, far = own, near
+            known = [PRIOR.get(f"class:{x}", 0.0) for x in own]
+            if not box and name != "main" and BOXING.intersection(own) and max(known) <= 0:
+                box = number
+                if CHATTER.intersection(own):
+                    chatter.add(number)
+            if form and max(known) > 0 and landmark not in ("article", "main"):
+                wrappers.add(form)  # a form around the content of the page
         hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-        stack.append(_Element(name, number, top.number, top.depth + 1, name, landmark, form, near, far, top.silent or hidden or name in SILENT))
+        stack.append(_Element(name, number, top.number, top.depth + 1, name, landmark, form, near, far, top.silent or hidden or name in SILENT, box))
         opened[name] += 1
     flush()
     for block, form in zip(out, forms, strict=True):
         if form and form not in wrappers:
             block.landmark = "form"
+    _settle_boxes(out, chatter)
     return out
 
 
+def _settle_boxes(blocks: list[Block], chatter: set[int]) -> None:
+    """Boxes of boilerplate classes count against their blocks, and so does standing outside the page's article.
+
+    A box with next to no text beside it wraps the content, whatever its class says (readers' comments never do)."""
+    sizes, total = Counter(), 0
+    for b in blocks:
+        if b.landmark not in AGAINST and b.landmark != "header":
+            sizes[b.box] += b.plain
+            total += b.plain
+    wraps = {n for n, size in sizes.items() if n and n not in chatter and size >= ENOUGH > total - size}
+    article = sum(b.plain for b in blocks if b.landmark in ("article", "main") and (not b.box or b.box in wraps)) >= ENOUGH
+    for b in blocks:
+        if b.box in wraps:
+            b.features = tuple(f for f in b.features if PRIOR.get("class:" + f.partition(":")[2], 0.0) >= 0 or not f.startswith(("class:", "above:")))
+        elif b.box and b.landmark in ("", "article", "main"):
+            b.landmark = "boxed"
+        if article and not b.landmark and "tag:h1" not in b.features:
+            b.landmark = "outside"
+
+
 def score(block: Block, weights: dict[str, float]) -> float:
     """Log odds of content; class tokens of the element above count half."""
     known = (weights[f] if f in weights else weights.get("class:" + f[6:], 0.0) / 2 if f.startswith("above:") else 0.0 for f in block.features)
@@ -358,7 +397,7 @@ def seeds(page: str | None) -> Counter:
     """(features, label) of the blocks inside landmarks, with and without the landmark: how often."""
     found: Counter = Counter()
     for b in blocks_of(page or ""):
-        if b.landmark:
+        if b.landmark and b.landmark not in ("boxed", "outside"):
             label = 0 if b.landmark in AGAINST or b.landmark == "header" else 1
             found[" ".join(b.features), label] += 1
             found[" ".join((*b.features, f"in:{b.landmark}")), label] += 1

@@ -112,6 +112,8 @@ def test_viterbi_against_all_paths():
             assert value(scores[a:b], path[a:b].tolist()) == pytest.approx(max(value(scores[a:b], p) for p in product(range(3), repeat=b - a)), abs=1e-5)
 
 
+TEXT = "This is a sentence of the article, which is long enough to be told from what stands around it. " * 2 + "So it ends."
+SAID = "I read all of this twice and I must say that I do not agree with any of it, however well it is written."
 PAGES = {
     "article": ("<html><head><title>T</title></head><body><nav><a href=x>Home</a></nav><article><h1>Big &amp; small</h1><p>First  para<br>goes on.<p>Second one.</article><footer>&copy; us</footer>", "Big & small\n\nFirst para goes on.\n\nSecond one."),
     "classes": ('<div id="header"><h1>Site name</h1></div><div class="sidebar"><p>Popular posts of the week and more words to fill it up</p></div><div class="post-content"><p>The body of the text is here, it is long enough.</p><ul><li>one<li>two</ul></div><div class="comments"><p>bob: I do like this text very much indeed</p></div><div class="cookie-notice">We use cookies</div>', "The body of the text is here, it is long enough.\n\none\n\ntwo"),
@@ -123,6 +125,17 @@ PAGES = {
     "ad free": ('<div class="ad-free"><article><p>Text of the article.</p></article></div>', "Text of the article."),
     "page form": ('<form id="aspnetForm"><nav><a href=x>Home</a></nav><article><p>Text of the article.</p></article><footer>us</footer></form>', "Text of the article."),
     "comments": ('<article><p>The article.</p><section class="comments-area"><article class="comment"><p>I like it.</p></article></section></article><aside><article><p>Another one.</p></article></aside>', "The article."),
+    "comments inside": (f"<article><h1>T</h1><p>{TEXT}</p><p>{TEXT}</p><section class='comments'><h2>2 comments</h2><p>{SAID}</p><div class='body'><p class='text'>{SAID}</p></div></section></article>", f"T\n\n{TEXT}\n\n{TEXT}"),
+    "advert inside": (f"<article><p>{TEXT}</p><div class='ad'><p>{SAID}</p><p>Buy one now, they are cheap and good.</p></div><p>{TEXT}</p></article>", f"{TEXT}\n\n{TEXT}"),
+    "newsletter inside": (f"<main><h1>T</h1><p>{TEXT}</p><div class='newsletter-box'><h3>Stay tuned</h3><p>{SAID}</p></div><p>{TEXT}</p></main>", f"T\n\n{TEXT}\n\n{TEXT}"),
+    "related inside": (f"<article><p>{TEXT}</p><div class='related'><ul><li>{SAID}</li><li>More of it stands here.</li></ul></div></article>", TEXT),
+    "discussion after": (f"<article><p>{TEXT}</p></article><div class='discussion'><p>{SAID}</p></div>", TEXT),
+    "notice before": (f"<p>We use cookies to make this site better for all of its readers.</p><article><p>{TEXT}</p></article>", TEXT),
+    "mixed class": (f"<div class='post-with-sidebar'><h1>T</h1><p>{TEXT}</p><p>{TEXT}</p></div>", f"T\n\n{TEXT}\n\n{TEXT}"),
+    "wrapper of a bad name": (f"<div class='page-sidebar'><p>{TEXT}</p><p>{TEXT}</p></div>", f"{TEXT}\n\n{TEXT}"),
+    "form around content": (f"<form id='aspnetForm'><div class='menu'><a href=x>Home</a></div><div class='content'><p>{TEXT}</p></div></form>", TEXT),
+    "entry header": (f"<article><header class='entry-header'><h1>The title of it</h1></header><p>{TEXT}</p><footer class='entry-footer'>Filed under x</footer></article>", f"The title of it\n\n{TEXT}"),
+    "comment form": (f"<article><p>{TEXT}</p></article><form class='comment-form'><p>Leave a reply here, it will be read.</p></form>", TEXT),
     "empty": ("", ""), "null": (None, ""), "boilerplate only": ("<nav><ul><li><a href=a>A</a></li></ul></nav>", ""),
 }
 
