@@ -174,3 +174,22 @@ def test_files(spark, tmp_path):
     sinks.write_jsonl(docs, str(tmp_path / "jsonl"))
     sinks.write_id_list(spark.createDataFrame([("1",)], "pmid string"), str(tmp_path / "idlist"))
     assert spark.read.parquet(str(tmp_path / "run" / "docs")).count() == 1
+
+
+def test_nested_results(spark, tmp_path):
+    """A document's lists in their order, long documents in several lines, and a manifest counted from the files."""
+    docs = spark.createDataFrame([("a", 'T "1"'), ("b", None), ("c\\", "x")], "document_id string, title string")
+    rows = [("a", f"x:{i}", "x" if i % 2 else "y", i * 10, i * 10 + 3, i % 2, i) for i in range(30)] + [("b", "x:n", "x", None, None, 0, 1)]
+    annotations = spark.createDataFrame(rows, "document_id string, annotation_id string, source string, start int, end int, source_rank int, ordinal int")
+    keywords = spark.createDataFrame([("a", "k2", 7, 9), ("a", "k1", 7, 9), ("a", "k3", None, None), ("a", "k4", 150, 151)], "document_id string, keyword string, start int, end int")
+    statuses = spark.createDataFrame([("a", "y", "ok"), ("a", "x", "ok"), ("b", "x", "failed")], "document_id string, name string, status string")
+    lines = sinks.results_lines(docs, annotations, keywords, statuses, line_chars=100)
+    sinks.write_results_lines(lines, spark.createDataFrame([(3,)], "seen int"), str(tmp_path / "out"))
+    found = {(x["document_id"], x["part"]): x for x in (json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/lines")).collect())}
+    assert set(found) == {("a", 0), ("a", 1), ("a", 2), ("b", 0), ("c\\", 0)}
+    assert found["a", 0]["document"] == {"title": 'T "1"'} and found["a", 1]["document"] is None and found["b", 0]["document"] == {"title": None}
+    assert [x["annotation_id"] for x in found["a", 0]["annotations"]] == [f"x:{i}" for i in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)] and len(found["a", 2]["annotations"]) == 10
+    assert [x["keyword"] for x in found["a", 0]["keywords"]] == ["k1", "k2", "k3"] and [x["name"] for x in found["a", 0]["annotators"]] == ["x", "y"]
+    assert found["b", 0]["annotations"] == [{"annotation_id": "x:n", "source": "x", "start": None, "end": None}]
+    manifest = json.loads(spark.read.text(str(tmp_path / "out/manifest")).first().value)
+    assert manifest == {"document_count": 3, "line_count": 5, "annotation_count": 31, "keyword_count": 4, "run_seen": 3}
