@@ -93,7 +93,9 @@ def numbered(df: DataFrame, order: list[str], name: str, ranges: list[Column] |
 
     ranges are columns that depend on a row alone and rise with the order (by default the first order column, a
     whole number, divided by RANGE): rows are numbered within their range, and each range starts after the rows
-    of those before it.  Nothing depends on how Spark partitions the rows, which may change between two plans."""
+    of those before it.  Nothing depends on how Spark partitions the rows, which may change between two plans.
+    The ranges meet in one task, one row each: positions that are sparse (hashes, times) make almost as many ranges
+    as rows, and need ranges of their own."""
     keys = {f"_r{i}": c for i, c in enumerate(ranges or [F.floor(F.col(order[0]) / RANGE)])}
     ranged = df.withColumns(keys)
     before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # one row per range

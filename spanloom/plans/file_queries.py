@@ -76,8 +76,10 @@ def s05_corpus_rows(spark, d):
     path = _folder(spark)
     W.write_jsonl(X.bigbio_rows(spark, d).drop("doc_id"), path)
     df = S.read_bigbio_jsonl(spark, path)
-    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
-    return df.select("document_id", F.size("passages").alias("passages"), size("entities").alias("entities"))
+    ids = F.array_join(F.transform("e.normalized", lambda x: F.concat_ws(":", x["db_name"], x["db_id"])), "|")
+    rows = df.select("document_id", F.size("passages").alias("passages"), F.md5(F.to_json("passages.text")).alias("passages_md5"), F.coalesce(F.size("relations"), F.lit(0)).alias("relations"), F.explode_outer("entities").alias("e"))
+    place = F.get("e.offsets", F.lit(0))
+    return rows.select("document_id", "passages", "passages_md5", "relations", "e.id", "e.type", F.get("e.text", F.lit(0)).alias("text"), F.get(place, F.lit(0)).alias("start"), F.get(place, F.lit(1)).alias("end"), ids.alias("ids"))
 
 
 def s06_iob_rows(spark, d):
@@ -230,7 +232,10 @@ SELECT CASE WHEN doc_id % 5 <> 0 THEN document_id WHEN doc_id % 7 <> 0 THEN 'PMI
     "s03_id_list": _IDS + " SELECT pmid, count(*) AS n FROM ids WHERE pmid IS NOT NULL GROUP BY pmid",
     "s04_raw_text_lines": _D + f""", l AS (SELECT doc_id, trim(translate(text, chr(10) || chr(13), '  '), {_BLANKS}) AS line FROM docs)
 SELECT 'text-' || row_number() OVER (ORDER BY doc_id) AS document_id, md5(line) AS abstract_md5 FROM l WHERE line <> ''""",
-    "s05_corpus_rows": "WITH " + X.SQL_GOLD + ", c AS (SELECT doc_id, count(*) AS n FROM gold GROUP BY ALL) SELECT document_id, 2 AS passages, CAST(coalesce(n, 0) AS INTEGER) AS entities FROM docs LEFT JOIN c USING (doc_id)",
+    "s05_corpus_rows": "WITH " + X.SQL_GOLD + """, k AS (SELECT doc_id, CASE WHEN entity_type = 'gene' THEN 'Chemical' ELSE 'Disease' END AS kind, ordinal, span_text, start_, end_, ids FROM goldt),
+r AS (SELECT doc_id, count(*) FILTER (WHERE next_kind <> kind) AS n FROM (SELECT *, lead(kind) OVER (PARTITION BY doc_id ORDER BY ordinal) AS next_kind FROM k) GROUP BY doc_id)
+SELECT docs.document_id, 2 AS passages, md5('[[' || CAST(to_json(title) AS VARCHAR) || '],[' || CAST(to_json(abstract) AS VARCHAR) || ']]') AS passages_md5, CAST(coalesce(r.n, 0) AS INTEGER) AS relations, 'T' || ordinal AS id, kind AS type, span_text AS text, start_ AS start, end_ AS "end", array_to_string(ids, '|') AS ids
+FROM docs LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)""",
     "s06_iob_rows": "WITH " + X.SQL_SPANS + " SELECT document_id AS id, CAST(count(*) AS INTEGER) AS tokens, CAST(sum(CASE h % 6 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END) AS INTEGER) AS tags FROM sp GROUP BY ALL",
     "s16_pubmed_records": _D + f""", x AS (SELECT doc_id, trim({_KEPT.format("title")}, {_BLANKS}) AS t, trim({_KEPT.format("abstract")}, {_BLANKS}) AS a FROM docs)
 SELECT CAST(doc_id AS VARCHAR) AS pmid, 'PMC' || doc_id AS pmcid, '10.1/' || doc_id AS doi, 'S' || doc_id AS pii, CAST(doc_id AS VARCHAR) AS issn, 'Print' AS issn_type, CAST(doc_id % 8 AS VARCHAR) AS nlm_unique_id, '2020' AS year,

@@ -98,6 +98,14 @@ def s15_linked_span_records(spark, d):
     return df.select("document_id", "ordinal", "span_text", "start", "end", "canonical_id", "canonical_name", "confidence")
 
 
+def s15_span_records(spark, d):
+    """Without links, determiners trimmed and noise dropped."""
+    item = F.struct(F.concat(F.when(F.col("start") % 3 == 0, "the ").otherwise(""), "span_text").alias("text"), "label", "start", "end", (F.col("start") % 4).alias("score"))
+    payloads = _grouped(spark, d, "a1", item).withColumn("payload", F.to_json("payload"))
+    df = H.make_annotations(P.span_records_to_annotations(payloads, X.documents(spark, d), "stanza_x", determiners=True), "text")
+    return df.where("length(span_text) > 3").select("document_id", "span_text", "start", "end", "entity_type", "canonical_id", "confidence")
+
+
 def f01_run_annotators(spark, d):
     def loader():
         import re
@@ -191,6 +199,9 @@ ORACLE_SQL = {
     "s12_token_class_typed": _TOKEN + _TOKEN_ROWS.replace("{0}", "'disease'").replace("{1}", "(SELECT * FROM u WHERE regexp_matches(s, '[\\p{L}\\p{N}]'))"),
     "s12_token_class_clinical": _TOKEN + _TOKEN_ROWS.replace("{0}", "entity_type").replace("{1}", "(SELECT * FROM u WHERE length(trim(s, '-/ ')) >= 2 AND regexp_matches(s, '[\\p{L}\\p{N}]') AND lower(trim(s, '-/ ')) NOT IN ('these', 'those', 'this', 'the', 'an', 'a'))"),
     "s15_linked_span_records": _A + " SELECT document_id, CAST(ordinal AS INTEGER) AS ordinal, span_text, start_ AS start, end_ AS \"end\", canonical_id, CASE WHEN CAST(substr(canonical_id, 7) AS INTEGER) % 2 = 0 THEN 'concept ' || substr(canonical_id, 7) END AS canonical_name, 0.5 AS confidence FROM ann WHERE source = 'a1'",
+    "s15_span_records": _A + """, b AS (SELECT *, trim(span_text, '-/ ' || chr(9)) AS bare FROM ann WHERE source = 'a1' AND length(span_text) > 3)
+SELECT document_id, span_text, CAST(start_ + CASE WHEN start_ % 3 = 0 THEN 4 ELSE 0 END AS INTEGER) AS start, end_ AS "end", entity_type, CAST(NULL AS VARCHAR) AS canonical_id, CAST(start_ % 4 AS DOUBLE) AS confidence FROM b
+WHERE length(bare) >= 2 AND regexp_matches(bare, '[\\p{L}\\p{N}]') AND lower(bare) NOT IN ('these', 'those', 'this', 'the', 'an', 'a')""",
     "f01_run_annotators": "WITH " + X.SQL_DOCUMENTS + """, c AS (SELECT document_id, text, len(regexp_extract_all(text, '[A-Z][a-z]{7,}')) AS n FROM docs)
 SELECT document_id, 'capitals' AS source, CASE WHEN n > 0 THEN 'produced_annotations' ELSE 'no_annotations' END AS status, n AS annotation_count, CASE WHEN n = 0 THEN 'No annotations returned.' END AS reason FROM c
 UNION ALL SELECT document_id, 'strict', CASE WHEN contains(text, '!!') THEN 'failed' ELSE 'no_annotations' END, 0, CASE WHEN contains(text, '!!') THEN 'shouting' ELSE 'No annotations returned.' END FROM c""",
