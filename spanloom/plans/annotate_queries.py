@@ -69,8 +69,7 @@ def k02_keywords_table(spark, d):
 
 
 def k03_keyword_evidence(spark, d):
-    a = X.annotations(spark, d)
-    return K.keyword_evidence(K.keyword_groups(a), a, X.documents(spark, d)).withColumn("confidence", F.round("confidence", ROUND))
+    return K.keyword_evidence_table(X.annotations(spark, d), X.documents(spark, d)).withColumn("confidence", F.round("confidence", ROUND))
 
 
 def a04_annotator_summary(spark, d):

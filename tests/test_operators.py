@@ -27,6 +27,7 @@ def test_keyword_groups(spark):
     table = {r.keyword: r for r in keywords.keywords_table(keywords.keyword_groups(df), docs).collect()}
     assert (table["GBM"].start, table["GBM"].sources, table["GBM"].pmid) == (0, "x|y|z", "7")
     assert keywords.keyword_evidence(keywords.keyword_groups(df), df, docs).count() == 4
+    assert sorted(map(str, keywords.keyword_evidence_table(df, docs).collect())) == sorted(map(str, keywords.keyword_evidence(keywords.keyword_groups(df), df, docs).collect()))
 
 
 def test_keyword_summaries_agree_with_groups(spark):
