@@ -57,13 +57,13 @@ BLOCK = 1 << 19
 TASK_ROWS = 500_000
 
 
-def _settle(first: bool):
-    return lambda table: _settled(table, first)
+def _settle(first: bool, final: bool):
+    return lambda table: _settled(table, first, final)
 
 
-def _settled(table: pa.Table, first: bool) -> pa.Table:
+def _settled(table: pa.Table, first: bool, final: bool) -> pa.Table:
     """One round of some blocks: their predictions ask (all in the first round, then the refused ones), their gold
-    spans answer, until nothing moves inside.
+    spans answer, until nothing moves inside.  Edges are handed on unless the round is final.
 
     Edges live in the block of their prediction (other: the block of the gold span), holders in the block of
     their gold span (other: the block of the prediction).  What concerns another block goes out as a message."""
@@ -107,7 +107,8 @@ def _settled(table: pa.Table, first: bool) -> pa.Table:
                 proposals.append((place, i, j, other))
             else:
                 out.append((*place[:2], other, ASKED, i, j, 0, place[2]))
-    out += [(*place, EDGE, i, j, rank, other) for (place, i), ws in wishes.items() for rank, j, other in ws]
+    if not final:
+        out += [(*place, EDGE, i, j, rank, other) for (place, i), ws in wishes.items() for rank, j, other in ws]
     out += [(*place, HELD, i, j, 0, home) for (place, j), (i, home) in held.items()]
     types = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
     schema = pa.schema([(n, types[x.split()[1]]) for n, x in zip(names, _EDGES.split(", "), strict=True)])
@@ -134,7 +135,10 @@ def _greedy(predictions: DataFrame, gold: DataFrame, best: bool, done: DataFrame
     while True:
         tasks = max(8, -(-rows.count() // task_rows))
         task = F.pmod(F.xxhash64(*doc, "block"), F.lit(tasks))
-        settled = checkpointed(rows.withColumn("_task", task).repartition(tasks, "_task").groupBy("_task").applyInArrow(_settle(not final), _EDGES))
+        dealt = rows.withColumn("_task", task).repartition(tasks, "_task").groupBy("_task")
+        if not final and rows.where("block > 0 OR other > 0").isEmpty():  # all documents are one block: one round settles them
+            return dealt.applyInArrow(_settle(True, True), _EDGES).select(*doc, "i", "j")
+        settled = checkpointed(dealt.applyInArrow(_settle(not final, False), _EDGES))
         touched = settled.where(F.col("kind") >= ASKED).select(*doc).distinct()
         pairs = settled.where(F.col("kind") == HELD)
         if touched.isEmpty():
