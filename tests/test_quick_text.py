@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from spanloom.functions.identifiers import normalize_mesh, prediction_aliases
 from spanloom.functions.text import has_text, strip, strip_quick
 from spanloom.functions.vocab import normalize_entity_type
+from spanloom.operators.keywords import keyword_mentions
+from spanloom.operators.report_stats import annotator_comparison
 from spanloom.plans import fixtures as X
 
 
@@ -37,6 +39,16 @@ def test_only_rows_that_are_asked_for_leave_python(spark, data):
         assert "Generate" not in plan and "Filter" not in plan and "around" not in plan
 
 
+def test_keywords_deal_rows_once(spark, data):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for of in (keyword_mentions, annotator_comparison):
+            plan = of(X.annotations(spark, data))._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 2  # documents, then annotations by document
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_identifiers_and_types(spark):
     rows = [("mesh:D1",), ("MSH:D2",), ("A:",), (":x",), ("'OMIM: 7'",), ("-",), ("",), (None,), ("a;mim:b:c",), ("['ME:1', 'x']",)]
     df = spark.createDataFrame(rows, "v string").select("v", F.array_join(prediction_aliases("v"), "|"), normalize_mesh(F.col("v")))
