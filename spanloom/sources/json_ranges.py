@@ -263,6 +263,12 @@ def split_payloads(payloads: DataFrame, keys: tuple[str, ...] = ("documents", "P
 
     The list is the payload itself, or stands under the first of the keys that holds one; pieces have the same form.
     What else such a payload holds is left out; one without such a list of objects comes as it is."""
+    small, whole = payloads_by_size(payloads, keys, column, large_bytes)
+    return small.unionByName(whole)
+
+
+def payloads_by_size(payloads: DataFrame, keys: tuple[str, ...] = ("documents", "PubTator3"), column: str = "payload", large_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two tables that ``split_payloads`` puts together: payloads as they are, which stay where they lie, and pieces."""
     large = F.octet_length(column) > (large_bytes or LARGE_BYTES)
     small = payloads.where(~large | F.col(column).isNull()).withColumn("piece_start", F.lit(0).cast("long"))
     others = [c for c in payloads.columns if c != column]
@@ -292,7 +298,7 @@ def split_payloads(payloads: DataFrame, keys: tuple[str, ...] = ("documents", "P
                     yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(row, 1) for i in range(len(others))), pa.array([piece], pa.string()), pa.array([start], pa.int64())], [*others, column, "piece_start"])
 
     whole = payloads.where(large).select(*others, column).mapInArrow(cut, schema)
-    return small.select(*others, column, "piece_start").unionByName(whole)
+    return small.select(*others, column, "piece_start"), whole
 
 
 def unparsable(payloads: DataFrame, column: str = "payload") -> DataFrame:
