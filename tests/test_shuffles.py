@@ -1,8 +1,13 @@
 """How often queries shuffle: rows that lie by document already stay where they are."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
+from spanloom.operators import matching
 from spanloom.plans import payload_queries as PQ
+from spanloom.plans import scoring_queries as SQ
 from spanloom.sources import payloads
 
 
@@ -32,3 +37,19 @@ def test_standoff_lines_of_one_id_meet(spark):
     docs = spark.createDataFrame([("d", "t", ""), ("e", "t", "")], "document_id string, text string, title string")
     got = payloads.brat_to_annotations(df, docs).select("document_id", "ordinal", "span_text", "entity_type", "start", "end", "canonical_id", "canonical_name").collect()
     assert sorted(map(tuple, got)) == [("d", 1, "b", "cell", 1, 2, "KB:2", ""), ("d", 2, "def", "gene", 4, 9, None, None), ("e", 1, "abc", "gene", 0, 3, None, None)]
+
+
+def test_exact_matches_deal_either_side_once(spark, data, plan):
+    # documents before their tokens are cut, and spans by document, of either side
+    for query in (SQ.j01_strict_match, SQ.j11_normalization_outcome):
+        found = plan(query(spark, data))
+        assert "Join" not in found, query.__name__
+        assert not re.search(r"hashpartitioning\(document_id#\d+, [a-z]", found), query.__name__
+
+
+def test_rows_are_looked_up_without_a_join(spark):
+    rows = spark.createDataFrame([("d", 1, "x"), ("d", 1, "y"), ("d", 2, "z"), ("e", 1, None)], "document_id string, i int, v string")
+    table = spark.createDataFrame([("d", 1, [1, 2]), ("e", 1, None), ("f", 1, [3])], "document_id string, i int, w array<int>")
+    got = matching.looked_up(rows, table, ["document_id", "i"], ["w"]).select("document_id", "i", "v", F.col("_found").isNotNull(), "_found.w").collect()
+    assert sorted(map(tuple, got), key=str) == [("d", 1, "x", True, [1, 2]), ("d", 1, "y", True, [1, 2]), ("d", 2, "z", False, None), ("e", 1, None, True, None)]
+    assert [r.v for r in matching.unmatched(rows, table, ["document_id", "i"]).collect()] == ["z"]
