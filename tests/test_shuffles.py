@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.operators import matching
+from spanloom.plans import annotate_queries as AQ
 from spanloom.plans import payload_queries as PQ
 from spanloom.plans import scoring_queries as SQ
 from spanloom.sources import payloads
@@ -53,3 +54,10 @@ def test_rows_are_looked_up_without_a_join(spark):
     got = matching.looked_up(rows, table, ["document_id", "i"], ["w"]).select("document_id", "i", "v", F.col("_found").isNotNull(), "_found.w").collect()
     assert sorted(map(tuple, got), key=str) == [("d", 1, "x", True, [1, 2]), ("d", 1, "y", True, [1, 2]), ("d", 2, "z", False, None), ("e", 1, None, True, None)]
     assert [r.v for r in matching.unmatched(rows, table, ["document_id", "i"]).collect()] == ["z"]
+
+
+def test_digests_are_made_after_rows_are_dealt(spark, data, plan):
+    for query in (AQ.a02_keyword_groups, AQ.a03_keyword_mentions, AQ.k03_keyword_evidence):
+        found = plan(query(spark, data))
+        above, below = found.split("Exchange hashpartitioning(document_id", 1)
+        assert "sha1" in above and "sha1" not in below, query.__name__
