@@ -57,3 +57,15 @@ def test_spans_of_payloads_carry_no_texts(spark):
     df = payloads.flat_json_to_annotations(records, docs)
     assert [(r.start, r.end, r.text) for r in df.orderBy("ordinal").collect()] == [(5, 8, None), (None, None, None)]
     assert [(r.start, r.end) for r in harmonize.make_annotations(df, "text").orderBy("ordinal").collect()] == [(5, 8), (None, None)]
+
+
+def test_only_columns_asked_for_are_built(spark, data):
+    # the same rows, whatever else is left out
+    for columns in (["document_id", "source"], ["document_id", "source", "ordinal", "start", "end", "entity_type"], ["document_id", "annotation_id", "source_rank"], ["document_id", "start", "canonical_id", "confidence"]):
+        whole = X.annotations(spark, data).select(*columns)
+        few = X.annotations(spark, data, columns=columns)
+        assert few.columns == columns and few.exceptAll(whole).isEmpty() and whole.exceptAll(few).isEmpty()
+    sources = X.annotations(spark, data, columns=["document_id", "source"])._jdf.queryExecution().analyzed().toString()
+    assert "span_text#" not in sources.split("MapInArrow")[1].split("\n")[0]
+    text = X.gold_with_text(spark, data).drop("span_text")
+    assert text.exceptAll(X.gold(spark, data)).isEmpty() and X.gold(spark, data).exceptAll(text).isEmpty()
