@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,26 @@ def test_mentions_of_long_sequences(spark, width):
     long = wide.select("id", F.posexplode(F.arrays_zip("tokens", "ner_tags")).alias("position", "x")).select("id", "position", F.col("x.tokens").alias("token"), F.col("x.ner_tags").alias("ner_tag"))
     got = corpus_stats.iob_token_mentions(long).collect()
     assert {tuple(r) for r in got} == {tuple(r) for r in corpus_stats.iob_mentions(wide).collect()} and len(got) > 40
+
+
+def test_one_round_over_arrays_gives_the_serial_matches(monkeypatch):
+    rng, columns = random.Random(5), [c.split()[0] for c in matching._EDGES.split(", ")]
+    for few in (1, 3, 10**6):
+        monkeypatch.setattr(matching, "FEW", few)
+        rows, want = [], set()
+        for doc in "de":
+            for source in ("a", "b"):
+                edges = {(i, j): rng.randrange(4) for i in range(40) for j in range(max(0, i - 3), i + 3) if rng.random() < 0.6}
+                rows += [(doc, source, 0, matching.EDGE, i, j, rank, 0) for (i, j), rank in edges.items()]
+                used = set()
+                for i in range(40):
+                    if free := [(rank, j) for (a, j), rank in edges.items() if a == i and j not in used]:
+                        used.add(min(free)[1])
+                        want.add((doc, source, i, min(free)[1]))
+        rng.shuffle(rows)
+        types = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+        table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=columns)
+        got = matching._settled_at_once(table)
+        assert got.schema.types == types
+        assert {(r["document_id"], r["source"], r["i"], r["j"]) for r in got.to_pylist()} == want and len(got) == len(want)
+        assert {(r["document_id"], r["source"], r["i"], r["j"]) for r in matching._settled(table, True, False).to_pylist() if r["kind"] == matching.HELD} == want
