@@ -183,14 +183,14 @@ def u04_merge_payload_batches(spark, d):
 def k04_gold_rows(spark, d):
     path = _folder(spark)
     gold = X.gold_with_text(spark, d).withColumn("annotation_id", F.concat("document_id", F.lit(":gold:"), "ordinal"))
-    W.write_jsonl(W.gold_rows(gold), path)
+    W.write_jsonl(W.gold_rows(gold), path, compression="gzip")
     schema = "document_id string, annotation_id string, span_text string, start int, end int, entity_type string, normalized_ids array<string>"
     return spark.read.schema(schema).json(path).withColumn("normalized_ids", F.array_join("normalized_ids", "|"))
 
 
 def k06_status_table(spark, d):
     path = _folder(spark)
-    W.write_tsv(K.annotator_statuses(X.annotations(spark, d), X.documents(spark, d), X.ANNOTATORS), path)
+    W.write_tsv(K.annotator_statuses(X.annotations(spark, d, columns=["document_id", "source"]), X.documents(spark, d), X.ANNOTATORS), path)
     return spark.read.option("sep", "\t").option("header", True).schema("document_id string, name string, status string, annotation_count long, reason string").csv(path)
 
 
