@@ -5,8 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.operators import matching
+from spanloom.operators import agreement, corpus_stats, keywords, matching, sinks
 from spanloom.plans import annotate_queries as AQ
+from spanloom.plans import corpus_queries as CQ
+from spanloom.plans import file_queries as FQ
+from spanloom.plans import fixtures as X
 from spanloom.plans import payload_queries as PQ
 from spanloom.plans import scoring_queries as SQ
 from spanloom.sources import payloads
@@ -61,3 +64,77 @@ def test_digests_are_made_after_rows_are_dealt(spark, data, plan):
         found = plan(query(spark, data))
         above, below = found.split("Exchange hashpartitioning(document_id", 1)
         assert "sha1" in above and "sha1" not in below, query.__name__
+
+
+def test_statuses_need_no_join(spark, data, plan):
+    docs = spark.createDataFrame([("d",), ("d",), ("e",), (None,)], "document_id string")
+    rows = spark.createDataFrame([("d", "a"), ("d", "a"), ("d", "x"), ("f", "a"), (None, "a")], "document_id string, source string")
+    statuses = keywords.annotator_statuses(rows, docs, ["a", "b"])
+    assert "Join" not in plan(statuses) and plan(statuses).count("Exchange hashpartitioning") == 1
+    got = sorted((str(r.document_id), r.name, r.status, r.annotation_count, r.reason is None) for r in statuses.collect())
+    none = [(x, n, "no_annotations", 0, False) for x, n in (("None", "a"), ("None", "b"), ("e", "a"), ("e", "b"))]
+    assert got == sorted([("d", "a", "produced_annotations", 2, True), ("d", "b", "no_annotations", 0, False)] * 2 + none)
+    # documents before their tokens are cut twice, counts and ids: the statuses of a document lie where its counts do
+    assert plan(AQ.a05_document_annotations(spark, data)).count("Exchange hashpartitioning") == 4
+
+
+def test_aliases_are_made_of_exact_pairs_only(spark, data, plan):
+    found = plan(SQ.a09_gold_coverage(spark, data))
+    above, below = found[: found.rindex("SortMergeJoin")], found[found.rindex("SortMergeJoin") :]
+    assert "rlike" in above.lower() and "rlike" not in below.lower()
+
+
+def test_corpus_rows_are_put_together_where_tokens_are_cut(spark, data, plan):
+    rows = X.bigbio_rows(spark, data)
+    for df in (rows, CQ.a17_entities_table(spark, data)):
+        assert plan(df).count("Exchange") == 1 and "Join" not in plan(df)
+    e = rows.select("doc_id", F.posexplode("entities").alias("n", "e"))
+    got = e.select("doc_id", (F.col("n") + 1).alias("ordinal"), "e.id", "e.type", F.col("e.text")[0].alias("t"), F.col("e.offsets")[0][0].alias("s"), F.col("e.offsets")[0][1].alias("x"), F.transform("e.normalized", lambda n: F.concat(n["db_name"], F.lit(":"), n["db_id"])).alias("ids"))
+    gold = X.gold_with_text(spark, data)
+    want = gold.select("doc_id", "ordinal", F.concat(F.lit("T"), "ordinal"), F.when(F.col("entity_type") == "gene", "Chemical").otherwise("Disease"), "span_text", "start", "end", "normalized_ids")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    relations = {(r.doc_id, *map(tuple, r.relations)) for r in rows.where("entities IS NOT NULL").select("doc_id", F.transform("relations", lambda r: F.concat_ws("-", r["type"], r["arg1_id"], r["arg2_id"])).alias("relations")).select("doc_id", F.transform("relations", lambda r: F.split(r, "-")).alias("relations")).collect()}
+    kinds = {}
+    for r in gold.orderBy("doc_id", "ordinal").select("doc_id", "ordinal", "entity_type").collect():
+        kinds.setdefault(r.doc_id, []).append(r.entity_type)
+    assert relations == {(d, *(("CID", f"T{i + 1}", f"T{i + 2}") for i in range(len(k) - 1) if k[i] != k[i + 1])) for d, k in kinds.items()}
+    assert rows.count() == X.documents(spark, data).count() and rows.where("entities IS NULL").count() == rows.count() - len(kinds)
+
+
+def test_columns_of_a_document_are_made_before_its_entities_are_rows(spark, data, plan):
+    found = plan(FQ.s05_corpus_rows(spark, data))
+    assert found.index("Generate explode") < found.index("md5(")
+
+
+def test_gold_rows_are_written_compressed(spark, data, tmp_path, monkeypatch):
+    path = str(tmp_path / "gold")
+    monkeypatch.setattr(FQ, "_folder", lambda _: path)
+    n = FQ.k04_gold_rows(spark, data).count()
+    files = list((tmp_path / "gold").glob("part-*"))
+    assert n == X.gold(spark, data).count() and files and all(f.name.endswith(".json.gz") for f in files)
+    sinks.write_jsonl(spark.range(3), str(tmp_path / "plain"))
+    assert all(f.name.endswith(".json") for f in (tmp_path / "plain").glob("part-*"))
+
+
+def test_offsets_meet_a_text_once(spark, data, plan):
+    # documents before their tokens are cut, spans and texts
+    found = plan(AQ.p06_resolve_offsets(spark, data))
+    assert found.count("SortMergeJoin") == 1 and found.count("Exchange hashpartitioning") == 3
+
+
+def test_merged_candidates_are_sorted_once(spark, plan):
+    rows = [("d", 1, 3, "x", "b"), ("d", 1, 3, "x", "a"), ("d", 1, 3, "w", "b"), ("d", 1, 4, "x", "a"), ("d", None, None, "x", "a"), ("e", 1, None, "x", "a"), ("e", 1, None, "y", "a")]
+    df = agreement.merge_candidates(spark.createDataFrame(rows, "document_id string, start int, end int, entity_type string, source string"))
+    assert sorted(map(tuple, df.collect()), key=str) == [("d", 1, 3, ["w", "x"], ["a", "b"]), ("d", 1, 4, ["x"], ["a"]), ("e", 1, None, ["x", "y"], ["a"])]
+    assert plan(df).count("Exchange") == 1 and "Aggregate" not in plan(df)
+
+
+@pytest.mark.parametrize("width", [1, 2, 5, 1 << 16])
+def test_tokens_are_dealt_once(spark, monkeypatch, width):
+    monkeypatch.setattr(corpus_stats.scans, "WIDTH", width)
+    tags = {"s": "OBIIOIIBBO", "t": "IIIIIIIIII", "u": "OOOO", "v": "B", "w": "OBOOOOOOIB"}
+    gaps = lambda n, i: i * 3 if n in "tw" else i  # noqa: E731  # positions without a token
+    rows = [(n, gaps(n, i), f"{n}{i}", "OBI".index(t)) for n, x in tags.items() for i, t in enumerate(x)]
+    got = corpus_stats.iob_token_mentions(spark.createDataFrame(rows, "id string, position int, token string, ner_tag int"))
+    want = [("s", 0, "s1 s2 s3", 3), ("s", 1, "s5 s6", 2), ("s", 2, "s7", 1), ("s", 3, "s8", 1), ("t", 0, " ".join(f"t{i}" for i in range(10)), 10), ("v", 0, "v0", 1), ("w", 0, "w1", 1), ("w", 1, "w8", 1), ("w", 2, "w9", 1)]
+    assert sorted(map(tuple, got.collect())) == want
