@@ -1,5 +1,6 @@
 """Tables that lie by document: their rows are those of the other form, and what matches them moves nothing else."""
 
+import json
 import random
 import re
 
@@ -18,6 +19,7 @@ from spanloom.plans import fixtures as X
 from spanloom.plans import report_queries as RQ
 from spanloom.plans import scoring_queries as SQ
 from spanloom.sources import payloads as P
+from tests.test_quick_text import _method_size
 
 
 @pytest.fixture
@@ -158,3 +160,17 @@ def test_results_lines_may_be_compressed(spark, data, tmp_path):
     sinks.write_results_lines(lines, K.ingestion_summary(docs), str(tmp_path / "r"), compression="gzip")
     assert all(f.name.endswith(".txt.gz") for f in (tmp_path / "r" / "lines").glob("part-*"))
     assert sinks.read_results_lines(spark, str(tmp_path / "r")).count() == docs.count()
+
+
+def test_token_records_are_read_in_code_that_compiles(spark, plan):
+    docs = spark.createDataFrame([("d", "say, the aspirin! \U0001f600 ok", "say")], "document_id string, text string, title string")
+    records = [{"entity_group": "x", "start": 5, "end": 17, "score": 0.5}, {"entity": "y", "word": " ok "}, {"entity_group": "O", "start": 0, "end": 3}, {"start": 9, "end": 2, "word": "(gone)"}, {"word": "..."}, {"start": 3, "end": 5}, {}]
+    payload = spark.createDataFrame([("d", json.dumps(records))], "document_id string, payload string")
+    got = {v: [(r.ordinal, r.span_text, r.start, r.end, r.entity_type, r.confidence) for r in P.token_class_to_annotations(payload, docs, "s", v, "t" if v == "typed" else None).orderBy("ordinal").collect()] for v in ("plain", "clinical", "typed")}
+    assert got["plain"] == [(1, "the aspirin", 5, 16, "x", "0.5"), (2, "ok", 20, 22, "y", None), (3, "say", 0, 3, "O", None), (4, "gone", None, None, None, None)]
+    assert got["clinical"] == [(1, "aspirin", 9, 16, "x", "0.5"), *got["plain"][1:]]
+    assert got["typed"] == [(1, "the aspirin", 5, 16, "t", "0.5"), (2, "ok", 20, 22, "t", None), (3, "gone", None, None, "t", None)]
+    for variant in got:
+        df = P.token_class_to_annotations(payload, docs, "s", variant)
+        plan(df)
+        assert _method_size(spark, df) < 8000, variant
